@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rideflow.functions.columns import percent_text
-
 
 def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -48,12 +46,11 @@ def value_shares(
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
     total = counts.agg(F.sum(count_col)).scalar()
-    shares = counts.withColumns(
-        {
-            share_col: F.try_divide(F.col(count_col).cast("double") * 100.0, total.cast("double")),
-            text_col: percent_text(count_col, total, fmt),
-        }
-    ).orderBy(F.desc(count_col), F.asc_nulls_first(col))
+    shares = (
+        counts.withColumn(share_col, F.try_divide(F.col(count_col).cast("double") * 100.0, total.cast("double")))
+        .withColumn(text_col, F.format_string(fmt, F.col(share_col)))
+        .orderBy(F.desc(count_col), F.asc_nulls_first(col))
+    )
     return shares.limit(n) if n is not None else shares
 
 
