@@ -69,16 +69,19 @@ def running_totals(
     sums: Mapping[str, Column | str],
     keys: str | Sequence[str],
     order: Sequence[Column | str],
-    buckets: int | None = None,
+    buckets: int | str | None = None,
 ) -> DataFrame:
     """Running sums (rows from the first to the current one) per key.
 
     ``sums`` maps an output name to the value summed.  ``order`` should be
     total (add tie-breakers).  With ``buckets`` the work is spread over that
-    many ordered ranges instead of one task per key.
+    many ordered ranges instead of one task per key; ``"auto"`` takes the
+    session's ``spark.sql.shuffle.partitions``, which is sized for the data.
     """
     key_names = _names(keys)
     order_cols = _cols(order)
+    if buckets == "auto":
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets is None:
         frame = (
             Window.partitionBy(*key_names)
@@ -131,7 +134,7 @@ def running_sum(
     keys: str | Sequence[str],
     order: Sequence[Column | str],
     out: str = "running_sum",
-    buckets: int | None = None,
+    buckets: int | str | None = None,
 ) -> DataFrame:
     """One running sum (W3); see ``running_totals``."""
     return running_totals(df, {out: value}, keys, order, buckets)
@@ -145,7 +148,7 @@ def rows_to_reach(
     target: float,
     mode: str = "reference",
     out: str = "rows_count",
-    buckets: int | None = None,
+    buckets: int | str | None = None,
 ) -> DataFrame:
     """Rows needed per key for the running sum of ``value`` to reach ``target``.
 

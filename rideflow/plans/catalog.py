@@ -534,7 +534,7 @@ def first_n_daily(spark, sf_dir):
 _RUN_ORDER = ["l_shipdate", *_line_order_without("l_shipdate", "l_returnflag")]
 _RUN_ORDER_SQL = ", ".join(_RUN_ORDER)
 _TAX = "CAST(l_tax AS DECIMAL(12,2))"
-RUN_BUCKETS = 16
+RUN_BUCKETS = "auto"
 
 
 @query(
@@ -820,8 +820,20 @@ def stream_filtered_events(spark, sf_dir):
     return stream_filtered(spark, sf_dir, EVENT_PREPARE)
 
 
+def _utc(fn: Query) -> Query:
+    """Run ``fn`` with the session zone pinned to UTC, as the library assumes."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _utc(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
