@@ -187,17 +187,18 @@ def latest_n_array(
     payload: Column | str,
     n: int = 5,
     out: str = "payloads",
+    break_ties: bool = False,
 ) -> DataFrame:
     """The payloads of the first ``n`` rows per key by ``order``, as one ordered array.
 
     The array holds at most ``n`` elements and its order is the window order,
-    so element ``i`` means "the (i+1)-th latest".
+    so element ``i`` means "the (i+1)-th latest".  ``order`` should be total;
+    ``break_ties=True`` appends every other column to make it so (a longer sort).
     """
     key_names = _names(keys)
     payload_col = F.col(payload) if isinstance(payload, str) else payload
-    top = latest_n(
-        df.withColumn("_payload", payload_col), key_names, total_order(df, order), n, out="_rn"
-    )
+    ordering = total_order(df, order, exclude=key_names) if break_ties else _cols(order)
+    top = latest_n(df.withColumn("_payload", payload_col), key_names, ordering, n, out="_rn")
     return top.groupBy(*key_names).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col("_payload")))),
