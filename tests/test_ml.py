@@ -81,3 +81,20 @@ def test_null_feature_policy(spark):
     with pytest.raises(Exception):
         # every row has a null feature: nothing is left to train on
         job.train()
+
+
+def test_run_from_csv_sources(spark, tmp_path):
+    from rideflow.sources import TRIP_SCHEMA, ZONE_SCHEMA, TableSpec
+
+    trips_dir = str(tmp_path / "trips")
+    _rides(spark, 200).write.option("header", "true").csv(trips_dir)
+    zones_csv = tmp_path / "zones.csv"
+    zones_csv.write_text("zone_id,zone_name,borough\n1,Newark Airport,EWR\n2,Jamaica Bay,Queens\n")
+    sources = {
+        "taxi_trip_data": TableSpec(trips_dir, "csv", TRIP_SCHEMA),
+        "taxi_zone_geo": TableSpec(str(zones_csv), "csv", ZONE_SCHEMA),
+    }
+    job = RideJob(RideConfig(), spark, sources)
+    report = job.run(model_path=scratch_path(spark, "model-csv"))
+    assert job.sdfs["prepared_data"].filter("pickup_location_id = 1").count() == 0  # an airport
+    assert {r.set for r in report["metrics"].collect()} == {"training", "test"}
