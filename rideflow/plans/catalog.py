@@ -797,9 +797,9 @@ def saved_model_scores(spark, sf_dir):
     """WITH m AS (SELECT event_type, avg(value) AS prediction FROM events GROUP BY event_type),
 p AS (SELECT e.value AS y, m.prediction AS yhat FROM events e JOIN m ON e.event_type = m.event_type),
 a AS (SELECT count(*) AS n, sum((y - yhat) * (y - yhat)) AS sse, sum(abs(y - yhat)) AS sae,
-             sum(y) AS sy, sum(y * y) AS syy FROM p)
+             var_pop(y) AS var_y FROM p)
 SELECT round(sqrt(sse / n), 6) AS rmse, round(sae / n, 6) AS mae,
-       round(1.0 - sse / (syy - sy * sy / n), 6) AS r2, n AS n_rows FROM a""",
+       round(1.0 - sse / (var_y * n), 6) AS r2, n AS n_rows FROM a""",
 )
 def metrics_from_predictions(spark, sf_dir):
     ev = table(spark, sf_dir, "events")

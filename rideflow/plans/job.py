@@ -103,11 +103,11 @@ class RideJob:
     def validate(self) -> None:
         cfg = self.config
         self.report["importances"] = ml.feature_importances(self.model, cfg.feature_cols, self.spark)
-        parts = []
-        for set_name in ("training", "test"):
-            scored = ml.score(self.model, self.sdfs[set_name])
-            parts.append(ml.regression_metrics(scored, cfg.label).select(F.lit(set_name).alias("set"), "*"))
-        self.report["metrics"] = parts[0].unionByName(parts[1])
+        # Both sets scored and measured in one pass, grouped by set.
+        both = self.sdfs["training"].withColumn("set", F.lit("training")).unionByName(
+            self.sdfs["test"].withColumn("set", F.lit("test"))
+        )
+        self.report["metrics"] = ml.regression_metrics(ml.score(self.model, both), cfg.label, by=["set"])
         log.info("validation reports ready: %s", ", ".join(self.report))
 
     def load(self, path: str) -> str:

@@ -62,23 +62,28 @@ def feature_importances(model: PipelineModel, feature_cols: Sequence[str], spark
     return spark.createDataFrame(rows, schema).orderBy(F.desc("importance"), F.asc("feature"))
 
 
-def regression_metrics(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """rmse, mae, r2 and the row count in one aggregate pass (K7).
-
-    ``r2 = 1 - SSE / SST`` with ``SST = sum(y^2) - sum(y)^2 / n``, as Spark's
-    evaluator defines it; a constant label gives null.
+def regression_metrics(
+    predictions: DataFrame, label: str, prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    """rmse, mae, r2 and the row count in one aggregate pass (K7), optionally per group.
+
+    ``r2 = 1 - SSE / SST`` as Spark's evaluator defines it, with
+    ``SST = n * var_pop(y)``: the variance aggregate merges partial moments, so
+    it stays accurate over billions of rows where ``sum(y^2) - sum(y)^2 / n``
+    would cancel.  A constant label gives null.
     """
     y = F.col(label).cast("double")
     err = y - F.col(prediction).cast("double")
-    agg = predictions.agg(
+    grouped = predictions.groupBy(*by) if by else predictions
+    agg = grouped.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(err * err).alias("sse"),
         F.sum(F.abs(err)).alias("sae"),
-        F.sum(y).alias("sy"),
-        F.sum(y * y).alias("syy"),
+        F.var_pop(y).alias("var_y"),
     )
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    sst = F.col("var_y") * F.col("n")
     return agg.select(
+        *by,
         F.sqrt(F.try_divide(F.col("sse"), F.col("n"))).alias("rmse"),
         F.try_divide(F.col("sae"), F.col("n")).alias("mae"),
         F.when(sst > 0, F.lit(1.0) - F.col("sse") / sst).alias("r2"),
