@@ -77,3 +77,15 @@ def test_first_n_daily(spark):
     )
     kept = windows.first_n_daily(df, "loc", "ts", 2, ["id"])
     assert sorted(r.id for r in kept.collect()) == [1, 2, 4]
+
+
+def test_hot_key_spans_many_ranges(spark):
+    rows = [("hot", i) for i in range(3000)] + [(f"k{i % 50}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, pos int")
+    ranged = windows.ordered_ranges(df, ["k"], ["pos"], 12)
+    per_key = {r.k: r.n for r in ranged.groupBy("k").agg(F.countDistinct("_bucket").alias("n")).collect()}
+    assert per_key["hot"] >= 3
+    # ranges are contiguous and increasing in the order within a key
+    hot = sorted((r.pos, r._bucket) for r in ranged.filter("k = 'hot'").collect())
+    buckets = [b for _, b in hot]
+    assert buckets == sorted(buckets)
