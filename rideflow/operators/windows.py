@@ -15,8 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rideflow.operators.aggregates import total_order
 
@@ -64,6 +67,27 @@ def first_n_daily(
     return latest_n(keyed, [*_names(key), "_day"], order, n, out=None).drop("_day")
 
 
+def _summable(df: DataFrame, value: Column | str) -> tuple[Column, object]:
+    """The value to sum and a function turning its sum back into Spark's sum type.
+
+    A decimal of at most 18 digits is summed as its unscaled 64-bit integer
+    (``1.25`` as ``125``): the same exact result as a decimal sum, without a
+    decimal object per row.  Overflow raises under ANSI instead of wrapping.
+    """
+    column = F.col(value) if isinstance(value, str) else value
+    probe = df.select(column.alias("_v"), F.sum(column).over(Window.partitionBy()).alias("_s")).schema
+    dtype, sum_type = probe["_v"].dataType, probe["_s"].dataType
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
+        unscaled = (column * F.lit(10**dtype.scale)).cast("bigint")
+        unit = F.lit(Decimal(1).scaleb(-dtype.scale)) if dtype.scale else F.lit(1)
+
+        def restore(total: Column) -> Column:
+            return (total.cast(T.DecimalType(min(38, sum_type.precision), 0)) * unit).cast(sum_type)
+
+        return unscaled, restore
+    return column, lambda total: total.cast(sum_type)
+
+
 def ordered_ranges(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], buckets: int, out: str = "_bucket"
 ) -> DataFrame:
@@ -84,38 +108,49 @@ def running_totals(
     keys: str | Sequence[str],
     order: Sequence[Column | str],
     buckets: int | str | None = None,
+    bucket_by: Column | None = None,
 ) -> DataFrame:
     """Running sums (rows from the first to the current one) per key.
 
     ``sums`` maps an output name to the value summed.  ``order`` should be
-    total (add tie-breakers).  With ``buckets`` the work is spread over that
-    many ordered ranges instead of one task per key; ``"auto"`` takes the
-    session's ``spark.sql.shuffle.partitions``, which is sized for the data.
+    total (add tie-breakers).  Three plans:
+
+    * neither option: one window per key (one task per key);
+    * ``buckets=k`` (or ``"auto"`` = ``spark.sql.shuffle.partitions``): rows
+      are split into k ranges of (key, order) with sampled bounds, so any key,
+      however hot, spans many tasks.  Costs a sampling pass and two shuffles;
+    * ``bucket_by=col``: a coarse column that never decreases along ``order``
+      within a key (e.g. the hour of the ordering timestamp) defines the
+      ranges.  One shuffle, no sampling; a single (key, bucket) stays one task.
     """
     key_names = _names(keys)
     order_cols = _cols(order)
     if buckets == "auto":
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if buckets is None:
+    prepared = {out: _summable(df, v) for out, v in sums.items()}
+    if buckets is None and bucket_by is None:
         frame = (
             Window.partitionBy(*key_names)
             .orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return df.withColumns({out: F.sum(v).over(frame) for out, v in sums.items()})
+        return df.withColumns({out: back(F.sum(v).over(frame)) for out, (v, back) in prepared.items()})
 
     # 1. Ordered ranges: rows of one key are contiguous, ranges numbered in order.
-    ranged = ordered_ranges(df, key_names, order_cols, buckets)
+    if bucket_by is not None:
+        ranged = df.withColumn("_bucket", bucket_by)
+    else:
+        ranged = ordered_ranges(df, key_names, order_cols, buckets)
     # 2. Running sums inside each (key, range).
     local_frame = (
         Window.partitionBy(*key_names, "_bucket")
         .orderBy(*order_cols)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = ranged.withColumns({f"_local_{out}": F.sum(v).over(local_frame) for out, v in sums.items()})
+    local = ranged.withColumns({f"_local_{out}": F.sum(v).over(local_frame) for out, (v, _) in prepared.items()})
     # 3. Totals of the earlier ranges of the same key: one row per (key, range).
     totals = ranged.groupBy(*key_names, "_bucket").agg(
-        *[F.sum(v).alias(f"_total_{out}") for out, v in sums.items()]
+        *[F.sum(v).alias(f"_total_{out}") for out, (v, _) in prepared.items()]
     )
     before = Window.partitionBy(*key_names).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -130,11 +165,13 @@ def running_totals(
         cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
     joined = local.join(offsets, cond, "inner")
     results = {}
-    for out in sums:
+    for out, (_, back) in prepared.items():
         loc, off = F.col(f"_local_{out}"), F.col(f"_offset_{out}")
-        results[out] = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
-            F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0))
-        ).cast(df.select(F.sum(sums[out]).alias("_t")).schema["_t"].dataType)
+        results[out] = back(
+            F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
+                F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0))
+            )
+        )
     helper = ["_bucket", "_obucket", *[f"_key_{i}" for i in range(len(key_names))]]
     helper += [f"_local_{o}" for o in sums] + [f"_offset_{o}" for o in sums]
     return joined.withColumns(results).drop(*helper)
@@ -147,9 +184,10 @@ def running_sum(
     order: Sequence[Column | str],
     out: str = "running_sum",
     buckets: int | str | None = None,
+    bucket_by: Column | None = None,
 ) -> DataFrame:
     """One running sum (W3); see ``running_totals``."""
-    return running_totals(df, {out: value}, keys, order, buckets)
+    return running_totals(df, {out: value}, keys, order, buckets, bucket_by)
 
 
 def rows_to_reach(
@@ -161,6 +199,7 @@ def rows_to_reach(
     mode: str = "reference",
     out: str = "rows_count",
     buckets: int | str | None = None,
+    bucket_by: Column | None = None,
 ) -> DataFrame:
     """Rows needed per key for the running sum of ``value`` to reach ``target``.
 
@@ -176,7 +215,7 @@ def rows_to_reach(
     """
     key_names = _names(keys)
     if mode == "reference":
-        running = running_totals(df, {"_run": value}, key_names, order, buckets)
+        running = running_totals(df, {"_run": value}, key_names, order, buckets, bucket_by)
         kept = running.filter(F.col("_run") <= F.lit(target))
         return kept.groupBy(*key_names).agg(
             F.when(F.max("_run") >= F.lit(target), F.count(F.lit(1)))
@@ -185,7 +224,9 @@ def rows_to_reach(
             .alias(out)
         )
     if mode == "first_crossing":
-        running = running_totals(df, {"_run": value, "_pos": F.lit(1).cast("bigint")}, key_names, order, buckets)
+        running = running_totals(
+            df, {"_run": value, "_pos": F.lit(1).cast("bigint")}, key_names, order, buckets, bucket_by
+        )
         return running.groupBy(*key_names).agg(
             F.min(F.when(F.col("_run") >= F.lit(target), F.col("_pos"))).cast("bigint").alias(out)
         )

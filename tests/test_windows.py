@@ -89,3 +89,15 @@ def test_hot_key_spans_many_ranges(spark):
     hot = sorted((r.pos, r._bucket) for r in ranged.filter("k = 'hot'").collect())
     buckets = [b for _, b in hot]
     assert buckets == sorted(buckets)
+
+
+def test_running_sum_with_coarse_buckets(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["hot", "hot", "a", None]), i, Decimal(rnd.randint(-50, 90)) / 10) for i in range(300)]
+    df = _series(spark, rows)
+    plain = {(r.k, r.pos): r.running_sum for r in windows.running_sum(df, "v", "k", ["pos"]).collect()}
+    coarse = windows.running_sum(df, "v", "k", ["pos"], bucket_by=F.floor(F.col("pos") / 40))
+    assert {(r.k, r.pos): r.running_sum for r in coarse.collect()} == plain
+    reach = windows.rows_to_reach(df, "v", "k", ["pos"], 5, mode="first_crossing", bucket_by=F.floor(F.col("pos") / 40))
+    plain_reach = windows.rows_to_reach(df, "v", "k", ["pos"], 5, mode="first_crossing")
+    assert sorted(map(tuple, reach.collect()), key=str) == sorted(map(tuple, plain_reach.collect()), key=str)
