@@ -82,15 +82,19 @@ class RideJob:
         cfg = self.config
         prepared = prepare_rides(self.sdfs[cfg.trips_name], self.sdfs[cfg.zones_name], cfg.prepare)
         self.sdfs["prepared_data"] = prepared
+        self.sdfs.pop("prepared_files", None)
 
     def train(self, learner: str | None = None) -> None:
         """Split and fit; ``learner`` swaps the regressor for this call."""
         cfg = self.config
         prepared = self.sdfs["prepared_data"]
         if cfg.materialize_prepared:
-            # Written once: the fit and every evaluation read files instead of
-            # re-running scans, the anti joins and the window.
-            prepared = materialize(prepared, self.spark, label="prepared")
+            # Written once per transform: the fit and every evaluation read
+            # files instead of re-running scans, the anti joins and the window,
+            # and a re-run with another learner or split reuses them.
+            if "prepared_files" not in self.sdfs:
+                self.sdfs["prepared_files"] = materialize(prepared, self.spark, label="prepared")
+            prepared = self.sdfs["prepared_files"]
         self.sdfs["training"], self.sdfs["test"] = random_split(prepared, cfg.test_fraction, cfg.split_seed)
         self.model = ml.train(
             self.sdfs["training"],

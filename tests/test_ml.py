@@ -98,3 +98,17 @@ def test_run_from_csv_sources(spark, tmp_path):
     report = job.run(model_path=scratch_path(spark, "model-csv"))
     assert job.sdfs["prepared_data"].filter("pickup_location_id = 1").count() == 0  # an airport
     assert {r.set for r in report["metrics"].collect()} == {"training", "test"}
+
+
+def test_retrain_reuses_materialized_data(spark):
+    job = RideJob(RideConfig(), spark)
+    job.sdfs["taxi_trip_data"] = _rides(spark, 120)
+    job.sdfs["taxi_zone_geo"] = zones(spark)
+    job.transform()
+    job.train()
+    files = job.sdfs["prepared_files"].inputFiles()
+    again = job.with_config(test_fraction=0.3)
+    again.train(learner="gbt")
+    assert again.sdfs["prepared_files"].inputFiles() == files
+    job.transform()
+    assert "prepared_files" not in job.sdfs
