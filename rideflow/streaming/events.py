@@ -38,11 +38,13 @@ def _stream_path(path: str) -> str:
     return path
 
 
-def stream_filtered(spark: SparkSession, sf_dir: str, cfg: PrepareConfig, max_files_per_trigger: int = 1) -> DataFrame:
+def stream_filtered(spark: SparkSession, sf_dir: str, cfg: PrepareConfig, max_files_per_trigger: int = 1000) -> DataFrame:
     """Run the filters as a stream over the events files until caught up, then read the sink.
 
     The sink and its checkpoint live below ``spark.checkpoint.dir``, so a
     restarted query resumes where it stopped and writes each batch once.
+    ``max_files_per_trigger`` bounds each micro-batch, so catching up on a
+    large backlog runs as several bounded batches rather than one.
     """
     events = (
         spark.readStream.schema(TABLE_SCHEMAS["events"])
