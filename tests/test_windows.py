@@ -11,8 +11,8 @@ def _series(spark, rows):
     return spark.createDataFrame(rows, "k string, pos int, v decimal(12,2)")
 
 
-@pytest.mark.parametrize("buckets", [None, 1, 3, 7])
-def test_running_sum_bucketed_equals_plain(spark, buckets):
+@pytest.mark.parametrize(("buckets", "method"), [(None, "arrow"), (1, "arrow"), (3, "arrow"), (7, "arrow"), (7, "window")])
+def test_running_sum_bucketed_equals_plain(spark, buckets, method):
     rnd = random.Random(7)
     rows = []
     for i in range(400):
@@ -22,7 +22,7 @@ def test_running_sum_bucketed_equals_plain(spark, buckets):
     df = _series(spark, rows)
     got = {
         (r.k, r.pos): r.running_sum
-        for r in windows.running_sum(df, "v", "k", ["pos"], buckets=buckets).collect()
+        for r in windows.running_sum(df, "v", "k", ["pos"], buckets=buckets, method=method).collect()
     }
     expected, acc = {}, {}
     for k, pos, v in sorted(rows, key=lambda r: r[1]):
@@ -101,3 +101,20 @@ def test_running_sum_with_coarse_buckets(spark):
     reach = windows.rows_to_reach(df, "v", "k", ["pos"], 5, mode="first_crossing", bucket_by=F.floor(F.col("pos") / 40))
     plain_reach = windows.rows_to_reach(df, "v", "k", ["pos"], 5, mode="first_crossing")
     assert sorted(map(tuple, reach.collect()), key=str) == sorted(map(tuple, plain_reach.collect()), key=str)
+
+
+@pytest.mark.parametrize("value_type", ["double", "int", "decimal(12,2)"])
+def test_arrow_prefix_small_batches(spark, value_type):
+    # Batches of 7 rows force sums to carry across batch borders.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rnd = random.Random(5)
+        rows = [(rnd.choice(["x", "y", None]), rnd.randint(0, 3), i, None if rnd.random() < 0.2 else rnd.randint(-9, 9))
+                for i in range(300)]
+        df = spark.createDataFrame(rows, "k string, k2 int, pos int, v int").withColumn("v", F.col("v").cast(value_type))
+        arrow = windows.running_sum(df, "v", ["k", "k2"], ["pos"], buckets=5, method="arrow")
+        plain = windows.running_sum(df, "v", ["k", "k2"], ["pos"])
+        assert arrow.schema == plain.schema
+        assert sorted(map(tuple, arrow.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
