@@ -124,3 +124,42 @@ class RideJob:
         job.sdfs = dict(self.sdfs)
         job.model = self.model
         return job
+
+
+def main(argv: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Run the job from the command line: ``python -m rideflow.plans.job --trips ... --zones ...``."""
+    import argparse
+
+    from rideflow.session import build_session
+    from rideflow.sources.tables import TRIP_SCHEMA, ZONE_SCHEMA
+
+    parser = argparse.ArgumentParser(prog="rideflow-job", description=__doc__)
+    parser.add_argument("--trips", required=True, help="trip table (folder or file)")
+    parser.add_argument("--zones", required=True, help="zone table (folder or file)")
+    parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    parser.add_argument("--model", help="where to save the fitted pipeline")
+    parser.add_argument("--learner", default="rf", choices=["rf", "gbt"])
+    parser.add_argument("--test-fraction", type=float, default=0.2)
+    parser.add_argument("--history", nargs=2, default=["201703", "201811"], metavar=("AFTER", "THROUGH"))
+    args = parser.parse_args(argv)
+
+    spark = build_session()
+    sources = {
+        "taxi_trip_data": TableSpec(args.trips, args.format, TRIP_SCHEMA),
+        "taxi_zone_geo": TableSpec(args.zones, args.format, ZONE_SCHEMA),
+    }
+    prepare = dataclasses.replace(
+        PrepareConfig(), history_start_month=args.history[0], history_end_month=args.history[1]
+    )
+    job = RideJob(
+        RideConfig(prepare=prepare, learner=args.learner, test_fraction=args.test_fraction), spark, sources
+    )
+    report = job.run(model_path=args.model)
+    for name, df in report.items():
+        print(name)
+        df.show(truncate=False)
+    return report
+
+
+if __name__ == "__main__":
+    main()

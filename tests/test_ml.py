@@ -112,3 +112,16 @@ def test_retrain_reuses_materialized_data(spark):
     assert again.sdfs["prepared_files"].inputFiles() == files
     job.transform()
     assert "prepared_files" not in job.sdfs
+
+
+def test_command_line_entry(spark, tmp_path, capsys):
+    from rideflow.plans.job import main
+
+    trips_dir = str(tmp_path / "trips")
+    _rides(spark, 150).write.parquet(trips_dir)
+    zone_dir = str(tmp_path / "zones")
+    zones(spark, [(3, "LaGuardia Airport")], ["zone_id", "zone_name"]).write.parquet(zone_dir)
+    report = main(["--trips", trips_dir, "--zones", zone_dir, "--format", "parquet", "--learner", "gbt",
+                   "--model", str(tmp_path / "model")])
+    assert report["metrics"].count() == 2
+    assert "importances" in capsys.readouterr().out
