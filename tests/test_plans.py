@@ -50,3 +50,19 @@ def test_pair_count_joins_counts_not_rows(spark):
 def test_projection_is_pruned(spark):
     plan = _plan(spark, "scatter_series")
     assert "ReadSchema: struct<p_type:string,p_size:int,p_retailprice:double>" in plan
+
+
+def test_two_exclusions_share_one_broadcast(spark, tmp_path):
+    from rideflow.operators.rides import prepare_rides
+    from tests.fixtures import trips, zones
+
+    trips(spark, [(1, 2), (3, 4)], ["pickup_location_id", "dropoff_location_id"]).write.parquet(str(tmp_path / "t"))
+    zones(spark, [(3, "JFK Airport")], ["zone_id", "zone_name"]).write.parquet(str(tmp_path / "z"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    z = spark.read.parquet(str(tmp_path / "z"))
+    df = prepare_rides(t, z)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("LeftAnti") == 2
+    assert "ReusedExchange" in plan
+    assert "PushedFilters: [IsNotNull(pickup_datetime), GreaterThanOrEqual(pickup_datetime" in plan
