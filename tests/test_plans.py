@@ -65,4 +65,10 @@ def test_two_exclusions_share_one_broadcast(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("LeftAnti") == 2
     assert "ReusedExchange" in plan
-    assert "PushedFilters: [IsNotNull(pickup_datetime), GreaterThanOrEqual(pickup_datetime" in plan
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    assert "GreaterThanOrEqual(pickup_datetime,2017-04-01 00:00:00.0), LessThan(pickup_datetime,2018-12-01" in buf.getvalue()
