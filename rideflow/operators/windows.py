@@ -8,13 +8,12 @@ Running sums over few, large groups cannot be cut that way: a plain window
 puts each group in one task.  ``running_totals(..., buckets=k)`` splits every
 group into ordered ranges (a range repartition samples the order columns),
 sums each range locally, and adds the totals of the earlier ranges of the
-same group, which form a small table.
+same group, which form a table of at most ``k + keys`` rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-
 from decimal import Decimal
 from functools import partial
 
@@ -218,8 +217,7 @@ def running_totals(
     # 2. Running sums inside each (key, range).
     if bucket_by is None and method == "arrow" and all(k for _, _, k in prepared.values()):
         # Each range is one partition already: sort it and sum in place with
-        # Arrow batches instead of a second, hash-partitioned shuffle, which
-        # would also pile several ranges into some tasks.
+        # Arrow batches instead of moving the rows through a second shuffle.
         staged = ranged.withColumns({f"_v_{out}": v for out, (v, _, _) in prepared.items()})
         staged = staged.sortWithinPartitions(*[F.col(k) for k in key_names], *order_cols)
         outs = [f"_local_{out}" for out in prepared]
