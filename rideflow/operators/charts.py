@@ -6,7 +6,7 @@ that produces the few rows a chart shows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rideflow.operators.aggregates import value_shares
@@ -19,21 +19,19 @@ def bar_chart_data(
     cutoff: float = 50.0,
     highlight: str | None = None,
 ) -> DataFrame:
-    """One row per category: share in percent, bar position, label and flags (V1).
+    """One row per category, largest bar first: share in percent, label and flags (V1).
 
-    ``position`` 1 is the largest bar (bars drawn top to bottom), ``label`` is
-    the whole-percent text printed on the bar, ``above_cutoff`` tells whether
-    the bar passes the cutoff line and ``highlight`` marks the chosen bar.
+    Rows come sorted as the bars are drawn (count descending, then category).
+    ``label`` is the whole-percent text printed on the bar, ``above_cutoff``
+    tells whether the bar passes the cutoff line and ``highlight`` marks the
+    chosen bar.  The bar order is the sort itself, so no window over all
+    categories is needed.
     """
     shares = value_shares(df, category, fmt="%.0f%%", text_col="label", share_col="percent")
     return shares.select(
         F.col(category).alias("category"),
         F.col("count"),
         F.col("percent"),
-        F.row_number()
-        .over(_bar_order(category))
-        .cast("bigint")
-        .alias("position"),
         F.col("label"),
         (F.col("percent") > F.lit(cutoff)).alias("above_cutoff"),
         (F.col(category) == F.lit(highlight)).alias("highlight")
@@ -42,11 +40,6 @@ def bar_chart_data(
     )
 
 
-def _bar_order(category: str):
-    # Runs over the aggregated categories only: a chart's worth of rows.
-    return Window.orderBy(F.desc("count"), F.asc_nulls_first(category))
-
-
 def scatter_series(
     df: DataFrame,
     x: str,

@@ -722,7 +722,6 @@ def random_split_counts(spark, sf_dir):
     """WITH c AS (SELECT o_orderpriority AS category, count(*) AS "count" FROM orders GROUP BY o_orderpriority),
 s AS (SELECT *, 100.0::DOUBLE * "count" / sum("count") OVER () AS "percent" FROM c)
 SELECT category, "count", "percent",
-       row_number() OVER (ORDER BY "count" DESC, category) AS "position",
        printf('%.0f%%', "percent") AS label, "percent" > 20 AS above_cutoff,
        category = '1-URGENT' AS highlight FROM s""",
 )
