@@ -144,7 +144,8 @@ def doubled_unix_date(c: ColumnLike) -> Column:
 def percent_text(part: ColumnLike, whole: ColumnLike, fmt: str = "%2.2f%%") -> Column:
     """``100 * part / whole`` as text with ``fmt`` (X12, X13); a zero whole gives null."""
     ratio = F.try_divide(col_of(part).cast("double") * 100.0, col_of(whole).cast("double"))
-    return F.format_string(fmt, ratio)
+    # format_string would print a null as text ("n%"); keep it null instead.
+    return F.when(ratio.isNotNull(), F.format_string(fmt, ratio))
 
 
 def scaled_by_name_length(columns: Iterable[str]) -> list[Column]:

@@ -48,7 +48,7 @@ def value_shares(
     total = counts.agg(F.sum(count_col)).scalar()
     shares = (
         counts.withColumn(share_col, F.try_divide(F.col(count_col).cast("double") * 100.0, total.cast("double")))
-        .withColumn(text_col, F.format_string(fmt, F.col(share_col)))
+        .withColumn(text_col, F.when(F.col(share_col).isNotNull(), F.format_string(fmt, F.col(share_col))))
         .orderBy(F.desc(count_col), F.asc_nulls_first(col))
     )
     return shares.limit(n) if n is not None else shares

@@ -77,3 +77,9 @@ def test_random_split_covers_all_rows(spark):
     training, test = sampling.random_split(df, 0.2, 42)
     assert training.count() + test.count() == 1000
     assert training.join(test, "id").count() == 0
+
+
+def test_percent_text_with_zero_total(spark):
+    df = spark.createDataFrame([(3, 0), (1, 4)], "part long, whole long")
+    got = [r.p for r in df.select(C.percent_text("part", "whole", "%.1f%%").alias("p")).collect()]
+    assert got == [None, "25.0%"]

@@ -73,14 +73,22 @@ def test_partial_rerun_with_new_config(spark):
 
 
 def test_null_feature_policy(spark):
-    raw = _rides(spark, 60).withColumn("fare_amount", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(None).cast("double"))
-    job = RideJob(RideConfig(handle_invalid="skip"), spark)
-    job.sdfs["taxi_trip_data"] = raw
-    job.sdfs["taxi_zone_geo"] = zones(spark)
-    job.transform()
+    from pyspark.sql import functions as F
+
+    raw = _rides(spark, 120).withColumn(
+        "fare_amount", F.when(F.col("pickup_location_id") % 2 == 0, F.lit(None)).otherwise(F.col("fare_amount"))
+    )
+    strict = RideJob(RideConfig(), spark)
+    strict.sdfs["taxi_trip_data"] = raw
+    strict.sdfs["taxi_zone_geo"] = zones(spark)
+    strict.transform()
     with pytest.raises(Exception):
-        # every row has a null feature: nothing is left to train on
-        job.train()
+        strict.train()  # VectorAssembler rejects null features by default
+    lenient = strict.with_config(handle_invalid="skip")
+    lenient.train()
+    lenient.validate()
+    n_scored = sum(r.n_rows for r in lenient.report["metrics"].collect())
+    assert 0 < n_scored < lenient.sdfs["prepared_data"].count()
 
 
 def test_run_from_csv_sources(spark, tmp_path):

@@ -110,3 +110,24 @@ def test_first_n_daily_uses_tie_breaker(spark):
 def test_duplicates_are_removed_before_ranking(spark):
     raw = trips(spark, [(1,), (1,), (1,), (1,)], ["vendor_id"])
     assert prepare_rides(raw, zones(spark)).count() == 1
+
+
+def _zone_file_like(spark):
+    # Traits of the shipped zone table: ids 56 twice and 103 three times, 57, 104, 105 and
+    # everything above 263 missing, airports at 1, 132 and 138.
+    rows = [(1, "Newark Airport"), (132, "JFK Airport"), (138, "LaGuardia Airport"),
+            (56, "Corona"), (56, "Corona"), (103, "Liberty Island"), (103, "Ellis Island"),
+            (103, "Governor's Island"), (7, "Astoria"), (263, "Yorkville West")]
+    return zones(spark, rows, ["zone_id", "zone_name"])
+
+
+def test_zone_table_traits_in_both_exclusion_modes(spark):
+    cols = ["pickup_location_id", "dropoff_location_id", "vendor_id"]
+    data = [(56, 7, 1), (103, 7, 2), (264, 7, 3), (132, 7, 4), (7, 138, 5), (7, 1, 6), (7, 263, 7)]
+    raw = trips(spark, data, cols)
+    z = _zone_file_like(spark)
+    anti = sorted(r.vendor_id for r in prepare_rides(raw, z).collect())
+    assert anti == [1, 2, 3, 7]  # repeated ids do not multiply, an unknown id survives
+    cfg = PrepareConfig(exclusion_mode="matched_only")
+    matched = sorted(r.vendor_id for r in prepare_rides(raw, z, cfg).collect())
+    assert matched == [1, 2, 7]  # the unknown id 264 goes, repeated ids still count once
