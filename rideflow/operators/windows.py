@@ -79,8 +79,9 @@ def _summable(df: DataFrame, value: Column | str) -> tuple[Column, object, str |
     decimal object per row.  Overflow raises instead of wrapping.
     """
     column = F.col(value) if isinstance(value, str) else value
-    probe = df.select(column.alias("_v"), F.sum(column).over(Window.partitionBy()).alias("_s")).schema
-    dtype, sum_type = probe["_v"].dataType, probe["_s"].dataType
+    # Analysis only, nothing runs: the value's type and the type Spark gives its sum.
+    dtype = df.select(column.alias("_v")).schema["_v"].dataType
+    sum_type = df.agg(F.sum(column).alias("_s")).schema["_s"].dataType
     if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
         unscaled = (column * F.lit(10**dtype.scale)).cast("bigint")
         unit = F.lit(Decimal(1).scaleb(-dtype.scale)) if dtype.scale else F.lit(1)
