@@ -49,8 +49,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is used as is.  Only when nothing is configured (a
-    local test run) a fresh temporary folder is created and registered.
+    The cluster's setting is used as is.  Only when nothing is configured and
+    the master is ``local[...]`` (a test run) a fresh temporary folder is
+    created and registered; on a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -58,6 +59,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder every executor can read "
+                "(HDFS, S3, ...); a machine-local folder would not survive a lost executor"
+            )
         configured = tempfile.mkdtemp(prefix="rideflow-ckpt-")
         spark.sparkContext.setCheckpointDir(configured)
     if spark.sparkContext.getCheckpointDir() is None:
