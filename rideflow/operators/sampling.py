@@ -35,7 +35,12 @@ def md5_threshold(fraction: float) -> str:
 
 
 def hash_sample(df: DataFrame, keys: str | Sequence[str], fraction: float) -> DataFrame:
-    """Rows whose key hashes below ``fraction`` (M0): same rows every run."""
+    """Rows whose key hashes below ``fraction`` (M0): same rows every run.
+
+    Rows sharing a key are kept or dropped together, so ``keys`` should
+    identify rows (an id, or several columns that together do); a null key
+    hashes to null and is never kept, as in SQL's ``md5``.
+    """
     if fraction >= 1.0:
         return df
     return df.filter(F.md5(_key_text(keys)) < F.lit(md5_threshold(fraction)))
