@@ -38,13 +38,21 @@ def _stream_path(path: str) -> str:
     return path
 
 
-def stream_filtered(spark: SparkSession, sf_dir: str, cfg: PrepareConfig, max_files_per_trigger: int = 1000) -> DataFrame:
+def stream_filtered(
+    spark: SparkSession,
+    sf_dir: str,
+    cfg: PrepareConfig,
+    max_files_per_trigger: int = 1000,
+    sink_root: str | None = None,
+) -> DataFrame:
     """Run the filters as a stream over the events files until caught up, then read the sink.
 
     The sink and its checkpoint live below ``spark.checkpoint.dir``, so a
     restarted query resumes where it stopped and writes each batch once.
     ``max_files_per_trigger`` bounds each micro-batch, so catching up on a
-    large backlog runs as several bounded batches rather than one.
+    large backlog runs as several bounded batches rather than one.  Pass the
+    same ``sink_root`` again to resume a stopped or failed run: files already
+    processed are skipped and no row is written twice.
     """
     events = (
         spark.readStream.schema(TABLE_SCHEMAS["events"])
@@ -53,7 +61,7 @@ def stream_filtered(spark: SparkSession, sf_dir: str, cfg: PrepareConfig, max_fi
     )
     customers = table(spark, sf_dir, "customer")
     kept = filter_ride_stream(events, customers, cfg)
-    root = scratch_path(spark, "stream")
+    root = sink_root or scratch_path(spark, "stream")
     running = (
         kept.writeStream.format("parquet")
         .option("path", f"{root}/data")

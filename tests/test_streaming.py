@@ -16,3 +16,13 @@ def test_stream_equals_batch(spark):
     batch = filter_ride_stream(table(spark, SF, "events"), table(spark, SF, "customer"), EVENT_PREPARE)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     assert isinstance(EVENT_PREPARE, PrepareConfig)
+
+
+@pytest.mark.skipif(not Path(SF, "events.parquet").exists(), reason="driver tables not present")
+def test_rerun_resumes_without_duplicates(spark):
+    from rideflow.session import scratch_path
+
+    root = scratch_path(spark, "stream-resume")
+    first = stream_filtered(spark, SF, EVENT_PREPARE, sink_root=root).count()
+    again = stream_filtered(spark, SF, EVENT_PREPARE, sink_root=root).count()
+    assert first == again > 0
