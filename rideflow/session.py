@@ -46,6 +46,14 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises for sparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -53,21 +61,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     the master is ``local[...]`` (a test run) a fresh temporary folder is
     created and registered; on a cluster a missing setting is an error.
     """
+    sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at a folder every executor can read "
                 "(HDFS, S3, ...); a machine-local folder would not survive a lost executor"
             )
         configured = tempfile.mkdtemp(prefix="rideflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
