@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from rideflow.operators.rides import PrepareConfig, prepare_rides
 from rideflow.operators.sampling import random_split
 from rideflow.plans import ml
+from rideflow.session import build_session
 from rideflow.sources.sinks import materialize, save_model
-from rideflow.sources.tables import TableSpec, extract
+from rideflow.sources.tables import TRIP_SCHEMA, ZONE_SCHEMA, TableSpec, extract
 
 log = logging.getLogger(__name__)
 
@@ -130,9 +131,6 @@ def main(argv: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Run the job from the command line: ``python -m rideflow.plans.job --trips ... --zones ...``."""
     import argparse
 
-    from rideflow.session import build_session
-    from rideflow.sources.tables import TRIP_SCHEMA, ZONE_SCHEMA
-
     parser = argparse.ArgumentParser(prog="rideflow-job", description=__doc__)
     parser.add_argument("--trips", required=True, help="trip table (folder or file)")
     parser.add_argument("--zones", required=True, help="zone table (folder or file)")
