@@ -346,11 +346,13 @@ def latest_n_array(
     The array holds at most ``n`` elements and its order is the window order,
     so element ``i`` means "the (i+1)-th latest".  ``order`` should be total;
     ``break_ties=True`` appends every other column to make it so (a longer sort).
+    ``payload`` may be any expression over ``df``'s columns (a struct, say); it
+    is evaluated only for the kept rows, after the top-n filter.
     """
     key_names = _names(keys)
     payload_col = F.col(payload) if isinstance(payload, str) else payload
     ordering = total_order(df, order, exclude=key_names) if break_ties else _cols(order)
-    top = latest_n(df.withColumn("_payload", payload_col), key_names, ordering, n, out="_rn")
+    top = latest_n(df, key_names, ordering, n, out="_rn").withColumn("_payload", payload_col)
     return top.groupBy(*key_names).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col("_payload")))),

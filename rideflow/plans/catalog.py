@@ -622,11 +622,14 @@ def packed_payments(spark, sf_dir):
 
 
 def _latest_order():
-    # The contribution columns now live inside the payments struct.
-    def ref(c: str):
-        return F.col(f"payments.contributions.{c}") if c in _CONTRIBUTIONS else F.col(c)
+    return [F.desc("l_shipdate"), *[F.asc(c) for c in _line_order_without("l_shipdate")]]
 
-    return [F.desc("l_shipdate"), *[F.asc(ref(c)) for c in _line_order_without("l_shipdate")]]
+
+def _payment_struct():
+    """``struct(contributions = struct(4 columns), l_total)`` as one expression."""
+    contributions = F.struct(*[F.col(c) for c in _CONTRIBUTIONS]).alias("contributions")
+    total = F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")) * (F.lit(1) + F.col("l_tax"))
+    return F.struct(contributions, total.alias("l_total"))
 
 
 _LATEST_ORDER_SQL = "l_shipdate DESC, " + ", ".join(_line_order_without("l_shipdate"))
@@ -634,8 +637,8 @@ _LATEST_ORDER_SQL = "l_shipdate DESC, " + ", ".join(_line_order_without("l_shipd
 
 def _latest_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 latest payment structs per supplier as one array."""
-    s = _structured_lines(table(spark, sf_dir, "lineitem"))
-    return windows.latest_n_array(s, "l_suppkey", _latest_order(), "payments", 5, out="payments")
+    li = table(spark, sf_dir, "lineitem")
+    return windows.latest_n_array(li, "l_suppkey", _latest_order(), _payment_struct(), 5, out="payments")
 
 
 _LATEST_SQL = f"""WITH p AS (SELECT *, {_TOTAL_SQL} AS l_total, row_number() OVER
