@@ -503,6 +503,20 @@ def chain_pair_count(spark, sf_dir):
     return joins.chain_pair_count(li, "l_suppkey", li, "l_partkey")
 
 
+_PAIR_SAMPLE_BOUND = sampling.md5_threshold(0.1)
+
+
+@query(
+    "sampled_chain_pair_count",
+    f"""WITH s AS (SELECT * FROM lineitem WHERE md5(CAST(l_orderkey AS VARCHAR)) < '{_PAIR_SAMPLE_BOUND}')
+       SELECT count(*) AS n_pairs FROM s a JOIN s b ON a.l_suppkey = b.l_partkey""",
+)
+def sampled_chain_pair_count(spark, sf_dir):
+    """J7 as the course does it: one sample (10 % of orders), used on both sides, then counted."""
+    sample = sampling.hash_sample(table(spark, sf_dir, "lineitem"), "l_orderkey", 0.1)
+    return joins.chain_pair_count(sample, "l_suppkey", sample, "l_partkey")
+
+
 # --- windows ----------------------------------------------------------------
 
 
