@@ -24,11 +24,21 @@ def add_date_parts(
 
 
 def add_features(
-    df: DataFrame, ts_col: str, flag_col: str, flag_value: str, flag_out: str | None = None
+    df: DataFrame,
+    ts_col: str,
+    flag_col: str,
+    flag_value: str,
+    flag_out: str | None = None,
+    encoding: tuple[int, int] = (1, 0),
 ) -> DataFrame:
-    """The job's feature step (R2): date parts plus a 1/0 flag encoding."""
+    """The job's feature step (R2): date parts plus a flag encoding.
+
+    By default a new column ``{flag}_is_{value}`` is 1 on a match and 0
+    otherwise (null included).  The prototype's variant re-encodes the flag in
+    place with the opposite values: ``flag_out=flag_col, encoding=(0, 1)``.
+    """
     out = flag_out or f"{flag_col}_is_{flag_value}"
-    return add_date_parts(df, ts_col).withColumn(out, flag_is(flag_col, flag_value))
+    return add_date_parts(df, ts_col).withColumn(out, flag_is(flag_col, flag_value, *encoding))
 
 
 def scale_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -83,3 +83,15 @@ def test_percent_text_with_zero_total(spark):
     df = spark.createDataFrame([(3, 0), (1, 4)], "part long, whole long")
     got = [r.p for r in df.select(C.percent_text("part", "whole", "%.1f%%").alias("p")).collect()]
     assert got == [None, "25.0%"]
+
+
+def test_feature_flag_encodings(spark):
+    df = spark.sql(
+        "SELECT TIMESTAMP'2018-02-04 18:00:00' AS ts, f AS flag FROM VALUES ('N'), ('Y'), (NULL) AS v(f)"
+    )
+    module = [r.flag_is_N for r in projections.add_features(df, "ts", "flag", "N").collect()]
+    assert module == [1, 0, 0]
+    proto = projections.add_features(df, "ts", "flag", "N", flag_out="flag", encoding=(0, 1))
+    assert [r.flag for r in proto.collect()] == [0, 1, 1]
+    row = proto.collect()[0]
+    assert (row.month, row.day_of_week, row.day_of_month) == (2, 1, 4)  # a Sunday
