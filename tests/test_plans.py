@@ -72,3 +72,14 @@ def test_two_exclusions_share_one_broadcast(spark, tmp_path):
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
     assert "GreaterThanOrEqual(pickup_datetime,2017-04-01 00:00:00.0), LessThan(pickup_datetime,2018-12-01" in buf.getvalue()
+
+
+def test_no_query_uses_pairwise_joins_or_row_udfs(spark):
+    skip = {"rf_metrics", "gbt_metrics", "importances", "saved_model_scores", "random_split_counts",
+            "stream_filtered_events", "disjoint_batches", "saved_and_reread"}
+    for name, fn in catalog.queries().items():
+        if name in skip:
+            continue
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in plan, (name, bad)
