@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.llm import mixing, url_reputation
+from rideflow.llm import chat, decontaminate, licenses, mixing, nn_descent, order_minhash, suffix_dedup, toxicity, url_reputation, warc
+from rideflow.session import scratch_path
 from rideflow.sources import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,32 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_WARC_SQL = """
+WITH records AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), kept AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS keep FROM records
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN keep IS NOT NULL AND page_id IS DISTINCT FROM keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keep IS NOT NULL AND page_id IS DISTINCT FROM keep THEN keep END AS refers_to
+FROM kept
+"""
+
+
+@query("op1_warc_round_trip", _WARC_SQL)
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_warc(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    records = warc.read_warc(archive.select("file", "n_bytes"), with_payload=False)
+    return records.select(
+        warc.page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+    )
+
+
 _MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -134,3 +161,57 @@ def op5_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = url_reputation.page_outcomes(pages, table(spark, sf_dir, "labels"))
     judged = url_reputation.judge_urls(pages, outcomes, URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _remainder(doc_id: str = "doc_id"):
+    """The remainder that tells learning rows from held-out rows (1)."""
+    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(3))
+
+
+def toxicity_models(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Models:
+    """Models of the texts of ``docs``, learnt from no held-out label."""
+    marks = table(spark, sf_dir, "labels").filter(_remainder() != 1).select("doc_id", "toxic")
+    return toxicity.fit(docs, marks)
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_models(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id", (_remainder() == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@query("op10_chat_turns")
+def op10_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(chat.rough_transcripts(table(spark, sf_dir, "conversations")))
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op9_near_duplicates")
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_remove_repeats")
+def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, with_text=False, carry=["doc_id"])
+
+
+@query("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nn_descent.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
