@@ -341,7 +341,7 @@ def equal_strings(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     offset = np.arange(len(data)) - first[piece]
     whole = (offset + SPAN <= sizes[piece])[order]
     order, group = order[whole], group[whole]
-    return piece[order], offset[order], group
+    return piece[order], offset[order], np.cumsum(np.diff(group, prepend=group[:1]) != 0)
 
 
 _FOUND = "row long, first long, count int, doc long, piece binary"
