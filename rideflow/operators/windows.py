@@ -5,26 +5,23 @@ window, which lets Spark put a partial group limit before the shuffle: at
 most ``n`` rows per group and map task are exchanged, however hot the group.
 
 Running sums over few, large groups cannot be cut that way: a plain window
-puts each group in one task.  ``running_totals(..., buckets=k)`` splits every
-group into ordered ranges (a range repartition samples the order columns),
-sums each range locally, and adds the totals of the earlier ranges of the
-same group, which form a table of at most ``k + keys`` rows.
+puts each group in one task.  ``running_totals(..., buckets=...)`` splits every
+group into ordered ranges, writes each row down with the number of its range,
+sums each range on its own, and adds the totals of the earlier ranges of the
+same group, a table of at most ``ranges + keys`` rows.  Both sides read the
+number from the files, so they cannot disagree about a row's range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
-from functools import partial
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rideflow.operators.aggregates import total_order
+from rideflow.sources.sinks import materialize
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -70,103 +67,36 @@ def first_n_daily(
     return latest_n(keyed, [*_names(key), "_day"], order, n, out=None).drop("_day")
 
 
-def _summable(df: DataFrame, value: Column | str) -> tuple[Column, object, str | None]:
-    """The value to sum, a function turning its sum back into Spark's sum type,
-    and the primitive kind of the summed value (``"bigint"``, ``"double"`` or None).
+def ordered_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    buckets: int | None = None,
+    out: str = "_bucket",
+) -> DataFrame:
+    """Rows with the number of their range of (keys, order), ranges numbered in that order.
 
-    A decimal of at most 18 digits is summed as its unscaled 64-bit integer
-    (``1.25`` as ``125``): the same exact result as a decimal sum, without a
-    decimal object per row.  Overflow raises instead of wrapping.
-    """
-    column = F.col(value) if isinstance(value, str) else value
-    # Analysis only, nothing runs: the value's type and the type Spark gives its sum.
-    dtype = df.select(column.alias("_v")).schema["_v"].dataType
-    sum_type = df.agg(F.sum(column).alias("_s")).schema["_s"].dataType
-    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
-        unscaled = (column * F.lit(10**dtype.scale)).cast("bigint")
-        unit = F.lit(Decimal(1).scaleb(-dtype.scale)) if dtype.scale else F.lit(1)
-
-        def restore(total: Column) -> Column:
-            return (total.cast(T.DecimalType(min(38, sum_type.precision), 0)) * unit).cast(sum_type)
-
-        return unscaled, restore, "bigint"
-    if isinstance(dtype, T.ByteType | T.ShortType | T.IntegerType | T.LongType):
-        return column.cast("bigint"), lambda total: total.cast(sum_type), "bigint"
-    if isinstance(dtype, T.FloatType | T.DoubleType):
-        return column.cast("double"), lambda total: total.cast(sum_type), "double"
-    return column, lambda total: total.cast(sum_type), None
-
-
-def _key_changes(batch, key_names: Sequence[str], carried_key) -> np.ndarray:
-    """True where a row's key differs from the previous row's (nulls equal to nulls)."""
-    n = batch.num_rows
-    changed = np.zeros(n, dtype=bool)
-    for i, name in enumerate(key_names):
-        col = batch.column(name)
-        if n > 1:
-            cur, prev = col.slice(1), col.slice(0, n - 1)
-            both = pc.and_(pc.is_valid(cur), pc.is_valid(prev))
-            differs = pc.if_else(
-                both, pc.not_equal(cur, prev), pc.not_equal(pc.is_valid(cur), pc.is_valid(prev))
-            )
-            changed[1:] |= differs.to_numpy(zero_copy_only=False)
-        if carried_key is None or col[0].as_py() != carried_key[i]:
-            changed[0] = True
-    return changed
-
-
-def _prefix_batches(batches, key_names, value_names, out_names, kinds):
-    """Running sums per key over one partition already sorted by (key, order).
-
-    Works on Arrow batches with numpy; the sums carry from one batch to the
-    next while the key stays the same.  Nulls are skipped and a row whose key
-    has seen no value yet gets null, as ``sum`` over a window does.
+    The range bounds come from a sample of the data, so a key holding a third
+    of all rows spans about a third of the ranges instead of one task, and so
+    does a value of the first order column: every order column takes part.
+    Without ``buckets`` the exchange has ``spark.sql.shuffle.partitions``
+    partitions and AQE joins small ones, so that ranges follow the data's size.
+
+    The rows are written below ``spark.checkpoint.dir``: a range exchange that
+    is planned twice may sample twice and cut elsewhere.
     """
-    carried_key = None
-    carry = {o: (0, 0) for o in out_names}  # (sum, count of non-null values)
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            empty = [pa.array([], type=pa.int64() if k == "bigint" else pa.float64()) for k in kinds]
-            yield pa.RecordBatch.from_arrays(batch.columns + empty, names=batch.schema.names + list(out_names))
-            continue
-        changed = _key_changes(batch, key_names, carried_key)
-        idx = np.arange(n)
-        start = np.maximum.accumulate(np.where(changed, idx, 0))
-        continuing = (start == 0) & ~changed[0]
-        outs = []
-        for vname, oname, kind in zip(value_names, out_names, kinds, strict=True):
-            col = batch.column(vname)
-            valid = pc.is_valid(col).to_numpy(zero_copy_only=False)
-            dtype = np.int64 if kind == "bigint" else np.float64
-            vals = pc.fill_null(col, 0).to_numpy(zero_copy_only=False).astype(dtype, copy=False)
-            c_sum, c_cnt = carry[oname]
-            if kind == "bigint" and float(np.abs(vals).sum(dtype=np.float64)) + abs(c_sum) >= 9.2e18:
-                raise OverflowError("running sum exceeds the 64-bit range")
-            cs = np.cumsum(vals, dtype=dtype)
-            cc = np.cumsum(valid.astype(np.int64))
-            before = np.concatenate([np.zeros(1, dtype=dtype), cs[:-1]])
-            before_c = np.concatenate([np.zeros(1, dtype=np.int64), cc[:-1]])
-            run = cs - before[start] + np.where(continuing, dtype(c_sum), dtype(0))
-            cnt = cc - before_c[start] + np.where(continuing, c_cnt, 0)
-            outs.append(pa.array(run, mask=cnt == 0))
-            carry[oname] = (run[-1].item(), int(cnt[-1]))
-        carried_key = tuple(batch.column(k)[n - 1].as_py() for k in key_names)
-        yield pa.RecordBatch.from_arrays(batch.columns + outs, names=batch.schema.names + list(out_names))
+    cols = [*[F.col(k) for k in keys], *_cols(order)]
+    ranged = df.repartitionByRange(*cols) if buckets is None else df.repartitionByRange(buckets, *cols)
+    return materialize(ranged.withColumn(out, F.spark_partition_id()), label="ranges")
 
 
-def ordered_ranges(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], buckets: int, out: str = "_bucket"
-) -> DataFrame:
-    """Split rows into ``buckets`` ranges of (keys, order), numbered in that order.
+def _wide(value: Column, dtype: T.DataType) -> Column:
+    """``value`` in a type in which partial sums cannot overflow before the sum itself does.
 
-    The range bounds come from a sample of the data, so a key holding a third
-    of all rows spans about a third of the ranges instead of one task.  The
-    number is the partition the row lands in after the range exchange.
+    The total of a range of bigints can leave the 64-bit range although no
+    running sum does (2**62 up and down again).
     """
-    return df.repartitionByRange(buckets, *[F.col(k) for k in keys], *_cols(order)).withColumn(
-        out, F.spark_partition_id()
-    )
+    return value.cast("decimal(38,0)") if isinstance(dtype, T.LongType) else value
 
 
 def running_totals(
@@ -176,80 +106,51 @@ def running_totals(
     order: Sequence[Column | str],
     buckets: int | str | None = None,
     bucket_by: Column | None = None,
-    method: str = "window",
 ) -> DataFrame:
     """Running sums (rows from the first to the current one) per key.
 
-    ``sums`` maps an output name to the value summed.  ``order`` should be
-    total (add tie-breakers).  Three plans:
+    ``sums`` maps an output name to the value summed; results have the type
+    Spark gives ``sum``.  ``order`` should be total (add tie-breakers).  Three
+    plans:
 
     * neither option: one window per key (one task per key);
-    * ``buckets=k`` (or ``"auto"`` = ``spark.sql.shuffle.partitions``): rows
-      are split into k ranges of (key, order) with sampled bounds, so any key,
-      however hot, spans many tasks.  ``method="window"`` (default, all in the
-      JVM) sums each range with a window after a second range exchange on the
-      range number, which keeps one or two ranges per task.
-      ``method="arrow"`` sums each range in place over sorted Arrow batches
-      (integer, float and short decimal values): one shuffle fewer, but every
-      column passes through Python, which cost more CPU than the saved
-      shuffle in our measurements;
+    * ``buckets=k`` or ``"auto"``: rows are split into ranges of (key, order)
+      by ``ordered_ranges`` (``"auto"``: as many as the data's size asks for),
+      so any key, however hot, spans many tasks;
     * ``bucket_by=col``: a coarse column that never decreases along ``order``
       within a key (e.g. the hour of the ordering timestamp) defines the
-      ranges.  One shuffle, no sampling; a single (key, bucket) stays one task.
+      ranges.  One shuffle, no sampling and nothing written; a single
+      (key, bucket) stays one task.
     """
     key_names = _names(keys)
     order_cols = _cols(order)
-    if buckets == "auto":
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prepared = {out: _summable(df, v) for out, v in sums.items()}
+    values = {out: F.col(v) if isinstance(v, str) else v for out, v in sums.items()}
     if buckets is None and bucket_by is None:
         frame = (
             Window.partitionBy(*key_names)
             .orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        return df.withColumns({out: back(F.sum(v).over(frame)) for out, (v, back, _) in prepared.items()})
+        return df.withColumns({out: F.sum(v).over(frame) for out, v in values.items()})
 
+    # Analysis only, nothing runs: the values' types and those Spark gives their sums.
+    types = {f.name: f.dataType for f in df.select(*[v.alias(o) for o, v in values.items()]).schema}
+    sum_types = {f.name: f.dataType for f in df.agg(*[F.sum(v).alias(o) for o, v in values.items()]).schema}
     # 1. Ordered ranges: rows of one key are contiguous, ranges numbered in order.
     if bucket_by is not None:
         ranged = df.withColumn("_bucket", bucket_by)
     else:
-        ranged = ordered_ranges(df, key_names, order_cols, buckets)
+        ranged = ordered_ranges(df, key_names, order_cols, None if buckets == "auto" else buckets)
     # 2. Running sums inside each (key, range).
-    if bucket_by is None and method == "arrow" and all(k for _, _, k in prepared.values()):
-        # Each range is one partition already: sort it and sum in place with
-        # Arrow batches instead of moving the rows through a second shuffle.
-        staged = ranged.withColumns({f"_v_{out}": v for out, (v, _, _) in prepared.items()})
-        staged = staged.sortWithinPartitions(*[F.col(k) for k in key_names], *order_cols)
-        outs = [f"_local_{out}" for out in prepared]
-        kinds = [k for _, _, k in prepared.values()]
-        schema = T.StructType(
-            staged.schema.fields
-            + [T.StructField(o, T.LongType() if k == "bigint" else T.DoubleType()) for o, k in zip(outs, kinds, strict=True)]
-        )
-        fn = partial(_prefix_batches, key_names=key_names, value_names=[f"_v_{o}" for o in prepared],
-                     out_names=outs, kinds=kinds)
-        local = staged.mapInArrow(fn, schema).drop(*[f"_v_{o}" for o in prepared])
-    else:
-        local_frame = (
-            Window.partitionBy(*key_names, "_bucket")
-            .orderBy(*order_cols)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        windowed = ranged
-        if bucket_by is None:
-            # The ranges are equal in size; hashing (key, range) pairs into as
-            # many partitions would stack several ranges in some tasks.  A range
-            # exchange on the range number gives each task one or two ranges,
-            # and it already satisfies the window's clustering.
-            windowed = ranged.repartitionByRange(buckets, "_bucket")
-        local = windowed.withColumns(
-            {f"_local_{out}": F.sum(v).over(local_frame) for out, (v, _, _) in prepared.items()}
-        )
-    # 3. Totals of the earlier ranges of the same key: one row per (key, range).
-    totals = ranged.groupBy(*key_names, "_bucket").agg(
-        *[F.sum(v).alias(f"_total_{out}") for out, (v, _, _) in prepared.items()]
+    local_frame = (
+        Window.partitionBy(*key_names, "_bucket")
+        .orderBy(*order_cols)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    wide = {out: _wide(v, types[out]) for out, v in values.items()}
+    local = ranged.withColumns({f"_local_{out}": F.sum(v).over(local_frame) for out, v in wide.items()})
+    # 3. Totals of the earlier ranges of the same key: one row per (key, range).
+    totals = ranged.groupBy(*key_names, "_bucket").agg(*[F.sum(v).alias(f"_total_{out}") for out, v in wide.items()])
     before = Window.partitionBy(*key_names).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -258,18 +159,16 @@ def running_totals(
         F.col("_bucket").alias("_obucket"),
         *[F.sum(f"_total_{out}").over(before).alias(f"_offset_{out}") for out in sums],
     )
-    cond = F.col("_bucket") == F.col("_obucket")
+    cond = F.col("_bucket").eqNullSafe(F.col("_obucket"))
     for i, k in enumerate(key_names):
         cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
-    joined = local.join(offsets, cond, "inner")
+    # A left join: a row is never lost, and every (key, range) has its row in the offsets.
+    joined = local.join(offsets, cond, "left")
     results = {}
-    for out, (_, back, _) in prepared.items():
+    for out in sums:
         loc, off = F.col(f"_local_{out}"), F.col(f"_offset_{out}")
-        results[out] = back(
-            F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
-                F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0))
-            )
-        )
+        total = F.when(loc.isNull(), off).when(off.isNull(), loc).otherwise(loc + off)
+        results[out] = total.cast(sum_types[out])
     helper = ["_bucket", "_obucket", *[f"_key_{i}" for i in range(len(key_names))]]
     helper += [f"_local_{o}" for o in sums] + [f"_offset_{o}" for o in sums]
     return joined.withColumns(results).drop(*helper)
@@ -283,10 +182,9 @@ def running_sum(
     out: str = "running_sum",
     buckets: int | str | None = None,
     bucket_by: Column | None = None,
-    method: str = "window",
 ) -> DataFrame:
     """One running sum (W3); see ``running_totals``."""
-    return running_totals(df, {out: value}, keys, order, buckets, bucket_by, method)
+    return running_totals(df, {out: value}, keys, order, buckets, bucket_by)
 
 
 def rows_to_reach(

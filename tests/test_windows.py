@@ -11,8 +11,8 @@ def _series(spark, rows):
     return spark.createDataFrame(rows, "k string, pos int, v decimal(12,2)")
 
 
-@pytest.mark.parametrize(("buckets", "method"), [(None, "arrow"), (1, "arrow"), (3, "arrow"), (7, "arrow"), (7, "window")])
-def test_running_sum_bucketed_equals_plain(spark, buckets, method):
+@pytest.mark.parametrize("buckets", [None, 1, 3, 7, "auto"])
+def test_running_sum_bucketed_equals_plain(spark, buckets):
     rnd = random.Random(7)
     rows = []
     for i in range(400):
@@ -21,8 +21,7 @@ def test_running_sum_bucketed_equals_plain(spark, buckets, method):
         rows.append((k, i, v))
     df = _series(spark, rows)
     got = {
-        (r.k, r.pos): r.running_sum
-        for r in windows.running_sum(df, "v", "k", ["pos"], buckets=buckets, method=method).collect()
+        (r.k, r.pos): r.running_sum for r in windows.running_sum(df, "v", "k", ["pos"], buckets=buckets).collect()
     }
     expected, acc = {}, {}
     for k, pos, v in sorted(rows, key=lambda r: r[1]):
@@ -32,6 +31,39 @@ def test_running_sum_bucketed_equals_plain(spark, buckets, method):
     assert got == expected
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_running_sum_of_a_wide_table(spark, tmp_path, reuse):
+    """Columns outside keys and order, a hot key, a hot value of the first order column."""
+    rows = spark.range(120_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 5) END AS k",
+        "CASE WHEN id % 2 = 0 THEN 7 ELSE hash(id) % 50 END AS day",
+        "id", "CAST(hash(id, 1) % 1000 AS DECIMAL(18,2)) AS v", "concat('payload ', id) AS payload",
+    )
+    rows.repartition(6).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plain = windows.running_sum(df, "v", "k", ["day", "id"])
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        for buckets in (8, 32):
+            ranged = windows.running_sum(df, "v", "k", ["day", "id"], buckets=buckets)
+            assert ranged.schema == plain.schema
+            assert ranged.exceptAll(plain).isEmpty() and plain.exceptAll(ranged).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_running_sum_in_sparks_own_sum_type(spark):
+    big = spark.range(200).selectExpr("'k' AS k", "CAST(id AS INT) AS pos", "CAST(9000000000000000 AS DECIMAL(18,2)) AS v")
+    for buckets in (None, 4):
+        out = windows.running_sum(big, "v", "k", ["pos"], buckets=buckets)
+        assert out.agg({"running_sum": "max"}).first()[0] == 200 * 9_000_000_000_000_000
+    swing = spark.range(8).selectExpr("'k' AS k", "CAST(id AS INT) AS pos", "IF(id < 2 OR id > 5, 1, -1) * CAST(pow(2, 61) AS BIGINT) AS v")
+    want = [r.running_sum for r in windows.running_sum(swing, "v", "k", ["pos"]).orderBy("pos").collect()]
+    got = windows.running_sum(swing, "v", "k", ["pos"], buckets=4)
+    assert [r.running_sum for r in got.orderBy("pos").collect()] == want
+    assert dict(got.dtypes)["running_sum"] == "bigint"
+
+
 def _reach(spark, values, mode):
     df = _series(spark, [("k", i, Decimal(str(v))) for i, v in enumerate(values)])
     rows = windows.rows_to_reach(df, "v", "k", ["pos"], 5, mode=mode, buckets=2).collect()
@@ -101,20 +133,3 @@ def test_running_sum_with_coarse_buckets(spark):
     reach = windows.rows_to_reach(df, "v", "k", ["pos"], 5, mode="first_crossing", bucket_by=F.floor(F.col("pos") / 40))
     plain_reach = windows.rows_to_reach(df, "v", "k", ["pos"], 5, mode="first_crossing")
     assert sorted(map(tuple, reach.collect()), key=str) == sorted(map(tuple, plain_reach.collect()), key=str)
-
-
-@pytest.mark.parametrize("value_type", ["double", "int", "decimal(12,2)"])
-def test_arrow_prefix_small_batches(spark, value_type):
-    # Batches of 7 rows force sums to carry across batch borders.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        rnd = random.Random(5)
-        rows = [(rnd.choice(["x", "y", None]), rnd.randint(0, 3), i, None if rnd.random() < 0.2 else rnd.randint(-9, 9))
-                for i in range(300)]
-        df = spark.createDataFrame(rows, "k string, k2 int, pos int, v int").withColumn("v", F.col("v").cast(value_type))
-        arrow = windows.running_sum(df, "v", ["k", "k2"], ["pos"], buckets=5, method="arrow")
-        plain = windows.running_sum(df, "v", ["k", "k2"], ["pos"])
-        assert arrow.schema == plain.schema
-        assert sorted(map(tuple, arrow.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
