@@ -25,8 +25,8 @@ def col_of(c: ColumnLike) -> Column:
 
 
 def name_contains(c: ColumnLike, needle: str) -> Column:
-    """Case-insensitive substring test (F4), ``lower(c) LIKE '%needle%'``."""
-    return F.lower(col_of(c)).like(f"%{needle.lower()}%")
+    """Case-insensitive substring test (F4); ``%`` and ``_`` stand for themselves."""
+    return F.contains(F.lower(col_of(c)), F.lit(needle.lower()))
 
 
 def typed_literal(value: dt.datetime | dt.date | str, dtype: T.DataType) -> Column:
@@ -138,7 +138,7 @@ def format_date(c: ColumnLike, pattern: str = LONG_DATE) -> Column:
 
 def doubled_unix_date(c: ColumnLike) -> Column:
     """The date at twice the Unix time of ``c``."""
-    return F.to_date(F.from_unixtime(F.unix_timestamp(col_of(c)) * 2))
+    return F.to_date(F.timestamp_seconds(F.unix_timestamp(col_of(c)) * 2))
 
 
 def percent_text(part: ColumnLike, whole: ColumnLike, fmt: str = "%2.2f%%") -> Column:

@@ -1,8 +1,8 @@
 """User-defined functions.
 
-The native forms (``ceil_int``, ``cos_float``) are what queries use: they stay
-in whole-stage code generation.  The UDF forms exist because the reference
-teaches the UDF surface; they are Arrow-batched pandas UDFs, never
+The native forms (``ceil_int``, ``cos_float``) are what a job should use: they
+stay in whole-stage code generation.  The UDF forms exist because the
+reference teaches the UDF surface; they are Arrow-batched pandas UDFs, never
 row-at-a-time, and return null for null input instead of raising.
 """
 

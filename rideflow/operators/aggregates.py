@@ -68,19 +68,25 @@ def group_stats(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFra
     )
 
 
+def values_per_group(df: DataFrame, keys: str | Sequence[str], value: str) -> DataFrame:
+    """The values of ``value`` per group, as rows (keys, value, n).
+
+    The multiset of a group whatever its size: nothing holds a group together.
+    """
+    return df.groupBy(*_names(keys), value).agg(F.count(F.lit(1)).alias("n"))
+
+
 def collect_values(
     df: DataFrame, keys: str | Sequence[str], value: str, out: str = "values"
 ) -> DataFrame:
-    """The values of ``value`` per group, as a sorted multiset.
+    """The values of ``value`` per group, as one sorted array (G5), for a column of few values.
 
     Each group gets ``array<struct<value, n>>`` sorted by value: every distinct
-    value with its number of occurrences.  Equal values are counted before the
-    shuffle, so the array grows with the number of distinct values, not rows,
-    and a group holding a third of the table still yields a bounded row.
+    value with its number of occurrences.  The array grows with the number of
+    distinct values; where that is not small, use ``values_per_group``.
     """
     key_names = _names(keys)
-    per_value = df.groupBy(*key_names, value).agg(F.count(F.lit(1)).alias("n"))
-    return per_value.groupBy(*key_names).agg(
+    return values_per_group(df, key_names, value).groupBy(*key_names).agg(
         F.array_sort(F.collect_list(F.struct(F.col(value).alias("value"), F.col("n")))).alias(out),
         F.sum("n").alias(f"n_{out}"),
     )

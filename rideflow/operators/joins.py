@@ -97,16 +97,42 @@ def chain_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key: str
     ``left`` rows end where ``right`` rows start (``left[left_key] ==
     right[right_key]``).  The pairs are not materialised: a key with ``a``
     rows on one side and ``b`` on the other gives one row ``(key, a, b, a*b)``.
+    The product is a ``decimal(38,0)``: two hot keys of billions of rows pass 64 bits.
     """
     a = _key_counts(left, left_key, "n_left")
     b = _key_counts(right, right_key, "n_right")
-    return a.join(b, "chain_key").withColumn("n_pairs", F.col("n_left") * F.col("n_right"))
+    return a.join(b, "chain_key").withColumn("n_pairs", _pairs("n_left", "n_right"))
+
+
+def _pairs(left: str, right: str) -> Column:
+    wide = "decimal(19,0)"  # holds any bigint; the product of two has 38 digits
+    return (F.col(left).cast(wide) * F.col(right).cast(wide)).cast("decimal(38,0)")
 
 
 def chain_pair_count(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
     """Number of rows the chaining self-join would produce, as one row."""
     return chain_pairs(left, left_key, right, right_key).agg(
-        F.coalesce(F.sum("n_pairs"), F.lit(0)).cast("bigint").alias("n_pairs")
+        F.coalesce(F.sum("n_pairs"), F.lit(0)).cast("decimal(38,0)").alias("n_pairs")
+    )
+
+
+def batch_pair_counts(
+    batches: DataFrame, batch: str, left_key: str, right: DataFrame, right_key: str, n_batches: int
+) -> DataFrame:
+    """Per batch, how many pairs its rows form with the whole of ``right`` (J7 over M3).
+
+    ``batches`` has a batch number from 0 in ``batch``; a batch without a pair,
+    or without rows, has the count 0.  Both sides are counted per key before
+    they meet, so a hot key is one row per batch.
+    """
+    a = batches.filter(F.col(left_key).isNotNull()).groupBy(F.col(batch).alias("_batch"), F.col(left_key).alias("chain_key")).agg(
+        F.count(F.lit(1)).alias("n_left")
+    )
+    pairs = a.join(_key_counts(right, right_key, "n_right"), "chain_key").withColumn("n_pairs", _pairs("n_left", "n_right"))
+    per_batch = pairs.groupBy("_batch").agg(F.sum("n_pairs").alias("n_pairs"))
+    numbers = batches.sparkSession.range(n_batches).select(F.col("id").cast("int").alias(batch))
+    return numbers.join(per_batch, F.col(batch) == F.col("_batch"), "left").select(
+        batch, F.coalesce("n_pairs", F.lit(0)).cast("decimal(38,0)").alias("n_pairs")
     )
 
 

@@ -20,10 +20,14 @@ _HEX_DIGITS = 32
 
 
 def _key_text(keys: str | Sequence[str]) -> Column:
-    names = [keys] if isinstance(keys, str) else list(keys)
-    if len(names) == 1:
-        return F.col(names[0]).cast("string")
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in names])
+    """The key as text: each column tagged, a value with its length, so that different keys,
+    nulls included, have different texts."""
+    parts = []
+    for name in [keys] if isinstance(keys, str) else keys:
+        text = F.col(name).cast("string")
+        value = F.concat(F.lit("v"), F.length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.coalesce(value, F.lit("n")))
+    return F.concat(*parts)
 
 
 def md5_threshold(fraction: float) -> str:
@@ -38,14 +42,24 @@ def hash_sample(df: DataFrame, keys: str | Sequence[str], fraction: float) -> Da
     """Rows whose key hashes below ``fraction`` (M0): same rows every run.
 
     Rows sharing a key are kept or dropped together, so ``keys`` should
-    identify rows (an id, or several columns that together do); a null key
-    hashes to null and is never kept, as in SQL's ``md5``.
+    identify rows (an id, or several columns that together do; ``row_sample``
+    takes all columns).  A null is a key value like any other.
     """
     if fraction >= 1.0:
         return df
     return df.filter(F.md5(_key_text(keys)) < F.lit(md5_threshold(fraction)))
 
 
+def row_sample(df: DataFrame, fraction: float) -> DataFrame:
+    """``hash_sample`` by all columns: single rows, not groups that share an id, are kept (M0)."""
+    return hash_sample(df, df.columns, fraction)
+
+
+def seeded_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Spark's row sample with a seed (M0): the same rows for the same partitioning of the input."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
 def hash_bucket(keys: str | Sequence[str], k: int) -> Column:
     """Bucket ``0..k-1`` from the first 32 bits of the key's md5 (M3)."""
     head = F.conv(F.substring(F.md5(_key_text(keys)), 1, 8), 16, 10).cast("bigint")
@@ -74,10 +88,30 @@ def disjoint_batches(
 
 
 def random_split(df: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Training and test parts, ``[1 - f, f]`` (M1, M2).
+    """Training and test parts, ``[1 - f, f]``, by Spark's ``randomSplit`` (M2).
 
-    Spark's ``randomSplit`` is reproducible only for the same partitioning of
-    the same input; materialise the input first when that matters.
+    Reproducible only for the same partitioning of the same input; see ``hash_split``.
     """
     training, test = df.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
     return training, test
+
+
+def rand_split(
+    df: DataFrame, test_fraction: float = 0.2, seed: int = 42, out: str = "rand"
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test parts by a random column ``out``: test where it is at most the fraction.
+
+    Each part is planned from the input, so the same partitioning is needed for
+    the two to be complementary: materialise the input first.
+    """
+    marked = df.withColumn(out, F.rand(seed))
+    return marked.filter(F.col(out) > test_fraction), marked.filter(F.col(out) <= test_fraction)
+
+
+def hash_split(
+    df: DataFrame, test_fraction: float = 0.2, keys: str | Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test parts by a hash of ``keys`` (default: the whole row): the same rows for any
+    partitioning, on any engine that has ``md5``; every row is in exactly one part."""
+    in_test = F.md5(_key_text(df.columns if keys is None else keys)) < F.lit(md5_threshold(test_fraction))
+    return df.filter(~in_test), df.filter(in_test)

@@ -10,6 +10,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The schemas of the ride and zone tables and of the driver's
@@ -141,23 +142,38 @@ def read_table(
 ) -> DataFrame:
     """Read one table (S1 CSV, S2 Parquet / default format).
 
-    CSV needs a schema: inference would scan the file twice.  Parquet carries
-    its own schema; passing one pins the expected types and makes a mismatch
-    fail instead of flowing through.
+    CSV needs a schema: inference would scan the file twice.  With a header its
+    columns are found by name, in any order, and other columns are left out;
+    without one they are taken by position.  Other formats carry their own
+    schema; passing one pins the expected columns and types.  A column that is
+    missing, or of another type, raises ``ValueError``; a CSV value that does
+    not fit its type fails the job.
     """
     reader = spark.read
     if fmt == "csv":
         if schema is None:
             raise ValueError("CSV scans need an explicit schema")
-        return (
-            reader.schema(schema)
-            .option("header", str(header).lower())
-            .option("mode", "FAILFAST")
-            .csv(path)
-        )
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.format(fmt).load(path)
+        if not header:
+            return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+        # Only the header line is read here: without a schema every column is text.
+        found = reader.option("header", "true").option("mode", "FAILFAST").csv(path)
+        _require_columns(path, schema, {c: None for c in found.columns})
+        return found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    if schema is None:
+        return reader.format(fmt).load(path)
+    found = reader.format(fmt).load(path)
+    _require_columns(path, schema, {f.name: f.dataType for f in found.schema})
+    return reader.schema(schema).format(fmt).load(path)
+
+
+def _require_columns(path: str, schema: T.StructType, found: Mapping[str, T.DataType | None]) -> None:
+    missing = [f.name for f in schema if f.name not in found]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(found)}")
+    other = [f"{f.name} ({found[f.name].simpleString()}, not {f.dataType.simpleString()})" for f in schema
+             if found[f.name] is not None and found[f.name].simpleString() != f.dataType.simpleString()]
+    if other:
+        raise ValueError(f"{path} has columns of other types: {', '.join(other)}")
 
 
 def extract(spark: SparkSession, specs: Mapping[str, TableSpec]) -> dict[str, DataFrame]:

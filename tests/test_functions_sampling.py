@@ -79,6 +79,42 @@ def test_random_split_covers_all_rows(spark):
     assert training.join(test, "id").count() == 0
 
 
+def test_null_keys_are_values_like_any_other(spark):
+    rows = [(i, None if i % 2 else i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, k int")
+    for fraction in (0.5, 0.9999, 1.0):
+        nulls = sampling.hash_sample(df, "k", fraction).filter("k IS NULL").count()
+        assert nulls in (0, 500)  # rows of one key stay together
+    assert sampling.hash_sample(df, "k", 0.9999).count() == 1000
+    assert sampling.row_sample(df, 0.5).filter("k IS NULL").count() not in (0, 500)
+    batches = sampling.disjoint_batches(df, "k", n_batches=7, buckets=7)
+    assert batches.count() == 1000
+
+
+def test_keys_of_several_columns_are_told_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a|b", "c"), ("a", "b|c"), ("", None), (None, "")], "x string, y string")
+    texts = [r[0] for r in df.select(sampling._key_text(["x", "y"])).collect()]
+    assert len(set(texts)) == 6
+
+
+def test_splits_cover_all_rows_once(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 7) for i in range(1000)], "id int, k int")
+    for keys in (None, "id", ["k", "id"]):
+        training, test = sampling.hash_split(df, 0.2, keys)
+        assert training.count() + test.count() == 1000 and training.join(test, "id").count() == 0
+        other = sampling.hash_split(df.repartition(5), 0.2, keys)[1]
+        assert sorted(r.id for r in other.collect()) == sorted(r.id for r in test.collect())
+    training, test = sampling.rand_split(df, 0.2, 42)
+    assert training.filter("rand <= 0.2").isEmpty() and test.filter("rand > 0.2").isEmpty()
+    assert 100 < sampling.seeded_sample(df, 0.2, 1).count() < 320
+
+
+def test_name_contains_takes_wildcards_literally(spark):
+    df = spark.createDataFrame([("axb",), ("A_B",), ("100%",), (None,)], "s string")
+    assert [r.s for r in df.filter(C.name_contains("s", "a_b")).collect()] == ["A_B"]
+    assert [r.s for r in df.filter(C.name_contains("s", "%")).collect()] == ["100%"]
+
+
 def test_percent_text_with_zero_total(spark):
     df = spark.createDataFrame([(3, 0), (1, 4)], "part long, whole long")
     got = [r.p for r in df.select(C.percent_text("part", "whole", "%.1f%%").alias("p")).collect()]

@@ -13,6 +13,21 @@ def test_chain_pair_count_equals_brute_force(spark):
     assert got == brute == 14
 
 
+def test_pair_counts_beyond_64_bits(spark):
+    # Four billion rows of one key on each side, as counts.
+    counts = spark.createDataFrame([(4_000_000_000, 4_000_000_000)], "n_left long, n_right long")
+    got = counts.select(joins._pairs("n_left", "n_right").alias("n")).agg(F.sum("n").alias("n")).first().n
+    assert got == 16 * 10**18
+
+
+def test_batch_pair_counts_equal_brute_force(spark):
+    rides = spark.createDataFrame([(0, 1, 2), (0, 2, 3), (1, 2, 1), (1, 2, 2), (3, None, 2), (3, 4, None)], "batch int, pu int, do int")
+    got = {r.batch: r.n_pairs for r in joins.batch_pair_counts(rides, "batch", "do", rides, "pu", 4).collect()}
+    rows = rides.collect()
+    want = {b: sum(1 for x in rows for y in rows if x.batch == b and x.do is not None and x.do == y.pu) for b in range(4)}
+    assert got == want and want[2] == 0
+
+
 def test_chain_pair_count_empty(spark):
     empty = spark.createDataFrame([], "pu int, do int")
     assert joins.chain_pair_count(empty, "do", empty, "pu").collect()[0].n_pairs == 0

@@ -19,6 +19,31 @@ def test_csv_needs_a_schema_and_fails_fast(spark, tmp_path):
         read_table(spark, str(path), "csv", bad).collect()
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text("zone_name,extra,zone_id,borough\n7,x,9,Queens\n")
+    got = read_table(spark, str(path), "csv", ZONE_SCHEMA)
+    assert got.schema == ZONE_SCHEMA and [tuple(r) for r in got.collect()] == [(9, "7", "Queens")]
+    renamed = tmp_path / "renamed.csv"
+    renamed.write_text("zone_id,zonename,borough\n1,a,b\n")
+    with pytest.raises(ValueError, match="zone_name"):
+        read_table(spark, str(renamed), "csv", ZONE_SCHEMA)
+    bare = tmp_path / "bare.csv"
+    bare.write_text("1,a,b\n")
+    assert [tuple(r) for r in read_table(spark, str(bare), "csv", ZONE_SCHEMA, header=False).collect()] == [(1, "a", "b")]
+
+
+def test_parquet_mismatch_raises(spark, tmp_path):
+    path = str(tmp_path / "z")
+    spark.createDataFrame([(1, "a", "b")], "zone_id int, zonename string, borough string").write.parquet(path)
+    with pytest.raises(ValueError, match="zone_name"):
+        read_table(spark, path, "parquet", ZONE_SCHEMA)
+    typed = str(tmp_path / "t")
+    spark.createDataFrame([("1", "a", "b")], "zone_id string, zone_name string, borough string").write.parquet(typed)
+    with pytest.raises(ValueError, match="other types"):
+        read_table(spark, typed, "parquet", ZONE_SCHEMA)
+
+
 def test_extract_save_and_materialize(spark, tmp_path):
     csv = tmp_path / "z.csv"
     csv.write_text("zone_id,zone_name,borough\n1,a,b\n")
