@@ -40,11 +40,12 @@ class ZoneColumns:
 class PrepareConfig:
     """Overridable parameters of the preparation."""
 
-    history_start_month: str = "201703"  # exclusive
-    history_end_month: str = "201811"  # inclusive
-    first_evening_hour: int = 17
-    last_evening_hour: int = 23
-    n_first_daily_rides_to_keep: int = 3
+    # The months, hours and number of rides of the trip model.
+    after_month: str = "201703"  # exclusive
+    through_month: str = "201811"  # inclusive
+    first_hour: int = 17
+    last_hour: int = 23
+    rides_per_day: int = 3
     exclusion_mode: str = "anti"
     ride: RideColumns = field(default_factory=RideColumns)
     zone: ZoneColumns = field(default_factory=ZoneColumns)
@@ -59,8 +60,8 @@ def filter_rides(df: DataFrame, zones: DataFrame, cfg: PrepareConfig = PrepareCo
     """
     r, z = cfg.ride, cfg.zone
     out = dedup_all(df)
-    out = limit_history(out, r.pickup_ts, cfg.history_start_month, cfg.history_end_month)
-    out = keep_hours(out, r.dropoff_ts, cfg.first_evening_hour, cfg.last_evening_hour)
+    out = limit_history(out, r.pickup_ts, cfg.after_month, cfg.through_month)
+    out = keep_hours(out, r.dropoff_ts, cfg.first_hour, cfg.last_hour)
     excluded = name_contains(z.name, z.excluded_word)
     for loc in r.locations:
         out = exclude_by_dim(out, loc, zones, z.key, excluded, mode=cfg.exclusion_mode)
@@ -68,7 +69,7 @@ def filter_rides(df: DataFrame, zones: DataFrame, cfg: PrepareConfig = PrepareCo
         out,
         r.locations[0],
         r.pickup_ts,
-        cfg.n_first_daily_rides_to_keep,
+        cfg.rides_per_day,
         tie_breakers=r.tie_breakers,
     )
 

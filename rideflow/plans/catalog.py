@@ -13,23 +13,24 @@ numbers or on a fitted model has no oracle entry (row-count check only).
 from __future__ import annotations
 
 from collections.abc import Callable
+import uuid
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.functions.columns import clamp, name_contains, scale_if
-from rideflow.functions.udfs import ceil_udf, cos_udf
+from rideflow.functions.columns import clamp, doubled_unix_date, name_contains, scale_if
+from rideflow.functions.udfs import ceil_int, ceil_udf, cos_float, cos_udf
 from rideflow.operators import aggregates as agg
 from rideflow.operators import charts, filters, joins, nested, projections, sampling, windows
 from rideflow.operators.rides import PrepareConfig, RideColumns, ZoneColumns, prepare_rides
 from rideflow.plans import ml
 from rideflow.plans.job import RideConfig, RideJob
 from rideflow.session import scratch_path
-from rideflow.sources.sinks import materialize, save_model
-from rideflow.sources.tables import load_tables, table
-from rideflow.streaming.events import stream_filtered
+from rideflow.sources.sinks import materialize, save_model, save_table
+from rideflow.sources.tables import TABLE_SCHEMAS, TableSpec, load_tables, read_table, table
+from rideflow.streaming.events import file_stream, stream_filtered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,15 +48,22 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _key_sql(*columns: str) -> str:
+    """The text that samples and batches hash."""
+    return " || ".join(
+        f"coalesce('v' || CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), 'n')" for c in columns
+    )
+
+
 # --- the flagship: events as rides, customers as zones ---------------------
 
 # The event-table stand-ins for the ride job's parameters.
 EVENT_PREPARE = PrepareConfig(
-    history_start_month="202312",
-    history_end_month="202401",
-    first_evening_hour=17,
-    last_evening_hour=23,
-    n_first_daily_rides_to_keep=3,
+    after_month="202312",
+    through_month="202401",
+    first_hour=17,
+    last_hour=23,
+    rides_per_day=3,
     ride=RideColumns(
         pickup_ts="ts",
         dropoff_ts="ts",
@@ -113,7 +121,7 @@ query("prepared_events", _prepared_sql(3, _ANTI_AUTO))(prepared_events)
 
 @query("prepared_events_n2", _prepared_sql(2, _ANTI_AUTO))
 def prepared_events_n2(spark, sf_dir):
-    return prepared_events(spark, sf_dir, replace(EVENT_PREPARE, n_first_daily_rides_to_keep=2))
+    return prepared_events(spark, sf_dir, replace(EVENT_PREPARE, rides_per_day=2))
 
 
 @query("prepared_events_matched_only", _prepared_sql(3, _MATCHED_NOT_AUTO))
@@ -121,6 +129,98 @@ def prepared_events_matched_only(spark, sf_dir):
     return prepared_events(spark, sf_dir, replace(EVENT_PREPARE, exclusion_mode="matched_only"))
 
 
+# The customers that are known as zones: some ids have no row, so the two exclusion modes differ.
+_KNOWN = "c_custkey % 7 <> 3"
+
+# Two locations, a drop-off hour of its own, and a dimension with missing ids.
+TWO_ZONE_PREPARE = replace(
+    EVENT_PREPARE, ride=replace(EVENT_PREPARE.ride, dropoff_ts="drop_ts", locations=("user_id", "k"))
+)
+# Orders as rides: the month range cuts.
+ORDER_PREPARE = PrepareConfig(
+    after_month="199703",
+    through_month="199811",
+    first_hour=17,
+    last_hour=23,
+    rides_per_day=1,
+    ride=RideColumns(
+        pickup_ts="o_orderdate",
+        dropoff_ts="drop_ts",
+        locations=("o_custkey",),
+        flag="o_orderstatus",
+        flag_value="F",
+        tie_breakers=("o_orderkey",),
+    ),
+    zone=ZoneColumns(key="c_custkey", name="c_mktsegment", excluded_word="auto"),
+)
+
+
+def _two_zone_events(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    t = load_tables(spark, sf_dir, ["events", "customer"])
+    rides = t["events"].withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    rides = rides.withColumn("drop_ts", F.col("ts") + F.make_interval(mins=F.col("k").cast("int")))
+    cfg = replace(TWO_ZONE_PREPARE, exclusion_mode=mode)
+    return prepare_rides(rides, t["customer"].filter(_KNOWN), cfg).select(*EVENT_OUTPUT, "k")
+
+
+def _exclusion_sql(column: str, mode: str) -> str:
+    known = f"SELECT 1 FROM customer c WHERE {_KNOWN} AND c.c_custkey = {column}"
+    if mode == "anti":
+        return f"NOT EXISTS ({known} AND lower(c.c_mktsegment) LIKE '%auto%')"
+    return f"EXISTS ({known} AND NOT (lower(c.c_mktsegment) LIKE '%auto%'))"
+
+
+def _two_zone_sql(mode: str) -> str:
+    return f"""
+WITH e AS (SELECT DISTINCT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+f AS (SELECT e.* FROM e WHERE strftime(ts, '%Y%m') > '202312' AND strftime(ts, '%Y%m') <= '202401'
+    AND hour(ts + to_minutes(k)) BETWEEN 17 AND 23
+    AND {_exclusion_sql("e.user_id", mode)} AND {_exclusion_sql("e.k", mode)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn FROM f)
+SELECT event_id, ts, user_id, event_type, value, k,
+       CAST(month(ts) AS INTEGER) AS "month", CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week,
+       CAST(day(ts) AS INTEGER) AS day_of_month,
+       CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS event_type_is_click
+FROM r WHERE rn <= 3"""
+
+
+@query("two_zone_events", _two_zone_sql("anti"))
+def two_zone_events(spark, sf_dir):
+    return _two_zone_events(spark, sf_dir, "anti")
+
+
+@query("two_zone_events_matched_only", _two_zone_sql("matched_only"))
+def two_zone_events_matched_only(spark, sf_dir):
+    return _two_zone_events(spark, sf_dir, "matched_only")
+
+
+_PREPARED_ORDERS_SQL = """
+WITH o AS (SELECT DISTINCT *, o_orderdate + to_hours(o_orderkey % 24) AS drop_ts FROM orders),
+f AS (SELECT o.* FROM o WHERE strftime(o_orderdate, '%Y%m') > '199703' AND strftime(o_orderdate, '%Y%m') <= '199811'
+    AND hour(drop_ts) BETWEEN 17 AND 23 AND {exclusion}),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderdate, o_orderkey) AS rn FROM f)
+SELECT o_orderkey, o_custkey, o_orderdate, CAST(month(o_orderdate) AS INTEGER) AS "month",
+       CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_orderstatus_is_F FROM r WHERE rn <= 1"""
+
+
+def _prepared_orders(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    t = load_tables(spark, sf_dir, ["orders", "customer"])
+    hours = (F.col("o_orderkey") % 24).cast("int")
+    rides = t["orders"].withColumn("drop_ts", F.col("o_orderdate") + F.make_interval(hours=hours))
+    done = prepare_rides(rides, t["customer"].filter(_KNOWN), replace(ORDER_PREPARE, exclusion_mode=mode))
+    return done.select("o_orderkey", "o_custkey", "o_orderdate", "month", "o_orderstatus_is_F")
+
+
+@query("prepared_orders", _PREPARED_ORDERS_SQL.format(exclusion=_exclusion_sql("o.o_custkey", "anti")))
+def prepared_orders(spark, sf_dir):
+    return _prepared_orders(spark, sf_dir, "anti")
+
+
+@query("prepared_orders_matched_only", _PREPARED_ORDERS_SQL.format(exclusion=_exclusion_sql("o.o_custkey", "matched_only")))
+def prepared_orders_matched_only(spark, sf_dir):
+    return _prepared_orders(spark, sf_dir, "matched_only")
+
+
 # --- aggregates -------------------------------------------------------------
 
 
@@ -246,6 +346,15 @@ def collected_quantities(spark, sf_dir):
     return got.select("l_returnflag", "l_linestatus", text.alias("quantities_text"), "n_quantities")
 
 
+@query(
+    "prices_per_flag",
+    """SELECT l_returnflag, l_linestatus, l_extendedprice, count(*) AS n FROM lineitem
+       GROUP BY l_returnflag, l_linestatus, l_extendedprice""",
+)
+def prices_per_flag(spark, sf_dir):
+    return agg.values_per_group(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice")
+
+
 # --- row expressions and projections ----------------------------------------
 
 
@@ -322,6 +431,19 @@ def cos_udf_query(spark, sf_dir):
     return li.select("l_orderkey", "l_linenumber", "l_discount", cos_udf("l_discount").alias("cos_discount"))
 
 
+@query("ceil_native", ORACLE_SQL["ceil_udf"])
+def ceil_native(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    up = ceil_int(F.col("l_extendedprice") / 100).alias("price_hundreds_up")
+    return li.select("l_orderkey", "l_linenumber", "l_extendedprice", up)
+
+
+@query("cos_native", ORACLE_SQL["cos_udf"])
+def cos_native(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_discount", cos_float("l_discount").alias("cos_discount"))
+
+
 # --- time -------------------------------------------------------------------
 
 
@@ -373,7 +495,7 @@ def doubled_date(spark, sf_dir):
         "event_id",
         "ts",
         (F.unix_timestamp("ts") * 2).alias("ts_doubled"),
-        F.to_date(F.from_unixtime(F.unix_timestamp("ts") * 2)).alias("doubled_date"),
+        doubled_unix_date("ts").alias("doubled_date"),
     )
 
 
@@ -484,7 +606,7 @@ def excluded_matched_only(spark, sf_dir):
 
 @query(
     "chain_pairs",
-    """SELECT a.k AS chain_key, a.n AS n_left, b.n AS n_right, a.n * b.n AS n_pairs
+    """SELECT a.k AS chain_key, a.n AS n_left, b.n AS n_right, CAST(a.n * b.n AS DECIMAL(38,0)) AS n_pairs
        FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_nationkey IS NOT NULL GROUP BY 1) a
        JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier WHERE s_nationkey IS NOT NULL GROUP BY 1) b
        ON a.k = b.k""",
@@ -496,7 +618,7 @@ def chain_pairs(spark, sf_dir):
 
 @query(
     "chain_pair_count",
-    "SELECT count(*) AS n_pairs FROM lineitem a JOIN lineitem b ON a.l_suppkey = b.l_partkey",
+    "SELECT CAST(count(*) AS DECIMAL(38,0)) AS n_pairs FROM lineitem a JOIN lineitem b ON a.l_suppkey = b.l_partkey",
 )
 def chain_pair_count(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
@@ -508,8 +630,8 @@ _PAIR_SAMPLE_BOUND = sampling.md5_threshold(0.1)
 
 @query(
     "sampled_chain_pair_count",
-    f"""WITH s AS (SELECT * FROM lineitem WHERE md5(CAST(l_orderkey AS VARCHAR)) < '{_PAIR_SAMPLE_BOUND}')
-       SELECT count(*) AS n_pairs FROM s a JOIN s b ON a.l_suppkey = b.l_partkey""",
+    f"""WITH s AS (SELECT * FROM lineitem WHERE md5({_key_sql("l_orderkey")}) < '{_PAIR_SAMPLE_BOUND}')
+       SELECT CAST(count(*) AS DECIMAL(38,0)) AS n_pairs FROM s a JOIN s b ON a.l_suppkey = b.l_partkey""",
 )
 def sampled_chain_pair_count(spark, sf_dir):
     """J7 as the course does it: one sample (10 % of orders), used on both sides, then counted."""
@@ -517,6 +639,20 @@ def sampled_chain_pair_count(spark, sf_dir):
     return joins.chain_pair_count(sample, "l_suppkey", sample, "l_partkey")
 
 
+@query(
+    "batch_pair_counts",
+    f"""WITH s AS (SELECT *, CAST('0x' || substr(md5({_key_sql(*_LINE_ORDER)}), 1, 8) AS BIGINT) % 1000 AS batch FROM lineitem),
+       n AS (SELECT batch, count(*) AS n FROM s JOIN lineitem b ON s.l_suppkey = b.l_partkey WHERE batch < 10 GROUP BY batch)
+       SELECT CAST(r.range AS INTEGER) AS batch, CAST(coalesce(n.n, 0) AS DECIMAL(38,0)) AS n_pairs
+       FROM range(10) r LEFT JOIN n ON n.batch = r.range""",
+)
+def batch_pair_counts(spark, sf_dir):
+    """Ten disjoint batches of a thousandth of the lines, each scored against the whole table."""
+    li = table(spark, sf_dir, "lineitem")
+    batches = sampling.disjoint_batches(li, _LINE_ORDER, 10, 1000, spark)
+    return joins.batch_pair_counts(batches, "batch", "l_suppkey", li, "l_partkey", 10)
+
+
 # --- windows ----------------------------------------------------------------
 
 
@@ -562,6 +698,20 @@ def running_tax(spark, sf_dir):
     return summed.withColumn("running_tax", F.col("running_tax").cast("double"))
 
 
+@query(
+    "running_order_value",
+    """SELECT *, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderpriority
+       ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS running_value
+       FROM orders""",
+)
+def running_order_value(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    value = F.col("o_totalprice").cast("decimal(18,2)")
+    return windows.running_sum(
+        orders, value, "o_orderpriority", ["o_orderdate", "o_orderkey"], "running_value", buckets=RUN_BUCKETS
+    )
+
+
 _RUN_SQL = f"""WITH r AS (SELECT l_returnflag, l_linestatus,
   sum({_TAX}) OVER w AS run, row_number() OVER w AS pos FROM lineitem
   WINDOW w AS (PARTITION BY l_returnflag, l_linestatus ORDER BY {_RUN_ORDER_SQL}
@@ -690,6 +840,34 @@ def third_payment(spark, sf_dir):
     return joins.enrich_left(third, suppliers, "s_suppkey").select("s_suppkey", "s_name", "third_tax")
 
 
+@query(
+    "latest_taxes",
+    _LATEST_SQL
+    + """
+SELECT l_suppkey, CAST(rn - 1 AS INTEGER) AS place, l_tax FROM p WHERE rn <= 5""",
+)
+def latest_taxes(spark, sf_dir):
+    """A field of an array of structs, then one row per element with its place."""
+    arr = _latest_payments(spark, sf_dir)
+    taxes = nested.array_field("payments.contributions", "l_tax")
+    return arr.select("l_suppkey", F.posexplode(taxes).alias("place", "l_tax"))
+
+
+@query(
+    "urgent_totals_outer",
+    """SELECT c.c_custkey, o.o_totalprice AS total FROM customer c LEFT JOIN
+       (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000) o
+       ON c.c_custkey = o.o_custkey""",
+)
+def urgent_totals_outer(spark, sf_dir):
+    """Customers with the array of their largest urgent orders, exploded; those without keep a null row."""
+    t = load_tables(spark, sf_dir, ["orders", "customer"])
+    large = t["orders"].filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 400000))
+    totals = large.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.collect_list("o_totalprice").alias("total"))
+    customers = joins.enrich_left(t["customer"].select("c_custkey"), totals, "c_custkey")
+    return nested.explode_rows(customers, "total", outer=True)
+
+
 # --- sampling, batches, sinks ----------------------------------------------
 
 _SAMPLE_BOUND = sampling.md5_threshold(0.1)
@@ -697,13 +875,41 @@ _SAMPLE_BOUND = sampling.md5_threshold(0.1)
 
 @query(
     "hash_sample",
-    f"SELECT * FROM orders WHERE md5(CAST(o_orderkey AS VARCHAR)) < '{_SAMPLE_BOUND}'",
+    f"SELECT * FROM orders WHERE md5({_key_sql('o_orderkey')}) < '{_SAMPLE_BOUND}'",
 )
 def hash_sample(spark, sf_dir):
     return sampling.hash_sample(table(spark, sf_dir, "orders"), "o_orderkey", 0.1)
 
 
-_BUCKET_SQL = "CAST(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 1000 AS INTEGER)"
+@query("row_sample", f"SELECT * FROM lineitem WHERE md5({_key_sql(*_LINE_ORDER)}) < '{_SAMPLE_BOUND}'")
+def row_sample(spark, sf_dir):
+    return sampling.row_sample(table(spark, sf_dir, "lineitem").select(*_LINE_ORDER), 0.1)
+
+
+# Every third nation key is missing, so that the key holds nulls.
+_NULL_KEY = "CASE WHEN c_nationkey % 3 <> 0 THEN c_nationkey END"
+
+
+@query("sample_with_nulls", f"SELECT c_custkey, c_name FROM customer WHERE md5({_key_sql(_NULL_KEY)}) < '{sampling.md5_threshold(0.6)}'")
+def sample_with_nulls(spark, sf_dir):
+    keyed = table(spark, sf_dir, "customer").withColumn("key", F.expr(_NULL_KEY))
+    return sampling.hash_sample(keyed, "key", 0.6).select("c_custkey", "c_name")
+
+
+_SPLIT_BOUND = sampling.md5_threshold(0.2)
+
+
+@query(
+    "hash_split_rows",
+    f"""SELECT o_orderkey, CASE WHEN md5({_key_sql('o_orderkey')}) < '{_SPLIT_BOUND}' THEN 'test' ELSE 'training' END AS "set" FROM orders""",
+)
+def hash_split_rows(spark, sf_dir):
+    training, test = sampling.hash_split(table(spark, sf_dir, "orders"), 0.2, "o_orderkey")
+    marked = [part.select("o_orderkey", F.lit(name).alias("set")) for name, part in (("training", training), ("test", test))]
+    return marked[0].unionByName(marked[1])
+
+
+_BUCKET_SQL = f"CAST(CAST('0x' || substr(md5({_key_sql('o_orderkey')}), 1, 8) AS BIGINT) % 1000 AS INTEGER)"
 
 
 @query(
@@ -720,6 +926,31 @@ def saved_and_reread(spark, sf_dir):
     return materialize(done, spark, label="saved")
 
 
+@query("csv_round_trip", "SELECT * FROM orders")
+def csv_round_trip(spark, sf_dir):
+    """Orders as CSV with a header, its columns in another order, read back by name."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "csv")
+    orders.select(*reversed(orders.columns)).write.option("header", "true").csv(path)
+    return read_table(spark, path, "csv", TABLE_SCHEMAS["orders"])
+
+
+@query("saved_table", "SELECT * FROM supplier")
+def saved_table(spark, sf_dir):
+    """A catalog table, written and read by name."""
+    name = f"rideflow_supplier_{uuid.uuid4().hex[:12]}"
+    save_table(table(spark, sf_dir, "supplier"), scratch_path(spark, "table"), name=name)
+    return spark.table(name)
+
+
+@query("rand_split_counts")
+def rand_split_counts(spark, sf_dir):
+    training, test = sampling.rand_split(table(spark, sf_dir, "orders"), 0.2, 42)
+    return agg.row_count(training).select(F.lit("training").alias("set"), "n_rows").unionByName(
+        agg.row_count(test).select(F.lit("test").alias("set"), "n_rows")
+    )
+
+
 @query("random_split_counts")
 def random_split_counts(spark, sf_dir):
     training, test = sampling.random_split(table(spark, sf_dir, "orders"), 0.2, 42)
@@ -762,7 +993,8 @@ EVENT_FEATURES = ("month", "day_of_week", "day_of_month", "event_type_is_click",
 def _event_job(spark: SparkSession, sf_dir: str, learner: str) -> RideJob:
     t = load_tables(spark, sf_dir, ["events", "customer"])
     events = t["events"].withColumns(
-        {"hour": F.hour("ts"), "k": F.get_json_object("props", "$.k").cast("double")}
+        # An event without k gets a value of its own, so that no row is left out of the fit.
+        {"hour": F.hour("ts"), "k": F.coalesce(F.get_json_object("props", "$.k").cast("double"), F.lit(-1.0))}
     )
     job = RideJob(
         RideConfig(
@@ -770,13 +1002,13 @@ def _event_job(spark: SparkSession, sf_dir: str, learner: str) -> RideJob:
             label="value",
             feature_cols=EVENT_FEATURES,
             learner=learner,
-            handle_invalid="skip",
+            split_keys=("event_id",),
             trips_name="events",
             zones_name="customer",
         ),
         spark,
     )
-    job.sdfs.update({"events": events, "customer": t["customer"]})
+    job.tables.update({"events": events, "customer": t["customer"]})
     job.transform()
     job.train()
     job.validate()
@@ -802,7 +1034,59 @@ def importances(spark, sf_dir):
 def saved_model_scores(spark, sf_dir):
     job = _event_job(spark, sf_dir, "rf")
     path = save_model(job.model, scratch_path(spark, "model"))
-    return ml.score(PipelineModel.load(path), job.sdfs["test"]).select("event_id", "value", "prediction")
+    return ml.score(PipelineModel.load(path), job.tables["test"]).select("event_id", "value", "prediction")
+
+
+# The prepared rows of the event model, each in its part of the split.
+_MODEL_ROWS = f"""WITH m AS (SELECT event_id, CASE WHEN md5({_key_sql("event_id")}) < '{_SPLIT_BOUND}'
+  THEN 'test' ELSE 'training' END AS "set" FROM ({_prepared_sql(3, _ANTI_AUTO)}))"""
+
+
+@query("reloaded_scores", _MODEL_ROWS + ' SELECT event_id, "set", true AS same FROM m')
+def reloaded_scores(spark, sf_dir):
+    """Every prepared row: whether the saved and reloaded model scores it as the one in memory does."""
+    job = _event_job(spark, sf_dir, "rf")
+    path = save_model(job.model, scratch_path(spark, "model"))
+    both = job.parts()
+    mine = ml.score(job.model, both).select("event_id", "set", F.col("prediction").alias("mine"))
+    again = ml.score(PipelineModel.load(path), both).select(F.col("event_id").alias("id"), F.col("prediction").alias("again"))
+    joined = mine.join(again, F.col("event_id") == F.col("id"))
+    return joined.select("event_id", "set", (F.col("mine") == F.col("again")).alias("same"))
+
+
+@query("model_metrics", _MODEL_ROWS + ' SELECT "set", count(*) AS n_rows, true AS same FROM m GROUP BY "set"')
+def model_metrics(spark, sf_dir):
+    """The report's metrics beside an independent aggregate of the same predictions."""
+    job = _event_job(spark, sf_dir, "gbt")
+    error = F.col("value") - F.col("prediction")
+    other = ml.score(job.model, job.parts()).groupBy(F.col("set").alias("of")).agg(
+        F.sqrt(F.avg(error * error)).alias("rmse2"), F.avg(F.abs(error)).alias("mae2")
+    )
+    close = (F.abs(F.col("rmse") - F.col("rmse2")) < 1e-9) & (F.abs(F.col("mae") - F.col("mae2")) < 1e-9)
+    return job.report["metrics"].join(other, F.col("set") == F.col("of")).select("set", "n_rows", close.alias("same"))
+
+
+@query(
+    "importance_sum",
+    " UNION ALL ".join(f"SELECT '{name}' AS feature, 1.0::DOUBLE AS total" for name in EVENT_FEATURES),
+)
+def importance_sum(spark, sf_dir):
+    """Each feature once; the importances add up to one."""
+    found = _event_job(spark, sf_dir, "rf").report["importances"]
+    total = found.agg(F.round(F.sum("importance"), 9)).scalar()
+    return found.select("feature", total.alias("total"))
+
+
+@query("job_run", _MODEL_ROWS + ' SELECT "set", count(*) AS n_rows FROM m GROUP BY "set"')
+def job_run(spark, sf_dir):
+    """The whole job, from its sources to the saved model."""
+    sources = {name: TableSpec(f"{sf_dir}/{name}.parquet", "parquet", TABLE_SCHEMAS[name]) for name in ("events", "customer")}
+    config = RideConfig(
+        prepare=EVENT_PREPARE, label="value", feature_cols=EVENT_FEATURES[:4], split_keys=("event_id",),
+        trips_name="events", zones_name="customer",
+    )
+    job = RideJob(config, spark, sources)
+    return job.run(model_path=scratch_path(spark, "model"))["metrics"].select("set", "n_rows")
 
 
 @query(
@@ -832,7 +1116,9 @@ def metrics_from_predictions(spark, sf_dir):
        (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id AND lower(c.c_mktsegment) LIKE '%auto%')""",
 )
 def stream_filtered_events(spark, sf_dir):
-    return stream_filtered(spark, sf_dir, EVENT_PREPARE)
+    # As a glob, which is what a file stream reads besides folders.
+    events = file_stream(spark, f"{sf_dir}/events.parque[t]", TABLE_SCHEMAS["events"])
+    return stream_filtered(events, table(spark, sf_dir, "customer"), EVENT_PREPARE)
 
 
 def _utc(fn: Query) -> Query:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.operators.rides import PrepareConfig, prepare_rides
-from rideflow.operators.sampling import random_split
+from rideflow.operators.sampling import hash_split
 from rideflow.plans import ml
 from rideflow.session import build_session
 from rideflow.sources.sinks import materialize, save_model
@@ -41,7 +41,7 @@ class RideConfig:
 
     prepare: PrepareConfig = field(default_factory=PrepareConfig)
     test_fraction: float = 0.2
-    split_seed: int = 42
+    split_keys: Sequence[str] | None = None  # columns whose hash splits; None: the whole row
     learner: str = "rf"
     label: str = "tip_amount"
     feature_cols: Sequence[str] = TRIP_FEATURES
@@ -54,7 +54,7 @@ class RideConfig:
 class RideJob:
     """One run of the job; every stage is a separate method so it can be re-run.
 
-    ``sdfs`` holds the named DataFrames and is the injection point for tests:
+    ``tables`` holds the named DataFrames and is the injection point for tests:
     fill it and call ``transform`` without ``extract``.
     """
 
@@ -62,7 +62,7 @@ class RideJob:
         self.config = config
         self.spark = spark
         self.sources = sources or {}
-        self.sdfs: dict[str, DataFrame] = {}
+        self.tables: dict[str, DataFrame] = {}
         self.model = None
         self.report: dict[str, DataFrame] = {}
 
@@ -77,42 +77,45 @@ class RideJob:
 
     def extract(self) -> None:
         """Read every configured source (S3)."""
-        self.sdfs.update(extract(self.spark, self.sources))
+        self.tables.update(extract(self.spark, self.sources))
 
     def transform(self) -> None:
         cfg = self.config
-        prepared = prepare_rides(self.sdfs[cfg.trips_name], self.sdfs[cfg.zones_name], cfg.prepare)
-        self.sdfs["prepared_data"] = prepared
-        self.sdfs.pop("prepared_files", None)
+        prepared = prepare_rides(self.tables[cfg.trips_name], self.tables[cfg.zones_name], cfg.prepare)
+        self.tables["prepared_data"] = prepared
+        self.tables.pop("prepared_files", None)
 
     def train(self, learner: str | None = None) -> None:
         """Split and fit; ``learner`` swaps the regressor for this call."""
         cfg = self.config
-        prepared = self.sdfs["prepared_data"]
+        prepared = self.tables["prepared_data"]
         if cfg.materialize_prepared:
             # Written once per transform: the fit and every evaluation read
             # files instead of re-running scans, the anti joins and the window,
             # and a re-run with another learner or split reuses them.
-            if "prepared_files" not in self.sdfs:
-                self.sdfs["prepared_files"] = materialize(prepared, self.spark, label="prepared")
-            prepared = self.sdfs["prepared_files"]
-        self.sdfs["training"], self.sdfs["test"] = random_split(prepared, cfg.test_fraction, cfg.split_seed)
+            if "prepared_files" not in self.tables:
+                self.tables["prepared_files"] = materialize(prepared, self.spark, label="prepared")
+            prepared = self.tables["prepared_files"]
+        self.tables["training"], self.tables["test"] = hash_split(prepared, cfg.test_fraction, cfg.split_keys)
         self.model = ml.train(
-            self.sdfs["training"],
+            self.tables["training"],
             cfg.feature_cols,
             cfg.label,
             learner or cfg.learner,
             handle_invalid=cfg.handle_invalid,
         )
 
+    def parts(self) -> DataFrame:
+        """All prepared rows with the part (``set``) they are in."""
+        return self.tables["training"].withColumn("set", F.lit("training")).unionByName(
+            self.tables["test"].withColumn("set", F.lit("test"))
+        )
+
     def validate(self) -> None:
         cfg = self.config
         self.report["importances"] = ml.feature_importances(self.model, cfg.feature_cols, self.spark)
         # Both sets scored and measured in one pass, grouped by set.
-        both = self.sdfs["training"].withColumn("set", F.lit("training")).unionByName(
-            self.sdfs["test"].withColumn("set", F.lit("test"))
-        )
-        self.report["metrics"] = ml.regression_metrics(ml.score(self.model, both), cfg.label, by=["set"])
+        self.report["metrics"] = ml.regression_metrics(ml.score(self.model, self.parts()), cfg.label, by=["set"])
         log.info("validation reports ready: %s", ", ".join(self.report))
 
     def load(self, path: str) -> str:
@@ -122,7 +125,7 @@ class RideJob:
     def with_config(self, **changes) -> RideJob:
         """A job sharing the loaded data with some parameters replaced."""
         job = RideJob(dataclasses.replace(self.config, **changes), self.spark, self.sources)
-        job.sdfs = dict(self.sdfs)
+        job.tables = dict(self.tables)
         job.model = self.model
         return job
 
@@ -147,7 +150,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, DataFrame]:
         "taxi_zone_geo": TableSpec(args.zones, args.format, ZONE_SCHEMA),
     }
     prepare = dataclasses.replace(
-        PrepareConfig(), history_start_month=args.history[0], history_end_month=args.history[1]
+        PrepareConfig(), after_month=args.history[0], through_month=args.history[1]
     )
     job = RideJob(
         RideConfig(prepare=prepare, learner=args.learner, test_fraction=args.test_fraction), spark, sources

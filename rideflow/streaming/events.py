@@ -8,60 +8,42 @@ window need state and are not offered on streams.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from rideflow.functions.columns import name_contains
 from rideflow.operators.filters import keep_hours, limit_history
 from rideflow.operators.joins import exclude_by_dim
 from rideflow.operators.rides import PrepareConfig
 from rideflow.session import scratch_path
-from rideflow.sources.tables import TABLE_SCHEMAS, table
 
 
 def filter_ride_stream(stream: DataFrame, zones: DataFrame, cfg: PrepareConfig) -> DataFrame:
     """Month range, evening hours and zone exclusion on a streaming DataFrame."""
     r, z = cfg.ride, cfg.zone
-    out = limit_history(stream, r.pickup_ts, cfg.history_start_month, cfg.history_end_month)
-    out = keep_hours(out, r.dropoff_ts, cfg.first_evening_hour, cfg.last_evening_hour)
+    out = limit_history(stream, r.pickup_ts, cfg.after_month, cfg.through_month)
+    out = keep_hours(out, r.dropoff_ts, cfg.first_hour, cfg.last_hour)
     for loc in r.locations:
         out = exclude_by_dim(out, loc, zones, z.key, name_contains(z.name, z.excluded_word))
     return out
 
 
-def _stream_path(path: str) -> str:
-    """A file stream reads a folder or a glob; a single file becomes a one-file glob."""
-    if os.path.isfile(path):
-        head, name = os.path.split(path)
-        return f"{head}/{name[:-1]}[{name[-1]}]"
-    return path
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000) -> DataFrame:
+    """The Parquet files of a folder or glob as a stream; ``max_files`` bounds each micro-batch, so
+    catching up on a large backlog runs as several bounded batches rather than one."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def stream_filtered(
-    spark: SparkSession,
-    sf_dir: str,
-    cfg: PrepareConfig,
-    max_files_per_trigger: int = 1000,
-    sink_root: str | None = None,
-) -> DataFrame:
-    """Run the filters as a stream over the events files until caught up, then read the sink.
+def stream_filtered(stream: DataFrame, zones: DataFrame, cfg: PrepareConfig, sink_root: str | None = None) -> DataFrame:
+    """Run the filters over ``stream`` until caught up, then read the sink.
 
     The sink and its checkpoint live below ``spark.checkpoint.dir``, so a
-    restarted query resumes where it stopped and writes each batch once.
-    ``max_files_per_trigger`` bounds each micro-batch, so catching up on a
-    large backlog runs as several bounded batches rather than one.  Pass the
-    same ``sink_root`` again to resume a stopped or failed run: files already
-    processed are skipped and no row is written twice.
+    restarted query resumes where it stopped and writes each batch once.  Pass
+    the same ``sink_root`` again to resume a stopped or failed run: files
+    already processed are skipped and no row is written twice.
     """
-    events = (
-        spark.readStream.schema(TABLE_SCHEMAS["events"])
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(_stream_path(f"{sf_dir.rstrip('/')}/events.parquet"))
-    )
-    customers = table(spark, sf_dir, "customer")
-    kept = filter_ride_stream(events, customers, cfg)
-    root = sink_root or scratch_path(spark, "stream")
+    kept = filter_ride_stream(stream, zones, cfg)
+    root = sink_root or scratch_path(stream.sparkSession, "stream")
     running = (
         kept.writeStream.format("parquet")
         .option("path", f"{root}/data")
@@ -70,4 +52,4 @@ def stream_filtered(
         .start()
     )
     running.awaitTermination()
-    return spark.read.schema(kept.schema).parquet(f"{root}/data")
+    return stream.sparkSession.read.schema(kept.schema).parquet(f"{root}/data")

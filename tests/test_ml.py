@@ -14,15 +14,17 @@ from tests.fixtures import UTC, trips, zones
 
 def _rides(spark, n=300):
     rnd = random.Random(3)
-    cols = ["pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "fare_amount",
-            "tip_amount", "pickup_location_id", "store_and_fwd_flag"]
-    data = []
+    changes = []
     for i in range(n):
         start = dt.datetime(2018, 1, 1, 17, tzinfo=UTC) + dt.timedelta(days=rnd.randint(0, 300), minutes=rnd.randint(0, 200))
         fare = rnd.uniform(3, 60)
-        data.append((start, start + dt.timedelta(minutes=30), rnd.randint(1, 5), rnd.uniform(0.5, 20), fare,
-                     0.15 * fare + rnd.uniform(-0.5, 0.5), i, rnd.choice(["Y", "N"])))
-    return trips(spark, data, cols)
+        changes.append({
+            "pickup_datetime": start, "dropoff_datetime": start + dt.timedelta(minutes=30),
+            "passenger_count": rnd.randint(1, 5), "trip_distance": rnd.uniform(0.5, 20), "fare_amount": fare,
+            "tip_amount": 0.15 * fare + rnd.uniform(-0.5, 0.5), "pickup_location_id": i,
+            "store_and_fwd_flag": rnd.choice(["Y", "N"]),
+        })
+    return trips(spark, *changes)
 
 
 def test_regression_metrics_match_evaluator(spark):
@@ -44,27 +46,27 @@ def test_regression_metrics_constant_label(spark):
 @pytest.mark.parametrize("learner", ["rf", "gbt"])
 def test_job_runs_end_to_end(spark, learner):
     job = RideJob(RideConfig(learner=learner), spark)
-    job.sdfs["taxi_trip_data"] = _rides(spark)
-    job.sdfs["taxi_zone_geo"] = zones(spark)
+    job.tables["taxi_trip_data"] = _rides(spark)
+    job.tables["taxi_zone_geo"] = zones(spark)
     job.transform()
     job.train()
     job.validate()
     metrics = {r.set: r for r in job.report["metrics"].collect()}
     assert set(metrics) == {"training", "test"}
-    assert metrics["training"].n_rows + metrics["test"].n_rows == job.sdfs["prepared_data"].count()
+    assert metrics["training"].n_rows + metrics["test"].n_rows == job.tables["prepared_data"].count()
     imps = job.report["importances"].collect()
     assert len(imps) == 11 and abs(sum(r.importance for r in imps) - 1.0) < 1e-6
     assert [r.importance for r in imps] == sorted((r.importance for r in imps), reverse=True)
     path = job.load(scratch_path(spark, "model-test"))
-    again = ml.score(PipelineModel.load(path), job.sdfs["test"]).select("prediction").collect()
-    before = ml.score(job.model, job.sdfs["test"]).select("prediction").collect()
+    again = ml.score(PipelineModel.load(path), job.tables["test"]).select("prediction").collect()
+    before = ml.score(job.model, job.tables["test"]).select("prediction").collect()
     assert again == before
 
 
 def test_partial_rerun_with_new_config(spark):
     job = RideJob(RideConfig(), spark)
-    job.sdfs["taxi_trip_data"] = _rides(spark)
-    job.sdfs["taxi_zone_geo"] = zones(spark)
+    job.tables["taxi_trip_data"] = _rides(spark)
+    job.tables["taxi_zone_geo"] = zones(spark)
     job.transform()
     smaller = job.with_config(test_fraction=0.01)
     assert dataclasses.asdict(smaller.config)["test_fraction"] == 0.01
@@ -79,8 +81,8 @@ def test_null_feature_policy(spark):
         "fare_amount", F.when(F.col("pickup_location_id") % 2 == 0, F.lit(None)).otherwise(F.col("fare_amount"))
     )
     strict = RideJob(RideConfig(), spark)
-    strict.sdfs["taxi_trip_data"] = raw
-    strict.sdfs["taxi_zone_geo"] = zones(spark)
+    strict.tables["taxi_trip_data"] = raw
+    strict.tables["taxi_zone_geo"] = zones(spark)
     strict.transform()
     with pytest.raises(Exception):
         strict.train()  # VectorAssembler rejects null features by default
@@ -88,7 +90,7 @@ def test_null_feature_policy(spark):
     lenient.train()
     lenient.validate()
     n_scored = sum(r.n_rows for r in lenient.report["metrics"].collect())
-    assert 0 < n_scored < lenient.sdfs["prepared_data"].count()
+    assert 0 < n_scored < lenient.tables["prepared_data"].count()
 
 
 def test_run_from_csv_sources(spark, tmp_path):
@@ -104,22 +106,22 @@ def test_run_from_csv_sources(spark, tmp_path):
     }
     job = RideJob(RideConfig(), spark, sources)
     report = job.run(model_path=scratch_path(spark, "model-csv"))
-    assert job.sdfs["prepared_data"].filter("pickup_location_id = 1").count() == 0  # an airport
+    assert job.tables["prepared_data"].filter("pickup_location_id = 1").count() == 0  # an airport
     assert {r.set for r in report["metrics"].collect()} == {"training", "test"}
 
 
 def test_retrain_reuses_materialized_data(spark):
     job = RideJob(RideConfig(), spark)
-    job.sdfs["taxi_trip_data"] = _rides(spark, 120)
-    job.sdfs["taxi_zone_geo"] = zones(spark)
+    job.tables["taxi_trip_data"] = _rides(spark, 120)
+    job.tables["taxi_zone_geo"] = zones(spark)
     job.transform()
     job.train()
-    files = job.sdfs["prepared_files"].inputFiles()
+    files = job.tables["prepared_files"].inputFiles()
     again = job.with_config(test_fraction=0.3)
     again.train(learner="gbt")
-    assert again.sdfs["prepared_files"].inputFiles() == files
+    assert again.tables["prepared_files"].inputFiles() == files
     job.transform()
-    assert "prepared_files" not in job.sdfs
+    assert "prepared_files" not in job.tables
 
 
 def test_command_line_entry(spark, tmp_path, capsys):
@@ -128,7 +130,7 @@ def test_command_line_entry(spark, tmp_path, capsys):
     trips_dir = str(tmp_path / "trips")
     _rides(spark, 150).write.parquet(trips_dir)
     zone_dir = str(tmp_path / "zones")
-    zones(spark, [(3, "LaGuardia Airport")], ["zone_id", "zone_name"]).write.parquet(zone_dir)
+    zones(spark, {"zone_id": 3, "zone_name": "LaGuardia Airport"}).write.parquet(zone_dir)
     report = main(["--trips", trips_dir, "--zones", zone_dir, "--format", "parquet", "--learner", "gbt",
                    "--model", str(tmp_path / "model")])
     assert report["metrics"].count() == 2

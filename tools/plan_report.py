@@ -21,7 +21,8 @@ from rideflow.plans import catalog  # noqa: E402
 from rideflow.session import build_session  # noqa: E402
 
 # Queries that write files or train models are planned but not listed here.
-SKIP = {"rf_metrics", "gbt_metrics", "importances", "saved_model_scores", "random_split_counts"}
+SKIP = {"rf_metrics", "gbt_metrics", "importances", "saved_model_scores", "reloaded_scores", "model_metrics",
+        "importance_sum", "job_run", "random_split_counts"}
 
 
 def _indent(line: str) -> int:
