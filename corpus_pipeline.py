@@ -1,16 +1,87 @@
-"""A training corpus from the documents table: the stages, in order, each on what the one before kept."""
+"""A training corpus from the documents table, in five stages, each on what the one before kept.
+
+Toxic documents go; of near duplicates one stays; passages that an earlier document holds are cut;
+documents that hold a benchmark item go; the rest is mixed by source and put in training order.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from rideflow.llm.decontaminate import remove_contaminated
+from rideflow.llm.mixing import mix_sources
+from rideflow.llm.order_minhash import near_duplicates
+from rideflow.llm.queries import toxicity_models
+from rideflow.llm.suffix_dedup import remove_repeats
+from rideflow.llm.toxicity import score
 from rideflow.sources import materialize, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and everything else in one struct, out of the way of the operators' own columns."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.col("text").isNull().alias("no text"), *rest).alias("rest"))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from the packed form."""
+    return packed.select(*[F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is 0.7 or more go."""
+    scored = score(_packed(docs), toxicity_models(spark, docs, sf_dir))
+    return _unpacked(scored.filter(F.col("score") < 0.7), docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest doc_id of each class stays; of rows that share an id, that of the
+    smallest text.  Documents without an id, and those without words, are in no class and stay."""
+    classes = materialize(near_duplicates(docs.select("doc_id", "text")), label="pipeline-classes")
+    kept = docs.join(classes.filter("doc_id <> class_id").select("doc_id").distinct(), "doc_id", "left_anti")
+    twice = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    twice = materialize(twice, label="pipeline-repeated")
+    if not twice.isEmpty():
+        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+        one = kept.join(twice, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
+        kept = kept.join(twice, "doc_id", "left_anti").unionByName(one)
+    return kept.select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes or more that an earlier document holds are cut; n_chars follows."""
+    cleaned = remove_repeats(_packed(docs), whole_characters=True)
+    text = F.when(~F.col("rest")["no text"], F.decode("kept", "UTF-8"))
+    cut = _unpacked(cleaned.withColumn("text", text), docs)
+    if "n_chars" in docs.columns:
+        kept = F.coalesce(F.length("text").cast(dict(docs.dtypes)["n_chars"]), F.col("n_chars"))
+        cut = cut.withColumn("n_chars", kept)
+    return cut
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return _unpacked(remove_contaminated(_packed(docs), table(spark, sf_dir, "benchmark")), docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with what the mix takes of it, in the order of its training position."""
+    return mix_sources(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix),
+]
 
 #: Fitted models and sketches have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
