@@ -97,7 +97,7 @@ def source_targets(sizes: DataFrame, schedules: Sequence[Schedule], share: Fract
         rows.withColumn("left", left)
         .withColumn("full", full)
         .withColumn("level", F.min(level).over(everything))
-        .withColumn("open", F.coalesce(F.struct("room", "rank") >= F.struct("level.room", "level.rank"), F.lit(False)))
+        .withColumn("open", F.col("level").isNotNull() & (F.struct("room", "rank") >= F.struct("level.room", "level.rank")))
         .withColumn(
             "target",
             F.when(
