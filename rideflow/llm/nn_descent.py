@@ -321,10 +321,10 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, bea
         one = rows.groupBy("query", "node").agg(F.min("score").alias("score"), F.max("visited").alias("visited"))
         return materialize(one.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= beam).drop("nth"), label="nn-beam")
 
-    # The sample has a proven bound, so every query can meet all of it.
-    sample = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(entries)
-    sample = sample.agg(F.collect_list("node").alias("nodes"))
-    starts = queries.select("query").join(F.broadcast(sample), F.lit(True)).select("query", F.explode("nodes").alias("node"))
+    # At most ``entries`` ids, a constant of the plan: every query meets all of them.
+    sample = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(entries).collect()
+    ids = F.array(*[F.lit(r.node) for r in sample]).cast("array<bigint>")
+    starts = queries.select("query", F.explode(ids).alias("node"))
     own = queries.filter(F.col("own").isNotNull()).select("query", F.col("own").alias("node"))
     reached = best(scored(starts.unionByName(own)).withColumn("visited", F.lit(False)))
     while True:
