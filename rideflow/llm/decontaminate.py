@@ -39,7 +39,7 @@ _LEAK_DDL = "array<struct<item_id:bigint,similarity:double,start_word:bigint,n_w
 
 
 def stride_of(length: int) -> int:
-    return max(1, length // 16)
+    return max(1, length // 8)
 
 
 def window_length(n_words: int) -> int:
@@ -52,31 +52,42 @@ def window_length(n_words: int) -> int:
         length = longer
 
 
-def word_bits(hashes: np.ndarray) -> np.ndarray:
-    """Running counts of set bits, a row per word and one before: (words + 1, 64)."""
+def word_bits(hashes: np.ndarray, longest: int) -> np.ndarray:
+    """Running counts of set bits, a row per word and one before: (words + 1, 64).
+
+    Counts of windows are differences, so they may wrap around as long as ``longest`` fits the type.
+    """
+    kind = np.uint8 if longest < 1 << 8 else np.uint32
     bits = np.unpackbits(mix64(hashes).view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(hashes) + 1, 64), np.int32)
-    np.cumsum(bits, axis=0, out=sums[1:], dtype=np.int32)
+    sums = np.zeros((len(hashes) + 1, 64), kind)
+    np.cumsum(bits.astype(kind, copy=False), axis=0, out=sums[1:])
     return sums
 
 
-def fingerprints(sums: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """SimHash of the windows of ``length`` words: a bit is set if most words have it set."""
-    out = np.empty(len(starts), np.uint64)
-    for a in range(0, len(starts), 1 << 13):
-        s = starts[a : a + (1 << 13)]
-        most = (sums[s + length] - sums[s]) * 2 > length
-        out[a : a + len(s)] = np.packbits(most, axis=1).view(np.uint64).ravel()
+def fingerprints(sums: np.ndarray, length: int, step: int = 1) -> np.ndarray:
+    """SimHash of the windows of ``length`` words that start at every ``step``-th word: a bit is set
+    if most words have it set."""
+    n = max((len(sums) - 1 - length) // step + 1, 0)
+    out = np.empty(n, np.uint64)
+    for a in range(0, n, 1 << 12):
+        b = min(a + (1 << 12), n)
+        low, high = sums[a * step : (b - 1) * step + 1 : step], sums[a * step + length : (b - 1) * step + length + 1 : step]
+        out[a:b] = np.packbits((high - low) > length // 2, axis=1).view(np.uint64).ravel()
     return out
 
 
-def shingles_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of a run of words, and how often each occurs."""
-    n = len(hashes) - SHINGLE + 1
-    out = np.full(max(n, 0), np.uint64(SHINGLE))
+def shingles_at(hashes: np.ndarray) -> np.ndarray:
+    """The shingle that begins at each word (of those that have room)."""
+    n = max(len(hashes) - SHINGLE + 1, 0)
+    out = np.full(n, np.uint64(SHINGLE))
     for k in range(SHINGLE):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + max(n, 0)])
-    return np.unique(out, return_counts=True)
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n])
+    return out
+
+
+def counted(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles and how often each occurs."""
+    return np.unique(shingles, return_counts=True)
 
 
 def weighted_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
@@ -140,15 +151,15 @@ class ItemIndex:
             own = words.hashes[words.first_word[k] : words.first_word[k + 1]]
             n = len(own)
             self.n_words.append(n)
-            self.shingles.append(shingles_of(own))
+            self.shingles.append(counted(shingles_at(own)))
             if n < SHINGLE:
                 continue
             length = window_length(n)
             step = stride_of(length)
             last = n - length
             offsets = np.arange(last + 1)
-            offsets = offsets[(offsets < 4 * step) | (offsets > last - 4 * step)]
-            by_length.setdefault(length, []).append((fingerprints(word_bits(own), offsets, length), k, offsets))
+            offsets = offsets[(offsets < 2 * step) | (offsets > last - 2 * step)]
+            by_length.setdefault(length, []).append((fingerprints(word_bits(own, length), length)[offsets], k, offsets))
         self.lengths = {
             length: _LengthIndex(
                 np.concatenate([f for f, _, _ in rows]),
@@ -164,20 +175,19 @@ class ItemIndex:
         out: list[list[dict]] = [[] for _ in range(words.n_texts)]
         if not len(words.hashes) or not self.lengths:
             return out
-        sums = word_bits(words.hashes)
+        sums = word_bits(words.hashes, max(self.lengths))
         places = []
         for length, index in self.lengths.items():
-            starts = np.arange(0, len(words.hashes) - length + 1, stride_of(length))
-            starts = starts[words.row[starts] == words.row[starts + length - 1]] if len(starts) else starts
-            if not len(starts):
-                continue
-            w, f = index.within(fingerprints(sums, starts, length), self.radius)
+            fps = fingerprints(sums, length, stride_of(length))
+            starts = np.arange(len(fps)) * stride_of(length)
+            inside = words.row[starts] == words.row[starts + length - 1]
+            starts = starts[inside]
+            w, f = index.within(fps[inside], self.radius)
             places.append(np.c_[index.items[f], starts[w] - index.offsets[f], words.row[starts[w]]])
-        if not places:
-            return out
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        shingles = shingles_at(words.hashes)
         for item, start, row in np.unique(np.concatenate(places), axis=0).tolist():
-            found = self._verify(words, item, start, row)
+            found = self._verify(words, shingles, item, start, row)
             if found[0] >= self.least - 1e-9 and found > best.get((row, item), (0.0, 0, 0)):
                 best[row, item] = found
         for (row, item), (similarity, start, n) in sorted(best.items()):
@@ -185,14 +195,20 @@ class ItemIndex:
             out[row].append({"item_id": self.ids[item], "similarity": similarity, "start_word": at, "n_words": n})
         return out
 
-    def _verify(self, words: Words, item: int, start: int, row: int) -> tuple[float, int, int]:
+    def _verify(self, words: Words, shingles: np.ndarray, item: int, start: int, row: int) -> tuple[float, int, int]:
         """The best similarity at a place, trying a word more or less at either end if it is close."""
         low, high = int(words.first_word[row]), int(words.first_word[row + 1])
 
         def at(a: int, b: int) -> tuple[float, int, int]:
             a, b = max(a, low), min(b, high)
-            return weighted_jaccard(self.shingles[item], shingles_of(words.hashes[a:b])), a, b - a
-
+            own = shingles[a : max(b - SHINGLE + 1, a)]
+            return weighted_jaccard(self.shingles[item], counted(own)), a, b - a
+
+        # Most candidates share next to nothing with the item.
+        kinds, own = self.shingles[item][0], shingles[max(start, low) : max(min(start + self.n_words[item], high) - SHINGLE + 1, low)]
+        at_kind = np.minimum(np.searchsorted(kinds, own), len(kinds) - 1)
+        if (kinds[at_kind] == own).sum() * 4 < len(kinds):
+            return 0.0, start, 0
         end = start + self.n_words[item]
         found = at(start, end)
         if found[0] < 1.0 and found[0] > self.least / 2:
@@ -232,9 +248,16 @@ def _finder(index):
 
 
 def mark_leaks(
-    docs: DataFrame, benchmark: DataFrame, *, least: float = 0.8, radius: int = 7, block_bytes: int = 4 << 20
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    least: float = 0.8,
+    radius: int = 7,
+    block_bytes: int = 4 << 20,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with a column ``leaks``: the items found in its text, written already.
+    ``carry`` names the columns to keep (default: all).
 
     Texts are lower-cased; words are runs of letters and digits.  An item is found where the weighted
     Jaccard similarity of its shingles and those of a place in the text is at least ``least``; each
@@ -244,12 +267,18 @@ def mark_leaks(
     A column ``leaks`` is replaced.
     """
     spark = docs.sparkSession
+    kept = [c for c in (docs.columns if carry is None else carry) if c != "leaks"]
     with arrow_batches(spark, 500):
         marked = docs.withColumn("leaks", F.array().cast(_LEAK_DDL))
-        for items in item_blocks(benchmark, block_bytes):
+        blocks = item_blocks(benchmark, block_bytes)
+        items = next(blocks, None)
+        while items is not None:
             find = _finder(spark.sparkContext.broadcast(ItemIndex(items, radius, least)))
-            marked = materialize(marked.withColumn("leaks", F.concat("leaks", find(F.lower("text")))), label="leaks")
-        return marked
+            items = next(blocks, None)
+            marked = marked.withColumn("leaks", F.concat("leaks", find(F.lower("text"))))
+            # The text is needed as long as there are blocks to come.
+            marked = materialize(marked if items is not None else marked.select(*kept, "leaks"), label="leaks")
+        return marked.select(*kept, "leaks")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -191,7 +191,7 @@ def op10_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_decontaminate")
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = decontaminate.mark_leaks(docs, table(spark, sf_dir, "benchmark"))
+    marked = decontaminate.mark_leaks(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
