@@ -24,6 +24,8 @@ from rideflow.llm.common import arrow_batches
 from rideflow.sources import materialize
 
 _BLOCK = 128
+#: Query vectors are broadcast up to so many bytes.
+_MOST_BROADCAST = 32 << 20
 _LISTS = "node long, ids binary, dists binary, fresh binary"
 
 
@@ -299,7 +301,7 @@ def _pack_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[node, other]), pa.array(np.r_[other, node])], names=["from", "to"])
 
 
-def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, beam: int = 64, entries: int = 512) -> DataFrame:
+def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, beam: int = 320, entries: int = 512) -> DataFrame:
     """(query, node, score) of the ``beam`` nearest nodes found for each of ``queries`` (query, vector, own).
 
     Starts at the ``beam`` nearest of at most ``entries`` nodes (a sample by hash) and at ``own`` if it
@@ -308,8 +310,14 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, bea
     """
     links = materialize(graph.mapInArrow(_pack_ids, "from long, to long").distinct(), label="nn-links")
     queries = materialize(queries, label="nn-queries")
-    places = nodes.select("node", F.col("vector").alias("there"))
-    asked = queries.select("query", F.col("vector").alias("here"))
+    # The walk measures in single precision; what it ends with is measured on the originals.
+    single = F.transform("vector", lambda x: x.cast("float"))
+    places = materialize(nodes.select("node", single.alias("there")), label="nn-places")
+    asked = materialize(queries.select("query", single.alias("here")), label="nn-asked")
+    size = asked.agg(F.sum(4 * F.size("here"))).first()[0] or 0
+    if size <= _MOST_BROADCAST:
+        # Then only pairs of ids move; beyond that their vectors do.
+        asked = F.broadcast(asked)
 
     def scored(pairs: DataFrame) -> DataFrame:
         """(query, node) with their distance."""
@@ -330,14 +338,16 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, bea
     while True:
         ahead = reached.filter("NOT visited").select("query", F.col("node").alias("from"))
         if ahead.isEmpty():
-            return reached.select("query", "node", "score")
+            exact = reached.select("query", "node").join(nodes.select("node", F.col("vector").alias("there")), "node")
+            exact = exact.join(queries.select("query", F.col("vector").alias("here")), "query")
+            return exact.select("query", "node", _score("here", "there").alias("score"))
         met = ahead.join(links, "from").select("query", F.col("to").alias("node")).distinct()
         met = met.join(reached.select("query", "node"), ["query", "node"], "left_anti")
         new = scored(met).withColumn("visited", F.lit(False))
         reached = best(reached.withColumn("visited", F.lit(True)).unionByName(new))
 
 
-def nearest_neighbours(vectors: DataFrame, is_query: Column, *, k: int = 10, beam: int = 64, **graph) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, is_query: Column, *, k: int = 10, beam: int = 320, **graph) -> DataFrame:
     """The ``k`` nearest rows found for each row of ``vectors`` (vec_id, embedding) that ``is_query``
     holds for: query_id, rank from 1, vec_id, score (Euclidean, in double precision on the originals).
 
