@@ -4,10 +4,11 @@ A byte goes if some string of ``SPAN`` bytes that covers it also starts in a doc
 Finding them takes these steps, each linear in the text:
 
 1. Anchors.  Of the grams in every 50-byte string the one of smallest hash is its anchor, the leftmost
-   on ties; equal strings have equal anchors at equal places.  Anchors are one gram in sixteen.
+   on ties; equal strings have equal anchors at equal places.  Anchors are one gram in thirteen.
    A shuffle finds the anchors that occur in several documents.
 2. Shards.  The piece of text around each such anchor (all strings that have it as anchor, end to end)
-   goes to the shard of the anchor.  Equal pieces of a batch travel once, for their smallest document.
+   goes to the shard of the anchor.  Of equal pieces of a batch only that of the smallest document
+   travels with its bytes: what the others lose is known.
 3. In a shard, a suffix array of its pieces is built by Larsson-Sadakane refinement (ranks of 8 bytes,
    then of 16, 32 and 50, only unsorted groups being sorted again), and common prefixes of neighbours
    are taken by Kasai's rule, over all pieces in lockstep.  Neighbours that share 50 bytes are equal
@@ -26,10 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rideflow.llm.common import arrow_batches
 from rideflow.llm.words import mix64, text_bytes, text_slices
@@ -37,8 +40,10 @@ from rideflow.session import scratch_path
 from rideflow.sources import materialize, save_table
 
 SPAN = 50
-_GRAM = 20
-_SLICE = 1 << 20
+_GRAM = 26
+_SLICE = 1 << 21
+#: Texts hashed at once: what numpy passes over again and again is to stay in the cache.
+_HASHED = 1 << 18
 _CHUNK = 1 << 21
 _ANCHOR_BITS = 48
 _ANCHOR_MASK = np.uint64((1 << _ANCHOR_BITS) - 1)
@@ -74,11 +79,10 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         return none.astype(np.uint64), none, none, none
     words = words_at(data)
     n = len(data) - _GRAM + 1
-    value = words[:n] * np.uint64(0x9E3779B97F4A7C15)
-    value ^= words[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
-    value ^= value >> np.uint64(29)
-    value += words[12 : 12 + n] * np.uint64(0x165667B19E3779F9)
-    value ^= value >> np.uint64(32)
+    value = np.zeros(n, np.uint64)
+    for at_byte in (*range(0, _GRAM - 8, 8), _GRAM - 8):
+        value = (value + words[at_byte : at_byte + n]) * np.uint64(0x9E3779B97F4A7C15)
+        value ^= value >> np.uint64(32)
     value *= np.uint64(0xBF58476D1CE4E5B9)
     value ^= value >> np.uint64(32)
 
@@ -101,6 +105,20 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return least[start[new]] & _ANCHOR_MASK, row[new], start[new], count
 
 
+def batch_anchors(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """``anchors`` of all texts of a batch, hashed in small slices; places count within the batch."""
+    found, rows, done = [], 0, 0
+    for part in text_slices(batch, "text", _HASHED):
+        data, at = text_bytes(part.column("text"))
+        anchor, row, first, count = anchors(data, at)
+        found.append((anchor, row + rows, first + done, count))
+        rows, done = rows + part.num_rows, done + len(data)
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none, none
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 _PACKED = "slot int, grams binary, docs binary, counts binary"
 
 
@@ -109,9 +127,8 @@ def _pack_anchors(n_slots: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 2 * _SLICE):
-                data, at = text_bytes(part.column("text"))
-                anchor, row, _, _ = anchors(data, at)
+            for part in text_slices(batch, "text", _SLICE):
+                anchor, row, _, _ = batch_anchors(part)
                 doc = np.asarray(part.column("doc"))[row]
                 slot = (mix64(anchor) % np.uint64(n_slots)).astype(np.int64)
                 order = np.lexsort((anchor, doc, slot))
@@ -210,30 +227,29 @@ def place_of(anchor: np.ndarray, bits: int) -> np.ndarray:
 
 # ---- pieces -----------------------------------------------------------------------------------
 
-#: found: the strings are known to start in a smaller document; else the piece is still to compare.
-_PIECE = "shard long, anchor long, hot boolean, found boolean, doc long, row long, first long, count int, piece binary"
+#: A null piece: its strings are known to start in a smaller document.  The shard is 64 times the
+#: anchor, and for hot anchors one of 64 by document more.
+_PIECE = "shard long, hot boolean, doc long, row long, first int, count int, piece binary"
 
 
-def _collapse(pieces: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """(anchor, hot, doc, row, first, count, piece): those of the smallest document of each equal piece,
-    and the others, whose strings all start in that smaller document."""
-    least: dict[tuple, int] = {}
-    for p in pieces:
-        key = (p[0], p[6])
-        least[key] = min(least.get(key, p[2]), p[2])
-    kept, found = [], []
-    for p in pieces:
-        (kept if p[2] == least[p[0], p[6]] else found).append(p)
-    return kept, found
+def _known(shard: np.ndarray, pieces: pa.Array, doc: np.ndarray) -> np.ndarray:
+    """Which pieces equal one of the same shard and a smaller document: all their strings are found."""
+    code = np.asarray(pieces.dictionary_encode().indices)
+    order = np.lexsort((doc, code, shard))
+    new = np.r_[True, (np.diff(shard[order]) != 0) | (np.diff(code[order]) != 0)] if len(order) else order.astype(bool)
+    least = doc[order][new][np.cumsum(new) - 1] if len(order) else doc
+    out = np.empty(len(order), bool)
+    out[order] = doc[order] > least
+    return out
 
 
 def _cut_pieces(path: str, bits: int, hot_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = SharedAnchors(path, bits, hot_path)
         for batch in batches:
-            for part in text_slices(batch, "text", 2 * _SLICE):
+            for part in text_slices(batch, "text", _SLICE):
                 data, at = text_bytes(part.column("text"))
-                anchor, row, first, count = anchors(data, at)
+                anchor, row, first, count = batch_anchors(part)
                 hit = shared.has(anchor)
                 anchor, row, first, count = anchor[hit], row[hit], first[hit], count[hit]
                 raw = data.tobytes()
@@ -241,19 +257,14 @@ def _cut_pieces(path: str, bits: int, hot_path: str):
                 texts = [raw[a:b] for a, b in zip(first.tolist(), ends.tolist())]
                 doc, key = np.asarray(part.column("doc"))[row], np.asarray(part.column("row"))[row]
                 hot = shared.is_hot(anchor)
-                kept, found = _collapse(
-                    list(zip(anchor.view(np.int64).tolist(), hot.tolist(), doc.tolist(), key.tolist(), (first - at[row]).tolist(), count.tolist(), texts))
-                )
-                rows = kept + [(*p[:6], None) for p in found]
-                if not rows:
-                    continue
-                a, h, d, r, f, c, t = zip(*rows)
-                spread = np.where(h, mix64(np.array(d, np.int64).view(np.uint64)) % np.uint64(_HOT_SHARDS), 0).astype(np.int64)
+                pieces = pa.array(texts, pa.binary())
+                known = _known(anchor.view(np.int64), pieces, doc)
+                spread = np.where(hot, mix64(doc.view(np.uint64)) % np.uint64(_HOT_SHARDS), 0).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(a, np.int64) * _HOT_SHARDS + spread), pa.array(a, pa.int64()), pa.array(h),
-                     pa.array([x is None for x in t]), pa.array(d, pa.int64()), pa.array(r, pa.int64()),
-                     pa.array(f, pa.int64()), pa.array(c, pa.int32()), pa.array(t, pa.binary())],
-                    names=["shard", "anchor", "hot", "found", "doc", "row", "first", "count", "piece"],
+                    [pa.array(anchor.view(np.int64) * _HOT_SHARDS + spread), pa.array(hot), pa.array(doc), pa.array(key),
+                     pa.array((first - at[row]).astype(np.int32)), pa.array(count.astype(np.int32)),
+                     pa.compute.if_else(pa.array(known), pa.scalar(None, pa.binary()), pieces)],
+                    names=["shard", "hot", "doc", "row", "first", "count", "piece"],
                 )
 
     return run
@@ -344,13 +355,13 @@ def equal_strings(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return piece[order], offset[order], np.cumsum(np.diff(group, prepend=group[:1]) != 0)
 
 
-_FOUND = "row long, first long, count int, doc long, piece binary"
+_FOUND = "row long, first int, count int, doc long, piece binary"
 
 
 def _found_batch(rows: list[tuple]) -> pa.RecordBatch:
     r, f, c, d, p = zip(*rows) if rows else ([],) * 5
     return pa.RecordBatch.from_arrays(
-        [pa.array(r, pa.int64()), pa.array(f, pa.int64()), pa.array(c, pa.int32()), pa.array(d, pa.int64()), pa.array(p, pa.binary())],
+        [pa.array(r, pa.int64()), pa.array(f, pa.int32()), pa.array(c, pa.int32()), pa.array(d, pa.int64()), pa.array(p, pa.binary())],
         names=["row", "first", "count", "doc", "piece"],
     )
 
@@ -358,58 +369,74 @@ def _found_batch(rows: list[tuple]) -> pa.RecordBatch:
 def _compare(kept: list[tuple]) -> Iterator[tuple]:
     """Of (anchor, hot, doc, row, first, count, piece): (row, first, count, doc, None) of the strings of
     a larger document than the smallest, and (.., 1, doc, string) of strings of a hot anchor that are
-    the smallest in this shard."""
+    the smallest in this shard.  Equal pieces of an anchor are of one document."""
     distinct: dict[tuple, int] = {}
+    holders: list[list[tuple]] = []
     for p in kept:
-        distinct.setdefault((p[0], p[6]), len(distinct))
-    doc = np.empty(len(distinct), np.int64)
-    for p in kept:
-        doc[distinct[p[0], p[6]]] = p[2]  # of equal pieces, all of one document are left
+        k = distinct.setdefault((p[0], p[6]), len(holders))
+        if k == len(holders):
+            holders.append([])
+        holders[k].append(p)
+    doc = np.array([h[0][2] for h in holders], np.int64)  # of equal pieces, all of one document are left
     piece, offset, group = equal_strings([key[1] for key in distinct])
     first = np.flatnonzero(np.r_[True, np.diff(group) != 0]) if len(group) else group
     least = np.minimum.reduceat(doc[piece], first)[group] if len(group) else doc[:0]
-    larger = doc[piece] > least
-    marks: dict[int, np.ndarray] = {}
     order = np.lexsort((offset, piece))
-    piece, offset, larger = piece[order], offset[order], larger[order]
-    starts = np.searchsorted(piece, np.arange(len(distinct) + 1))
-    for p in kept:
-        k = distinct[p[0], p[6]]
-        if k not in marks:
-            marks[k] = larger[starts[k] : starts[k + 1]]
-        mark = marks[k]
-        edges = np.flatnonzero(np.diff(np.r_[0, mark.view(np.int8), 0]))
-        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            yield p[3], p[4] + a, b - a, p[2], None
-        if p[1]:
-            for a in np.flatnonzero(~mark).tolist():
-                yield p[3], p[4] + a, 1, p[2], p[6][a : a + SPAN]
+    piece, offset, larger = piece[order], offset[order], (doc[piece] > least)[order]
+    # Runs of strings that are found, within their piece.
+    new = np.r_[True, np.diff(piece) != 0] if len(piece) else piece
+    before = np.r_[False, larger[:-1]] & ~new if len(piece) else larger
+    starts = np.flatnonzero(larger & ~before)
+    after = np.r_[larger[1:] & ~new[1:], False] if len(piece) else larger
+    ends = np.flatnonzero(larger & ~after) + 1
+    for k, a, n in zip(piece[starts].tolist(), offset[starts].tolist(), (ends - starts).tolist()):
+        for p in holders[k]:
+            yield p[3], p[4] + a, n, p[2], None
+    hot = np.array([h[0][1] for h in holders], bool)
+    rest = np.flatnonzero(~larger & hot[piece])
+    for k, a in zip(piece[rest].tolist(), offset[rest].tolist()):
+        for p in holders[k]:
+            yield p[3], p[4] + a, 1, p[2], p[6][a : a + SPAN]
 
 
 def _compare_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole shards at a time, in chunks of bounded size."""
-    shards: dict[int, list[tuple]] = {}
+    names = ["row", "first", "count", "doc", "piece"]
+    parts = []
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("shard", "anchor", "hot", "doc", "row", "first", "count", "piece")]
-        for s, *p in zip(*cols):
-            shards.setdefault(s, []).append(tuple(p))
-    held, size, out = [], 0, []
-    for s in list(shards):
-        kept, found = _collapse(shards.pop(s))
-        out += [(p[3], p[4], p[5], p[2], None) for p in found]
-        # A single piece has nothing to be compared with, unless the anchor has other shards.
-        if len({p[6] for p in kept}) > 1 or kept[0][1]:
-            held += kept
-            size += sum(len(p[6]) for p in kept)
-        if size > _CHUNK:
-            out += _compare(held)
-            held, size = [], 0
-        if len(out) > 50_000:
-            yield _found_batch(out)
-            out = []
-    if held:
-        out += _compare(held)
-    yield _found_batch(out)
+        known = batch.column("piece").is_null()
+        yield pa.RecordBatch.from_arrays([batch.filter(known).column(c) for c in names], names=names)
+        parts.append(batch.filter(pa.compute.invert(known)))
+    if not sum(p.num_rows for p in parts):
+        return
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    pieces = rows.column("piece").combine_chunks()
+    shard, doc = rows.column("shard").to_numpy(), rows.column("doc").to_numpy()
+    anchor, hot = shard // _HOT_SHARDS, rows.column("hot").to_numpy()
+    # All shards of a hot anchor that are here are compared at once.
+    known = _known(anchor, pieces, doc)
+    yield pa.RecordBatch.from_arrays(
+        [rows.column(c).combine_chunks().filter(pa.array(known)) for c in names[:4]] + [pa.nulls(int(known.sum()), pa.binary())], names=names
+    )
+    left = np.flatnonzero(~known)
+    left = left[np.argsort(anchor[left], kind="stable")]
+    code = np.asarray(pieces.dictionary_encode().indices)[left]
+    # An anchor with a single piece has nothing to be compared with, unless it has other shards.
+    new = np.r_[True, np.diff(anchor[left]) != 0]
+    first = np.flatnonzero(new)
+    several = np.minimum.reduceat(code, first) != np.maximum.reduceat(code, first)
+    left = left[(several | hot[left][first])[np.cumsum(new) - 1]]
+    size = np.cumsum(np.asarray(pa.compute.binary_length(pieces), np.int64)[left])
+    # Chunks end where an anchor does.
+    chunk = size // _CHUNK
+    starts = np.r_[True, np.diff(anchor[left]) != 0] if len(left) else np.zeros(0, bool)
+    chunk = chunk[np.maximum.accumulate(np.where(starts, np.arange(len(left)), 0))] if len(left) else chunk
+    cuts = np.r_[0, np.flatnonzero(np.diff(chunk)) + 1, len(left)]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        part = rows.take(pa.array(left[a:b]))
+        cols = [part.column(c).to_pylist() for c in ("hot", "doc", "row", "first", "count", "piece")]
+        if a < b:
+            yield _found_batch(list(_compare(list(zip(anchor[left[a:b]].tolist(), *cols)))))
 
 
 def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,43 +480,55 @@ def repeated_strings(texts: DataFrame) -> DataFrame:
     save_table(shared.filter(F.col("n") >= hot).select("anchor").coalesce(1), hot_at)
 
     with arrow_batches(spark, 1000):
-        pieces = materialize(texts.mapInArrow(_cut_pieces(map_at, bits, hot_at), _PIECE), label="suffix-pieces")
-    known = pieces.filter("found").select("row", "first", "count")
-    open_ = pieces.filter("NOT found").drop("found").repartition("shard")
-    compared = materialize(open_.mapInArrow(_compare_shards, _FOUND), label="suffix-compared")
+        pieces = texts.mapInArrow(_cut_pieces(map_at, bits, hot_at), _PIECE).repartition("shard")
+        compared = materialize(pieces.mapInArrow(_compare_shards, _FOUND), label="suffix-compared")
     runs = compared.filter(F.col("piece").isNotNull()).repartition("piece")
     merged = runs.mapInArrow(_merge_runs, _FOUND).select("row", "first", "count")
-    return known.unionByName(compared.filter(F.col("piece").isNull()).select("row", "first", "count")).unionByName(merged)
+    return compared.filter(F.col("piece").isNull()).select("row", "first", "count").unionByName(merged)
 
 
 _CLEANED = "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
 
 
-def _clean(text: bytes, spans: list[dict] | None) -> tuple[int, int, bytes]:
-    """(removed, maximal runs removed, what is left)."""
-    if not spans:
-        return 0, 0, text
-    kept, at, runs, removed, end = [], 0, 0, 0, -1
-    for span in sorted((s["first"], s["first"] + s["count"] + SPAN - 1) for s in spans):
-        a, b = span
-        if a > end:
+def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+    """The maximal runs of bytes that the strings cover, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((s["first"], s["first"] + s["count"] + SPAN - 1) for s in spans or ()):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _within_characters(text: bytes, a: int, b: int) -> tuple[int, int]:
+    """The run shortened to whole UTF-8 characters."""
+    while a < b and text[a] & 0xC0 == 0x80:
+        a += 1
+    while a < b < len(text) and text[b] & 0xC0 == 0x80:
+        b -= 1
+    return a, b
+
+
+def clean(text: bytes, spans: list[dict] | None, whole_characters: bool) -> tuple[int, int, bytes]:
+    """(bytes removed, runs removed, what is left)."""
+    kept, at, removed, runs = [], 0, 0, 0
+    for a, b in _merged(spans):
+        if whole_characters:
+            a, b = _within_characters(text, a, b)
+        if a < b:
             kept.append(text[at:a])
-            runs += 1
-            removed += b - a
-            at = end = b
-        elif b > end:
-            removed += b - end
-            at = end = b
+            at, removed, runs = b, removed + b - a, runs + 1
     kept.append(text[at:])
     return removed, runs, b"".join(kept)
 
 
-def _apply(with_text: bool):
+def _apply(with_text: bool, whole_characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                removed, runs, kept = _clean(text, spans)
+                removed, runs, kept = clean(text, spans, whole_characters)
                 out.append((len(text), removed, runs, kept if with_text else None, hashlib.sha256(kept).hexdigest()))
             n, m, s, k, h = zip(*out) if out else ([],) * 5
             yield pa.RecordBatch.from_arrays(
@@ -501,13 +540,16 @@ def _apply(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, *, with_text: bool = True, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, *, with_text: bool = True, carry: list[str] | None = None, whole_characters: bool = False
+) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with n_bytes, n_removed, n_spans, kept_sha256, and with
     ``with_text`` what is left as ``kept`` (binary), written already.
 
     Texts are UTF-8 bytes, a null text none.  Texts below 50 bytes lose nothing.  A null doc_id counts
     as larger than every other, and rows of equal doc_id take nothing from each other, equal rows
-    included.  ``carry`` names the columns to keep (default: all but text); columns of the results'
+    included.  Strings may begin or end inside a character; with ``whole_characters`` a run removed is
+    shortened to whole ones, so that what is left is text.  ``carry`` names the columns to keep (default: all but text); columns of the results'
     names are replaced.  An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -526,7 +568,7 @@ def remove_repeats(docs: DataFrame, *, with_text: bool = True, carry: list[str]
     )
     of = spans.withColumnRenamed("row", "of")
     joined = texts.join(of, F.col("row") == F.col("of"), "left").select("carried", "text", "spans")
-    ddl = f"carried {joined.schema['carried'].dataType.simpleString()}, {_CLEANED}"
+    schema = T.StructType([joined.schema["carried"], *T.StructType.fromDDL(_CLEANED).fields])
     with arrow_batches(spark, 1000):
-        done = materialize(joined.mapInArrow(_apply(with_text), ddl), label="suffix-cleaned")
+        done = materialize(joined.mapInArrow(_apply(with_text, whole_characters), schema), label="suffix-cleaned")
     return done.select(*[F.col("carried")[c].alias(c) for c in carried], *[c for c in made if with_text or c != "kept"])
