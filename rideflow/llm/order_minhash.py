@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -165,43 +165,86 @@ def similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
     return aligned_at_least(x, y, int(np.ceil(least * total / (1 + least) - 1e-9)))
 
 
-def _verify(least: float):
+def _sequences(texts: pa.Array, table: PowerTable) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of each text, its shingles in order, and its labelled shingles."""
+    row, hashes = shingle_hashes(split_words(texts, table, tokens=True), SHINGLE)
+    cuts = np.searchsorted(row, np.arange(1, len(texts)))
+    return np.split(hashes, cuts), np.split(_labelled(row, hashes), cuts)
+
+
+def _verify(least: float, with_rest: bool):
+    """Pairs that are similar; ``with_rest``: all pairs, how many labelled shingles they share, and
+    those that b has besides."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PowerTable()
         for batch in batches:
             for part in text_slices(batch, "text_b", _SLICE):
-                sides = []
-                for side in ("text_a", "text_b"):
-                    row, hashes = shingle_hashes(split_words(part.column(side), table, tokens=True), SHINGLE)
-                    sides.append(np.split(hashes, np.searchsorted(row, np.arange(1, part.num_rows))))
-                keep = pa.array([similar(x, y, least) for x, y in zip(*sides)], pa.bool_())
-                yield part.select(["a", "b"]).filter(keep)
+                (xs, marked_x), (ys, marked_y) = (_sequences(part.column(c), table) for c in ("text_a", "text_b"))
+                found = np.array([similar(x, y, least) for x, y in zip(xs, ys)], bool)
+                if not with_rest:
+                    yield part.select(["a", "b"]).filter(pa.array(found))
+                    continue
+                rest = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(marked_x, marked_y)]
+                sizes = np.array([len(r) for r in rest])
+                flat = pa.array(np.concatenate(rest).view(np.int64) if len(rest) else np.zeros(0, np.int64))
+                shared = np.array([len(y) for y in ys]) - sizes
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), pa.array(found), pa.array(shared.astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), flat)],
+                    names=["a", "b", "similar", "shared", "rest"],
+                )
 
     return run
 
 
 # ---- the join ---------------------------------------------------------------------------------
 
+_LINKS, _COMPARED = "a long, b long", "a long, b long, similar boolean, shared int, rest array<long>"
 
-def _links(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar.  b's text is joined first: a may be in very many
-    pairs, and then Spark splits that key of the second join, whose sides are both plain."""
+
+def _compared(pairs: DataFrame, texts: DataFrame, least: float, with_rest: bool = False) -> DataFrame:
+    """The pairs (a, b), their texts compared.  b's text is joined first: a may be in very many pairs,
+    and then Spark splits that key of the second join, whose sides are both plain."""
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    both = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
     with arrow_batches(pairs.sparkSession, 500):
-        return materialize(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a long, b long"), label="near-links")
+        return materialize(both.mapInArrow(_verify(least, with_rest), _COMPARED if with_rest else _LINKS), label="near-links")
+
+
+def _reach(compared: DataFrame) -> DataFrame:
+    """(led, node, shared, own): what a text shares with its leader, and how many of its other labelled
+    shingles some other text of the same leader has too.
+
+    Two texts of a leader share at most the smaller ``shared`` plus the smaller ``own``: a shingle they
+    share is the leader's or not.  So copies that were changed in different places are told apart
+    without comparing them.
+    """
+    rest = compared.select("a", "b", F.explode("rest").alias("shingle"))
+    common = materialize(
+        rest.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "shingle"), label="near-common"
+    )
+    own = rest.join(common, ["a", "shingle"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).cast("int").alias("own"))
+    return materialize(
+        compared.select("a", "b", "shared").join(own, ["a", "b"], "left").select(
+            F.col("a").alias("led"), F.col("b").alias("node"), "shared", F.coalesce("own", F.lit(0)).alias("own")
+        ),
+        label="near-reach",
+    )
 
 
 def near_duplicates(
-    docs: DataFrame, *, least: float = 0.8, n_hashes: int = 16, n_least: int = 3, first_leaders: int = 1
+    docs: DataFrame, *, least: float = 0.8, n_hashes: int = 16, n_least: int = 3
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id and class_id, the smallest doc_id of its class.
 
     Texts are in a class if they are equal or a chain of pairs of aligned similarity ``least`` or more
     connects them.  Equal texts are joined first, so copies are compared once.  A bucket's texts are
-    compared with its most central one, then, as long as the bucket holds texts of several classes,
-    with the next four, sixteen, ...: every pair of a bucket is either compared or already in one
-    class, and a group of similar texts never gives all its pairs.
+    compared with its most central one, its leader; then, as long as the bucket holds texts of several
+    classes, with the next four, sixteen, ...  Every pair of a bucket is compared, or already in one
+    class, or cannot be similar, by the sizes of the two or by what both share with the leader: so
+    neither a group of similar texts nor one of changed copies gives all its pairs.
 
     Words are runs of non-blank characters; a text of fewer than five is one shingle.  Null and empty
     texts and texts of blanks have nothing to compare: each row is a class of its own.  A null doc_id
@@ -241,38 +284,48 @@ def near_duplicates(
     needed = texts.join(rank.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
     needed = materialize(needed, label="near-texts")
 
-    links, found = None, None
-    leaders = first_leaders
+    order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
+
+    def leading(rows: DataFrame, n: int) -> DataFrame:
+        best = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+        kept = {"node": "a", "class": "class_a", "size": "size_a", "weight": "weight_a", "shared": "shared_a", "own": "own_a"}
+        return materialize(best.select("bucket", *[F.col(c).alias(k) for c, k in kept.items() if c in best.columns]), label="near-leaders")
+
+    def fits(most_shared: Column) -> Column:
+        total = F.col("size") + F.col("size_a")
+        return most_shared * (1 + least) >= total * least - 1e-9
+
+    # The first leader of each bucket meets all of it.
+    lead = leading(rest.withColumn("class", F.col("node")), 1)
+    smaller = F.least("size", "size_a")
+    pairs = rest.join(lead.select("bucket", "a", "size_a"), "bucket").filter((F.col("node") != F.col("a")) & fits(smaller))
+    compared = _compared(materialize(pairs.select("a", F.col("node").alias("b")).distinct(), label="near-pairs"), needed, least, True)
+    links = compared.filter("similar").select("a", "b")
+    reach = _reach(compared)
+    # A text too short or long for its leader was not compared with it; what it shares stays null.
+    rest = rest.join(lead.select("bucket", F.col("a").alias("led")), "bucket").filter(F.col("node") != F.col("led"))
+    rest = rest.join(reach, ["led", "node"], "left")
+    rest = materialize(rest.select("bucket", "node", "size", "weight", "shared", "own", "led"), label="near-members")
+    leaders = 4
     while True:
-        if found is None:
-            rest = rest.withColumn("class", F.col("node"))
-        else:
-            rest = rest.join(found.withColumnRenamed("label", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
-            rest = materialize(rest, label="near-members")
-            open_ = rest.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-            rest = materialize(rest.join(materialize(open_.select("bucket"), label="near-open"), "bucket", "left_semi"), label="near-members")
-            if rest.isEmpty():
-                break
-        order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
-        lead = rest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= leaders)
-        lead = materialize(
-            lead.select("bucket", F.col("node").alias("a"), F.col("class").alias("class_a"), F.col("size").alias("size_a"), F.col("weight").alias("weight_a")),
-            label="near-leaders",
-        )
-        fits = (F.col("size") >= F.col("size_a") * least - 1e-9) & (F.col("size_a") >= F.col("size") * least - 1e-9)
-        after = (F.col("weight") < F.col("weight_a")) | ((F.col("weight") == F.col("weight_a")) & (F.col("node") > F.col("a")))
-        pairs = (
-            rest.join(lead, "bucket")
-            .filter((F.col("class") != F.col("class_a")) & fits & after)
-            .select("a", F.col("node").alias("b"))
-            .distinct()
-        )
-        new = _links(materialize(pairs, label="near-pairs"), needed, least)
-        links = new if links is None else links.unionByName(new)
         found = materialize(components(links), label="near-classes")
+        rest = rest.drop("class").join(found.withColumnRenamed("label", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
+        rest = materialize(rest, label="near-members")
+        open_ = rest.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+        rest = materialize(rest.join(materialize(open_.select("bucket"), label="near-open"), "bucket", "left_semi"), label="near-members")
+        if rest.isEmpty():
+            break
+        lead = leading(rest, leaders)
+        after = (F.col("weight") < F.col("weight_a")) | ((F.col("weight") == F.col("weight_a")) & (F.col("node") > F.col("a")))
+        known = F.col("shared").isNotNull() & F.col("shared_a").isNotNull()
+        reachable = F.when(known, F.least(smaller, F.least("shared", "shared_a") + F.least("own", "own_a"))).otherwise(smaller)
+        pairs = rest.join(lead, "bucket").filter((F.col("class") != F.col("class_a")) & fits(reachable) & after)
+        pairs = materialize(pairs.select("a", F.col("node").alias("b")).distinct(), label="near-pairs")
+        if not pairs.isEmpty():
+            links = links.unionByName(_compared(pairs, needed, least))
         led = lead.select("bucket", F.col("a").alias("node"))
-        rest = rest.drop("class").join(led, ["bucket", "node"], "left_anti")
-        leaders *= 4
+        rest = rest.join(led, ["bucket", "node"], "left_anti")
+        leaders *= 8
     # Copies hang on the text they equal.
     whole = copies.select(F.col("node").alias("a"), F.col("first").alias("b")).unionByName(links)
     classes = materialize(components(whole), label="near-classes")
