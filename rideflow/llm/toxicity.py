@@ -3,9 +3,10 @@
 Two bigram models, one of toxic and one of ordinary texts, are counted over all labelled training
 texts.  Each interpolates discounted bigrams with continuation counts of words, and these with
 continuation counts shared by both classes, so that an expression too rare to tell the classes apart
-weighs the same in both.  A text's evidence is the log-likelihood ratio per word: over the whole text
-and over its most toxic passage.  A logistic curve, fitted on labelled rows that the models were not
-counted on, turns it into a score.
+weighs the same in both.  A text's evidence is its log-likelihood ratio per word, what strongly toxic
+expressions add to that, in all and per word, and its most toxic expression; for a long text may hold
+few insults.  A logistic curve, fitted on labelled rows that the models were not counted on, turns the
+evidence into a score.
 
 The counts are gathered by Spark over every training text.  A task that scores texts reads the n-grams
 that occur often enough; ``max_entries`` bounds how many there are, since at most that many n-grams
@@ -39,6 +40,8 @@ _COUNTS = pa.schema(
 )
 _COUNTS_DDL = "kind byte, w long, h int, toxic long, ordinary long, toxic_types long, ordinary_types long, types long"
 _WORD, _PAIR = 1, 2
+#: Mean ratio, largest ratio, log of the strong ratios' sum, that sum per word, log of the length.
+N_FEATURES = 5
 
 
 def _contexts(words: Words) -> np.ndarray:
@@ -115,7 +118,7 @@ class Models:
     pairs_path: str
     totals: dict[str, float]
     discount: float
-    window: int
+    strong: float
     prior: float
     weights: list[float] = field(default_factory=list)
 
@@ -125,12 +128,12 @@ class Models:
 
 
 def count_models(
-    labelled: DataFrame, *, min_count: int = 5, max_entries: int = 8_000_000, discount: float = 0.75, window: int = 12
+    labelled: DataFrame, *, min_count: int = 5, max_entries: int = 8_000_000, discount: float = 0.75, strong: float = 2.0
 ) -> Models:
     """Count both models over ``labelled`` (text, toxic 0/1).
 
     Words and pairs that occur fewer than ``min_count`` times in all, or less than once in
-    ``max_entries`` words, are left to the shared counts.
+    ``max_entries`` words, are left to the shared counts.  A ratio above ``strong`` (e-fold) is strong.
     """
     spark = labelled.sparkSession
     grams_at, words_at, pairs_at = (scratch_path(spark, f"toxic-{x}") for x in ("grams", "words", "pairs"))
@@ -147,7 +150,7 @@ def count_models(
     often = F.col("toxic") + F.col("ordinary") >= cutoff
     save_table(words.groupBy("w").agg(*[F.sum(c).alias(c) for c in sums]).filter(often), words_at)
     save_table(counts.filter(F.col("kind") == _PAIR).filter(often).select("w", "h", "toxic", "ordinary"), pairs_at)
-    return Models(words_at, pairs_at, totals, discount, window, 0.0)
+    return Models(words_at, pairs_at, totals, discount, strong, 0.0)
 
 
 def _read(path: str) -> pa.Table:
@@ -209,18 +212,16 @@ class Scorer:
         return logs[0] - logs[1]
 
     def features(self, words: Words) -> np.ndarray:
-        """Per text: mean ratio, ratio per word of the most toxic passage, log of the length."""
-        n, size = np.diff(words.first_word), self.models.window
-        out = np.zeros((words.n_texts, 3))
-        if not len(words.hashes):
-            return out
-        sums = np.r_[0.0, np.cumsum(self.ratios(words))]
-        i = np.arange(len(words.hashes)) + 1
-        passage = (sums[i] - sums[np.maximum(i - size, words.first_word[words.row])]) / size
+        """Per text, N_FEATURES numbers (zeros without words)."""
+        n = np.diff(words.first_word)
+        out = np.zeros((words.n_texts, N_FEATURES))
         some = np.flatnonzero(n)
-        out[some, 0] = (sums[words.first_word[1:]] - sums[words.first_word[:-1]])[some] / n[some]
-        out[some, 1] = np.maximum.reduceat(passage, words.first_word[some])
-        out[some, 2] = np.log1p(n[some])
+        if not len(some):
+            return out
+        first, n, ratios = words.first_word[some], n[some], self.ratios(words)
+        strong = np.add.reduceat(np.where(ratios > self.models.strong, ratios, 0.0), first)
+        columns = np.add.reduceat(ratios, first) / n, np.maximum.reduceat(ratios, first), np.log1p(strong), strong / n, np.log1p(n)
+        out[some] = np.stack(columns, axis=1)
         return out
 
     def scores(self, words: Words) -> np.ndarray:
@@ -235,7 +236,8 @@ def _features_of(models: Models):
         for batch in batches:
             for part in text_slices(batch, "text", _SLICE):
                 x = scorer.features(split_words(part.column("text").fill_null(""), table))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [part.column("toxic")], names=["a", "b", "c", "toxic"])
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([lists, part.column("toxic")], names=["x", "toxic"])
 
     return run
 
@@ -244,7 +246,7 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> list[float]:
     """Logistic regression with a small ridge, by Newton steps on standardised features."""
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
     z = np.c_[(x - mean) / scale, np.ones(len(x))]
-    ridge = np.diag([0.1, 0.1, 0.1, 1e-3])
+    ridge = np.diag([0.1] * x.shape[1] + [1e-3])
     b = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(z @ b, -30, 30)))
@@ -256,6 +258,24 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> list[float]:
     return [*map(float, slope), float(b[-1] - slope @ mean)]
 
 
+#: Bits of one bitmap, and the most bitmaps there are (64 MB in all).
+_BITMAP_BITS, _MOST_BITMAPS = 32768, 1 << 14
+
+
+def _marked_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that may have a mark, by a bitmap of the marks' ids; all that have one are
+    among them, so that few texts are moved in vain.  The bitmaps are broadcast: there are 16 bits for
+    each mark, up to a fixed bound beyond which more rows pass."""
+    n = min(max(-(-16 * marks.count() // _BITMAP_BITS), 1), _MOST_BITMAPS)
+    slot = F.pmod(F.xxhash64("doc_id", F.lit("mark")), F.lit(n * _BITMAP_BITS))
+    part, place = F.floor(slot / _BITMAP_BITS).cast("long"), slot % _BITMAP_BITS
+    maps = marks.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    maps = materialize(maps, label="toxic-bitmaps")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("getbit", byte, (place % 8).cast("int")) == 1
+    return docs.join(F.broadcast(maps), part == F.col("part")).filter(bit).select(*docs.columns)
+
+
 def fit(docs: DataFrame, marks: DataFrame, *, max_fit_rows: int = 20_000, **model) -> Models:
     """Models and curve from ``docs`` (doc_id, text) and ``marks`` (doc_id, toxic 0/1, null: no mark).
 
@@ -265,15 +285,17 @@ def fit(docs: DataFrame, marks: DataFrame, *, max_fit_rows: int = 20_000, **mode
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(5))
     marks = marks.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     docs = docs.select("doc_id", "text")
-    models = count_models(docs.filter(fold != 0).join(marks.filter(fold != 0), "doc_id"), **model)
+    counted = materialize(marks.filter(fold != 0), label="toxic-marks")
+    models = count_models(_marked_rows(docs.filter(fold != 0), counted).join(counted, "doc_id"), **model)
     held = marks.filter(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_fit_rows)
     # At most max_fit_rows rows of two numbers: small by construction.
     sample = docs.join(F.broadcast(held), "doc_id").select(F.lower("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
     with arrow_batches(docs.sparkSession, 500):
-        rows = sample.mapInArrow(_features_of(models), "a double, b double, c double, toxic int").limit(2 * max_fit_rows).toPandas()
+        rows = sample.mapInArrow(_features_of(models), "x array<double>, toxic int").limit(2 * max_fit_rows).toPandas()
     y = rows.toxic.to_numpy(float)
     models.prior = float(y.mean()) if len(y) else 0.0
-    models.weights = _fit_curve(rows[["a", "b", "c"]].to_numpy(float), y) if 0 < y.sum() < len(y) else [0.0, 12.0, 0.0, -12.0]
+    # With one class only there is nothing to fit: the most toxic expression decides.
+    models.weights = _fit_curve(np.stack(rows.x), y) if 0 < y.sum() < len(y) else [0.0, 2.0, 0.0, 0.0, 0.0, -6.0]
     return models
 
 
