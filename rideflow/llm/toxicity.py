@@ -248,9 +248,16 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> list[float]:
     z = np.c_[(x - mean) / scale, np.ones(len(x))]
     ridge = np.diag([0.1] * x.shape[1] + [1e-3])
     b = np.zeros(z.shape[1])
+
+    def loss(b: np.ndarray) -> float:
+        return float(np.logaddexp(0.0, z @ b).sum() - y @ (z @ b) + b @ ridge @ b / 2)
+
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(z @ b, -30, 30)))
         step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (y - p) - ridge @ b)
+        # Classes that separate well make full steps overshoot.
+        while loss(b + step) > loss(b) and np.abs(step).max() > 1e-8:
+            step = step / 2
         b += step
         if np.abs(step).max() < 1e-8:
             break
