@@ -8,9 +8,10 @@ expressions add to that, in all and per word, and its most toxic expression; for
 few insults.  A logistic curve, fitted on labelled rows that the models were not counted on, turns the
 evidence into a score.
 
-The counts are gathered by Spark over every training text.  A task that scores texts reads the n-grams
-that occur often enough; ``max_entries`` bounds how many there are, since at most that many n-grams
-can each make up one in ``max_entries`` words.
+The counts are gathered by Spark over every training text and kept whole, as tables.  A task that
+scores texts holds the most frequent entries of each table (at most ``head``) and a bitmap of the others.
+What neither settles, a word or pair that may be among the others, is joined to the whole tables by
+shuffle, as distinct pairs per text, so that the size of the head changes no score.
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ _SLICE = 2 << 20
 _BEGIN = np.uint32(0)
 _GRAMS = pa.schema([("w", pa.int64()), ("h", pa.int32()), ("n", pa.int64())])
 _COUNTS = pa.schema(
-    [("kind", pa.int8()), ("w", pa.int64()), ("h", pa.int32())]
+    [("kind", pa.int8()), ("key", pa.int64()), ("h", pa.int32())]
     + [(c, pa.int64()) for c in ("toxic", "ordinary", "toxic_types", "ordinary_types", "types")]
 )
-_COUNTS_DDL = "kind byte, w long, h int, toxic long, ordinary long, toxic_types long, ordinary_types long, types long"
+_COUNTS_DDL = "kind byte, key long, h int, toxic long, ordinary long, toxic_types long, ordinary_types long, types long"
 _WORD, _PAIR = 1, 2
 #: Mean ratio, largest ratio, log of the strong ratios' sum, that sum per word, log of the length.
 N_FEATURES = 5
@@ -80,43 +81,53 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _count_slice(words, np.asarray(part.column("toxic").fill_null(0)) == 1)
 
 
-def _sum_partition(min_count: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        grams = pa.Table.from_batches(parts)
-        w, h, n = (grams.column(c).to_numpy() for c in ("w", "h", "n"))
-        order = np.lexsort((h, w))
-        w, h, n = w[order], h[order], n[order]
-        first = np.flatnonzero(np.r_[True, (np.diff(w) != 0) | (np.diff(h) != 0)])
-        # Two counts in one long add up apart while each stays below 2**32, as within a partition.
-        n = np.add.reduceat(n, first)
-        w, h, toxic, ordinary = w[first], h[first], n >> 32, n & 0xFFFFFFFF
-        often = toxic + ordinary >= min_count
-        none = np.zeros(int(often.sum()), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(none), _PAIR, np.int8)), w[often], h[often], toxic[often], ordinary[often], none, none, none],
-            schema=_COUNTS,
-        )
-        first = np.flatnonzero(np.r_[True, np.diff(w) != 0])
-        sums = [np.add.reduceat(x, first) for x in (toxic, ordinary, (toxic > 0).astype(np.int64), (ordinary > 0).astype(np.int64))]
-        types = np.diff(np.r_[first, len(w)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(first), _WORD, np.int8)), w[first], np.zeros(len(first), np.int32), *sums, types],
-            schema=_COUNTS,
-        )
+def _sum_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a partition: a row per pair and one per word (key is its hash)."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    grams = pa.Table.from_batches(parts)
+    w, h, n = (grams.column(c).to_numpy() for c in ("w", "h", "n"))
+    order = np.lexsort((h, w))
+    w, h, n = w[order], h[order], n[order]
+    first = np.flatnonzero(np.r_[True, (np.diff(w) != 0) | (np.diff(h) != 0)])
+    # Two counts in one long add up apart while each stays below 2**32, as within a partition.
+    n = np.add.reduceat(n, first)
+    w, h, toxic, ordinary = w[first], h[first], n >> 32, n & 0xFFFFFFFF
+    none = np.zeros(len(w), np.int64)
+    key = _pair_key(w.view(np.uint64), h.view(np.uint32)).view(np.int64)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(w), _PAIR, np.int8)), key, h, toxic, ordinary, none, none, none], schema=_COUNTS
+    )
+    first = np.flatnonzero(np.r_[True, np.diff(w) != 0])
+    sums = [np.add.reduceat(x, first) for x in (toxic, ordinary, (toxic > 0).astype(np.int64), (ordinary > 0).astype(np.int64))]
+    types = np.diff(np.r_[first, len(w)])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(first), _WORD, np.int8)), w[first], np.zeros(len(first), np.int32), *sums, types],
+        schema=_COUNTS,
+    )
+
 
-    return run
+@dataclass
+class Counts:
+    """A table (key, values), its most frequent rows, and a bitmap of the keys of the others."""
+
+    path: str
+    head_path: str
+    bits_path: str | None
+    n_bits: int
 
 
 @dataclass
 class Models:
     """Where the counts lie, their totals, and the fitted curve."""
 
-    words_path: str
-    pairs_path: str
+    words: Counts
+    contexts: Counts
+    pairs: Counts
     totals: dict[str, float]
+    #: What a word that no text holds gets from the shared distribution, by class.
+    unseen: dict[str, float]
     discount: float
     strong: float
     prior: float
@@ -126,120 +137,258 @@ class Models:
     def trained(self) -> bool:
         return self.totals["toxic"] > 0 and self.totals["ordinary"] > 0
 
+    @property
+    def in_head(self) -> bool:
+        """Whether tasks hold all counts."""
+        return all(c.bits_path is None for c in (self.words, self.contexts, self.pairs))
 
-def count_models(
-    labelled: DataFrame, *, min_count: int = 5, max_entries: int = 8_000_000, discount: float = 0.75, strong: float = 2.0
-) -> Models:
+
+#: Bits of one bitmap, and the most bitmaps there are (64 MB in all).
+_BITMAP_BITS, _MOST_BITMAPS = 32768, 1 << 14
+#: Counts from here on are alike when the head is chosen.
+_OFTEN = 100_000
+
+
+def _keep_counts(whole: DataFrame, path: str, head: int) -> Counts:
+    """Write what tasks hold of ``whole`` (key, n, ...), which lies at ``path``."""
+    spark = whole.sparkSession
+    head_path, bits_path = (scratch_path(spark, f"toxic-{x}") for x in ("head", "bits"))
+    sizes = whole.groupBy(F.least("n", F.lit(_OFTEN)).alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("n"))
+    least, held, n_rest = _OFTEN + 1, 0, 0
+    for row in sizes.limit(_OFTEN).collect():
+        if not n_rest and held + row.rows <= head:
+            least, held = row.n, held + row.rows
+        else:
+            n_rest += row.rows
+    if not n_rest:
+        return Counts(path, path, None, 0)
+    # Of counts above _OFTEN the head holds all or, if they are too many, none.
+    often = F.least("n", F.lit(_OFTEN)) >= least
+    save_table(whole.filter(often).drop("n"), head_path)
+    n_bits = min(-(-16 * n_rest // _BITMAP_BITS), _MOST_BITMAPS) * _BITMAP_BITS
+    slot = F.pmod("key", F.lit(n_bits))
+    maps = whole.filter(~often).groupBy(F.floor(slot / _BITMAP_BITS).cast("long").alias("part"))
+    save_table(maps.agg(F.bitmap_construct_agg(slot % _BITMAP_BITS).alias("bits")), bits_path)
+    return Counts(path, head_path, bits_path, n_bits)
+
+
+def count_models(labelled: DataFrame, *, head: int = 4_000_000, discount: float = 0.75, strong: float = 2.0) -> Models:
     """Count both models over ``labelled`` (text, toxic 0/1).
 
-    Words and pairs that occur fewer than ``min_count`` times in all, or less than once in
-    ``max_entries`` words, are left to the shared counts.  A ratio above ``strong`` (e-fold) is strong.
+    Every word and pair is counted and kept; ``head`` is the most entries of a table that a task holds.
+    A ratio above ``strong`` (e-fold) is strong.
     """
     spark = labelled.sparkSession
-    grams_at, words_at, pairs_at = (scratch_path(spark, f"toxic-{x}") for x in ("grams", "words", "pairs"))
+    grams_at, words_at = (scratch_path(spark, f"toxic-{x}") for x in ("grams", "word-sums"))
     texts = labelled.select(F.lower("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
     with arrow_batches(spark, 500):
         grams = texts.mapInArrow(_count_grams, "w long, h int, n long").repartition("w", "h")
-        save_table(grams.mapInArrow(_sum_partition(min_count), _COUNTS_DDL), grams_at)
+        save_table(grams.mapInArrow(_sum_partition, _COUNTS_DDL), grams_at, partition_by=["kind"])
     counts = spark.read.schema(_COUNTS_DDL).parquet(grams_at)
     sums = ["toxic", "ordinary", "toxic_types", "ordinary_types", "types"]
-    words = counts.filter(F.col("kind") == _WORD)
-    totals = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums]).first().asDict()
-    tokens = totals["toxic"] + totals["ordinary"]
-    cutoff = max(min_count, -(-tokens // max_entries))
-    often = F.col("toxic") + F.col("ordinary") >= cutoff
-    save_table(words.groupBy("w").agg(*[F.sum(c).alias(c) for c in sums]).filter(often), words_at)
-    save_table(counts.filter(F.col("kind") == _PAIR).filter(often).select("w", "h", "toxic", "ordinary"), pairs_at)
-    return Models(words_at, pairs_at, totals, discount, strong, 0.0)
+    save_table(counts.filter(F.col("kind") == _WORD).groupBy("key").agg(*[F.sum(c).alias(c) for c in sums]), words_at)
+    words = spark.read.schema("key long, " + ", ".join(f"{c} long" for c in sums)).parquet(words_at)
+
+    def rest_of(c: str):
+        return F.greatest(F.col(c) - F.lit(discount), F.lit(0.0))
+
+    classes = ("toxic", "ordinary")
+    own = [F.coalesce(F.sum(rest_of(f"{c}_types")), F.lit(0.0)).alias(f"{c}_kept") for c in classes]
+    totals = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums], *own).first().asDict()
+    # The shared distribution: continuation counts of both classes, one part in a million words unseen.
+    left = {c: max(1.0 - totals[f"{c}_kept"] / max(totals[f"{c}_types"], 1), 1e-9) for c in classes}
+    low = [
+        (rest_of(f"{c}_types") / max(totals[f"{c}_types"], 1) + left[c] * F.col("types") / max(totals["types"], 1)).alias(f"low_{c}")
+        for c in classes
+    ]
+    both = F.col("toxic") + F.col("ordinary")
+    short = F.lit(0xFFFFFFFF)
+    pairs = counts.filter(F.col("kind") == _PAIR)
+    # Mass that the pairs leave to words alone, by context; a text's first word has no context.
+    held = pairs.groupBy(F.col("h").cast("long").bitwiseAND(short).alias("of")).agg(*[F.sum(rest_of(c)).alias(f"held_{c}") for c in classes])
+    seen = words.groupBy(F.col("key").bitwiseAND(short).alias("key")).agg(*[F.sum(c).alias(c) for c in classes])
+    contexts = seen.filter(F.col("key") != int(_BEGIN)).join(held, F.col("key") == F.col("of"), "left")
+
+    def size_of(c: str):
+        return F.greatest(F.col(c), F.lit(1)).cast("double")
+
+    def free(c: str):
+        return F.greatest(F.least(1.0 - F.coalesce(f"held_{c}", F.lit(0.0)) / size_of(c), F.lit(1.0)), F.lit(1e-3))
+
+    def kept(rows: DataFrame, label: str) -> Counts:
+        path = scratch_path(spark, f"toxic-{label}")
+        save_table(rows, path)
+        return _keep_counts(spark.read.schema(rows.schema).parquet(path), path, head)
+
+    contexts = contexts.select(
+        "key", both.alias("n"), *[size_of(c).alias(f"size_{c}") for c in classes], *[free(c).alias(f"rest_{c}") for c in classes]
+    )
+    return Models(
+        kept(words.select("key", both.alias("n"), *low), "words"),
+        kept(contexts, "contexts"),
+        _keep_counts(pairs.select("key", both.alias("n"), *classes), f"{grams_at}/kind={_PAIR}", head),
+        totals,
+        {c: left[c] * 1e-6 for c in classes},
+        discount,
+        strong,
+        0.0,
+    )
 
 
-def _read(path: str) -> pa.Table:
+def _read(path: str, columns: list[str]) -> pa.Table:
     store, top = fs.FileSystem.from_uri(path)
-    return pq.read_table(top, filesystem=store)
+    return pq.read_table(top, filesystem=store, columns=columns)
+
+
+class _Held:
+    """What a task holds of a table: sorted keys, values (a last one for keys that are not held)."""
+
+    def __init__(self, counts: Counts, names: list[str], missing: list[float]):
+        def read(c: str) -> np.ndarray:
+            return _read(counts.head_path, [c]).column(c).to_numpy()
+
+        # One column at a time: less memory.
+        keys = read("key")
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        del keys
+        self.values = [np.r_[read(c)[order], m] for c, m in zip(names, missing)]
+        self.n_bits, self.bits = counts.n_bits, None
+        if counts.bits_path is not None:
+            self.bits = np.zeros(counts.n_bits // 8, np.uint8)
+            maps = _read(counts.bits_path, ["part", "bits"])
+            for part, bits in zip(maps.column("part").to_pylist(), maps.column("bits").to_pylist()):
+                at = part * (_BITMAP_BITS // 8)
+                self.bits[at : at + len(bits)] = np.frombuffer(bits, np.uint8)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each key, or one past the last, and whether the table may hold it elsewhere."""
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            at = np.where(self.keys[at] == keys, at, len(self.keys))
+        else:
+            at = np.zeros(len(keys), np.int64)
+        if self.bits is None:
+            return at, np.zeros(len(keys), bool)
+        slot = np.mod(keys, self.n_bits)
+        return at, (at == len(self.keys)) & ((self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+_OPEN = pa.struct([("key", pa.int64()), ("w", pa.int64()), ("h", pa.int64()), ("n", pa.int64())])
+_PART_DDL = "struct<total:double,top:double,strong:double,n:bigint,open:array<struct<key:bigint,w:bigint,h:bigint,n:bigint>>>"
 
 
 class Scorer:
-    """The models in a task: sorted arrays of hashes beside probabilities."""
+    """The head of the models in a task."""
 
     def __init__(self, models: Models):
         self.models = models
-        d, totals = models.discount, models.totals
-        words = _read(models.words_path)
-        w = words.column("w").to_numpy().view(np.uint64)
-        order = np.argsort(w)
-        self.words = w[order]
-        col = {c: words.column(c).to_numpy()[order].astype(float) for c in ("toxic", "ordinary", "toxic_types", "ordinary_types", "types")}
-        # The shared distribution: continuation counts of both classes, one part in a million words unseen.
-        shared = np.r_[col["types"] / max(totals["types"], 1), 1e-6]
-        self.low, self.seen, self.rest = {}, {}, {}
-        pairs = _read(models.pairs_path)
-        pw, ph = pairs.column("w").to_numpy().view(np.uint64), pairs.column("h").to_numpy().view(np.uint32)
-        key = _pair_key(pw, ph)
-        order = np.argsort(key)
-        self.pairs = key[order]
-        short = (self.words & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        by_short = np.argsort(short)
-        at = by_short[np.minimum(np.searchsorted(short, ph, sorter=by_short), max(len(short) - 1, 0))] if len(short) else np.zeros(len(ph), int)
-        known = short[at] == ph if len(short) else np.zeros(len(ph), bool)
-        self.pair_mass = {}
-        for c in ("toxic", "ordinary"):
-            kept = np.maximum(col[f"{c}_types"] - d, 0) / max(totals[f"{c}_types"], 1)
-            self.low[c] = np.r_[kept, 0.0] + max(1.0 - kept.sum(), 1e-9) * shared
-            # Mass that the kept pairs leave to words alone, by context; all of it where there is none.
-            n = np.maximum(pairs.column(c).to_numpy().astype(float) - d, 0)
-            held = np.bincount(at[known], weights=n[known], minlength=len(short)) if len(short) else np.zeros(0)
-            context = np.maximum(col[c], 1.0)
-            self.rest[c] = np.r_[np.clip(1.0 - held / context, 1e-3, 1.0), 1.0]
-            mass = np.where(known, n / context[at], 0.0) if len(short) else n
-            self.pair_mass[c] = np.r_[mass[order], 0.0]
-
-    @staticmethod
-    def _find(keys: np.ndarray, sought: np.ndarray) -> np.ndarray:
-        """The index of each sought key, or one past the last."""
-        if not len(keys):
-            return np.zeros(len(sought), np.int64)
-        at = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
-        return np.where(keys[at] == sought, at, len(keys))
+        u = models.unseen
+        self.words = _Held(models.words, ["low_toxic", "low_ordinary"], [u["toxic"], u["ordinary"]])
+        self.contexts = _Held(models.contexts, ["size_toxic", "size_ordinary", "rest_toxic", "rest_ordinary"], [np.inf, np.inf, 1.0, 1.0])
+        self.pairs = _Held(models.pairs, ["toxic", "ordinary"], [0.0, 0.0])
+        for n in self.pairs.values:
+            np.maximum(n - models.discount, 0.0, out=n)
+        self.low = dict(zip(("toxic", "ordinary"), self.words.values))
+
+    def _keys(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h = _contexts(words)
+        return words.hashes.view(np.int64), h.astype(np.int64), _pair_key(words.hashes, h).view(np.int64)
 
     def ratios(self, words: Words) -> np.ndarray:
-        """log P(word | before, toxic) - log P(word | before, ordinary) of every word."""
-        at = self._find(self.words, words.hashes)
-        before = np.empty_like(at)
-        before[1:] = at[:-1]
-        before[words.first_word[:-1][np.diff(words.first_word) > 0]] = len(self.words)
-        pair = self._find(self.pairs, _pair_key(words.hashes, _contexts(words)))
-        logs = [np.log(self.pair_mass[c][pair] + self.rest[c][before] * self.low[c][at]) for c in ("toxic", "ordinary")]
-        return logs[0] - logs[1]
-
-    def features(self, words: Words) -> np.ndarray:
-        """Per text, N_FEATURES numbers (zeros without words)."""
+        """log P(word | before, toxic) - log P(word | before, ordinary) of every word, by the head."""
+        return self._ratios(*self._keys(words))[0]
+
+    def _ratios(self, w: np.ndarray, h: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ratios, and which of them the head does not settle."""
+        (word, open_w), (before, open_h), (pair, open_p) = self.words.find(w), self.contexts.find(h), self.pairs.find(key)
+        logs = [
+            np.log(self.pairs.values[c][pair] / self.contexts.values[c][before] + self.contexts.values[2 + c][before] * self.words.values[c][word])
+            for c in (0, 1)
+        ]
+        return logs[0] - logs[1], open_w | open_h | open_p
+
+    def parts(self, words: Words) -> pa.StructArray:
+        """Per text: sum and largest of the settled ratios, sum of the strong ones, number of words, and
+        the distinct pairs that are open."""
+        total, top, strong = np.zeros(words.n_texts), np.full(words.n_texts, -np.inf), np.zeros(words.n_texts)
         n = np.diff(words.first_word)
-        out = np.zeros((words.n_texts, N_FEATURES))
         some = np.flatnonzero(n)
-        if not len(some):
-            return out
-        first, n, ratios = words.first_word[some], n[some], self.ratios(words)
-        strong = np.add.reduceat(np.where(ratios > self.models.strong, ratios, 0.0), first)
-        columns = np.add.reduceat(ratios, first) / n, np.maximum.reduceat(ratios, first), np.log1p(strong), strong / n, np.log1p(n)
-        out[some] = np.stack(columns, axis=1)
-        return out
-
-    def scores(self, words: Words) -> np.ndarray:
-        x = np.c_[self.features(words), np.ones(words.n_texts)]
-        score = 1.0 / (1.0 + np.exp(-np.clip(x @ np.array(self.models.weights), -500, 500)))
-        return np.where(np.diff(words.first_word) > 0, score, self.models.prior)
-
-
-def _features_of(models: Models):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, h, key = self._keys(words)
+        ratios, unsettled = self._ratios(w, h, key)
+        if len(some):
+            first = words.first_word[some]
+            settled = np.where(unsettled, 0.0, ratios)
+            total[some] = np.add.reduceat(settled, first)
+            top[some] = np.maximum.reduceat(np.where(unsettled, -np.inf, ratios), first)
+            strong[some] = np.add.reduceat(np.where(settled > self.models.strong, settled, 0.0), first)
+        at = np.flatnonzero(unsettled)
+        at = at[np.lexsort((key[at], words.row[at]))]
+        new = np.r_[True, (np.diff(key[at]) != 0) | (np.diff(words.row[at]) != 0)] if len(at) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        times, at = np.diff(np.r_[first, len(at)]), at[first]
+        items = pa.StructArray.from_arrays([pa.array(x) for x in (key[at], w[at], h[at], times)], fields=list(_OPEN))
+        cuts = np.searchsorted(words.row[at], np.arange(words.n_texts + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(cuts), items)
+        return pa.StructArray.from_arrays(
+            [pa.array(total), pa.array(top), pa.array(strong), pa.array(n.astype(np.int64)), lists],
+            names=["total", "top", "strong", "n", "open"],
+        )
+
+
+def _parts_of(models: Models):
+    @F.arrow_udf(_PART_DDL)
+    def parts(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table, scorer = PowerTable(), Scorer(models)
-        for batch in batches:
-            for part in text_slices(batch, "text", _SLICE):
-                x = scorer.features(split_words(part.column("text").fill_null(""), table))
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([lists, part.column("toxic")], names=["x", "toxic"])
+        for batch in texts:
+            one = pa.RecordBatch.from_arrays([batch.fill_null("")], names=["text"])
+            found = [scorer.parts(split_words(part.column("text"), table)) for part in text_slices(one, "text", _SLICE)]
+            yield pa.concat_arrays(found) if found else scorer.parts(split_words(batch.fill_null(""), table))
+
+    return parts
+
 
-    return run
+def _settled(rows: DataFrame, models: Models) -> DataFrame:
+    """``rows`` (_row, _part, ...), written already, with the open pairs added to what is settled."""
+    spark = rows.sparkSession
+    tables = {name: spark.read.parquet(getattr(models, name).path).drop("n") for name in ("words", "contexts")}
+    tables["pairs"] = spark.read.schema("key long, toxic long, ordinary long").parquet(models.pairs.path)
+    found = rows.select("_row", F.inline("_part.open"))
+    for name, key in (("pairs", "key"), ("words", "w"), ("contexts", "h")):
+        found = found.join(tables[name].withColumnRenamed("key", f"_{name}"), F.col(key) == F.col(f"_{name}"), "left")
+
+    def log_of(c: str):
+        kept = F.greatest(F.coalesce(c, F.lit(0)) - F.lit(models.discount), F.lit(0.0)) / F.coalesce(f"size_{c}", F.lit(float("inf")))
+        return F.log(kept + F.coalesce(f"rest_{c}", F.lit(1.0)) * F.coalesce(f"low_{c}", F.lit(models.unseen[c])))
+
+    found = found.select("_row", F.col("n").alias("times"), (log_of("toxic") - log_of("ordinary")).alias("ratio"))
+    strong = F.when(F.col("ratio") > models.strong, F.col("ratio")).otherwise(0.0)
+    more = found.groupBy(F.col("_row").alias("_of")).agg(
+        F.sum(F.col("times") * F.col("ratio")).alias("_total"), F.max("ratio").alias("_top"), F.sum(F.col("times") * strong).alias("_strong")
+    )
+    whole = F.struct(
+        (F.col("_part.total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
+        F.greatest("_part.top", "_top").alias("top"),
+        (F.col("_part.strong") + F.coalesce("_strong", F.lit(0.0))).alias("strong"),
+        F.col("_part.n").alias("n"),
+    )
+    return rows.join(more, F.col("_row") == F.col("_of"), "left").withColumn("_part", whole).drop("_of", "_total", "_top", "_strong")
+
+
+def _with_parts(docs: DataFrame, models: Models) -> DataFrame:
+    """``docs`` with _part, whole: written already, and joined to the counts if tasks hold not all."""
+    with arrow_batches(docs.sparkSession, 500):
+        rows = docs.withColumn("_part", _parts_of(models)(F.lower("text")))
+        if models.in_head:
+            return materialize(rows.withColumn("_part", F.col("_part").dropFields("open")), label="toxic-parts")
+        return _settled(materialize(rows.withColumn("_row", F.monotonically_increasing_id()), label="toxic-parts"), models).drop("_row")
+
+
+def _features() -> list:
+    """Of a row with _part, N_FEATURES numbers (zeros without words)."""
+    n = F.greatest("_part.n", F.lit(1))
+    own = [F.col("_part.total") / n, F.col("_part.top"), F.log1p("_part.strong"), F.col("_part.strong") / n, F.log1p("_part.n")]
+    return [F.when(F.col("_part.n") > 0, x).otherwise(0.0) for x in own]
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -265,10 +414,6 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> list[float]:
     return [*map(float, slope), float(b[-1] - slope @ mean)]
 
 
-#: Bits of one bitmap, and the most bitmaps there are (64 MB in all).
-_BITMAP_BITS, _MOST_BITMAPS = 32768, 1 << 14
-
-
 def _marked_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """The rows of ``docs`` that may have a mark, by a bitmap of the marks' ids; all that have one are
     among them, so that few texts are moved in vain.  The bitmaps are broadcast: there are 16 bits for
@@ -297,8 +442,7 @@ def fit(docs: DataFrame, marks: DataFrame, *, max_fit_rows: int = 20_000, **mode
     held = marks.filter(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_fit_rows)
     # At most max_fit_rows rows of two numbers: small by construction.
     sample = docs.join(F.broadcast(held), "doc_id").select(F.lower("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    with arrow_batches(docs.sparkSession, 500):
-        rows = sample.mapInArrow(_features_of(models), "x array<double>, toxic int").limit(2 * max_fit_rows).toPandas()
+    rows = _with_parts(sample, models).select(F.array(*_features()).alias("x"), "toxic").limit(2 * max_fit_rows).toPandas()
     y = rows.toxic.to_numpy(float)
     models.prior = float(y.mean()) if len(y) else 0.0
     # With one class only there is nothing to fit: the most toxic expression decides.
@@ -315,13 +459,9 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     if not models.trained:
         return docs.withColumn("score", F.lit(models.prior))
 
-    @F.arrow_udf("double")
-    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table, scorer = PowerTable(), Scorer(models)
-        for batch in texts:
-            one = pa.RecordBatch.from_arrays([batch.fill_null("")], names=["text"])
-            found = [scorer.scores(split_words(part.column("text"), table)) for part in text_slices(one, "text", _SLICE)]
-            yield pa.array(np.concatenate(found) if found else np.zeros(0))
-
-    with arrow_batches(docs.sparkSession, 500):
-        return materialize(docs.withColumn("score", scored(F.lower("text"))), label="toxic-scores")
+    z = F.lit(models.weights[-1])
+    for weight, x in zip(models.weights, _features()):
+        z = z + F.lit(weight) * x
+    z = F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))
+    found = F.when(F.col("_part.n") > 0, 1.0 / (1.0 + F.exp(-z))).otherwise(F.lit(models.prior))
+    return _with_parts(docs.drop("score"), models).withColumn("score", found).select(*[c for c in docs.columns if c != "score"], "score")

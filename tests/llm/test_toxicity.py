@@ -63,3 +63,26 @@ def test_probabilities_of_a_context_add_up(models):
         assert 0.5 < low <= 1 + 1e-9
     words = split_words(pa.array(["dolt oaf"]), PowerTable())
     assert np.all(scorer.ratios(words) > 1.0)
+
+
+def test_rare_expressions_keep_their_counts(spark):
+    rows = [(i, t + (" zyzzyva" if i in (6, 12, 18) else ""), y) for i, t, y in _texts(300, 3)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    got = tox.Scorer(tox.count_models(labelled))
+    # Three occurrences, all toxic: the class's own counts speak.
+    assert got.ratios(split_words(pa.array(["zyzzyva"]), PowerTable()))[0] > 1.0
+
+
+def test_what_tasks_hold_changes_no_score(spark):
+    rows = [(i, t, y) for i, t, y in _texts(600, 4)] + [(None, None, None), (7, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    found = []
+    for head in (0, 40, 1_000_000):
+        models = tox.fit(docs.filter("toxic IS NOT NULL").select("doc_id", "text"), docs.filter("toxic IS NOT NULL").select("doc_id", "toxic"), head=head)
+        assert models.in_head == (head == 1_000_000)
+        scored = tox.score(docs.select("doc_id", "text"), models).collect()
+        assert len(scored) == len(rows)
+        found.append(sorted((r.doc_id or -1, r.text or "", r.score) for r in scored))
+    for other in found[:2]:
+        assert [x[:2] for x in other] == [x[:2] for x in found[2]]
+        assert np.allclose([x[2] for x in other], [x[2] for x in found[2]], atol=1e-6)
