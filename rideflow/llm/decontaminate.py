@@ -9,7 +9,7 @@ Fingerprints are searched by a multi-index: 64 bits are cut into 4 blocks of 16;
 most ``radius`` bits apart agree in some block up to ``radius // 4`` bits, so looking up each block
 among all values that near finds every fingerprint within the radius.  Each candidate is verified by
 the weighted Jaccard similarity (occurrence counts as weights) of five-word shingles, of the item and
-of the place in the document where it would have to stand.
+of the best place around the window, of any extent that the similarity permits.
 
 Benchmark items come to the driver in blocks of bounded size and each block is broadcast; documents
 are read once per block and never moved.
@@ -90,13 +90,6 @@ def counted(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(shingles, return_counts=True)
 
 
-def weighted_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    both = np.minimum(x[1][i], y[1][j]).sum()
-    total = x[1].sum() + y[1].sum() - both
-    return float(both / total) if total else 0.0
-
-
 class _LengthIndex:
     """Fingerprints of the items of one window length, by each block's nearby values."""
 
@@ -145,12 +138,10 @@ class ItemIndex:
         words = split_words(pa.array([t for _, t in items], pa.large_string()), table)
         self.ids = [i for i, _ in items]
         self.shingles: list = []
-        self.n_words: list[int] = []
         by_length: dict[int, list[tuple[np.ndarray, int, np.ndarray]]] = {}
         for k in range(len(items)):
             own = words.hashes[words.first_word[k] : words.first_word[k + 1]]
             n = len(own)
-            self.n_words.append(n)
             self.shingles.append(counted(shingles_at(own)))
             if n < SHINGLE:
                 continue
@@ -160,6 +151,8 @@ class ItemIndex:
             offsets = np.arange(last + 1)
             offsets = offsets[(offsets < 2 * step) | (offsets > last - 2 * step)]
             by_length.setdefault(length, []).append((fingerprints(word_bits(own, length), length)[offsets], k, offsets))
+        #: The most shingles that a place as similar as ``least`` has.
+        self.reach = np.array([int(times.sum() / least + 1e-6) for _, times in self.shingles], np.int64)
         self.lengths = {
             length: _LengthIndex(
                 np.concatenate([f for f, _, _ in rows]),
@@ -183,11 +176,15 @@ class ItemIndex:
             inside = words.row[starts] == words.row[starts + length - 1]
             starts = starts[inside]
             w, f = index.within(fps[inside], self.radius)
-            places.append(np.c_[index.items[f], starts[w] - index.offsets[f], words.row[starts[w]]])
+            item, at, row = index.items[f], starts[w], words.row[starts[w]]
+            # A place that holds some of the window lies between these shingles.
+            low = np.maximum(at - self.reach[item], words.first_word[row])
+            high = np.minimum(at + length + self.reach[item], words.first_word[row + 1] - SHINGLE + 1)
+            places.append(np.c_[row, item, low, high])
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         shingles = shingles_at(words.hashes)
-        for item, start, row in np.unique(np.concatenate(places), axis=0).tolist():
-            found = self._verify(words, shingles, item, start, row)
+        for row, item, low, high in self._joined(np.concatenate(places)):
+            found = self._verify(shingles, item, low, high)
             if found[0] >= self.least - 1e-9 and found > best.get((row, item), (0.0, 0, 0)):
                 best[row, item] = found
         for (row, item), (similarity, start, n) in sorted(best.items()):
@@ -195,25 +192,49 @@ class ItemIndex:
             out[row].append({"item_id": self.ids[item], "similarity": similarity, "start_word": at, "n_words": n})
         return out
 
-    def _verify(self, words: Words, shingles: np.ndarray, item: int, start: int, row: int) -> tuple[float, int, int]:
-        """The best similarity at a place, trying a word more or less at either end if it is close."""
-        low, high = int(words.first_word[row]), int(words.first_word[row + 1])
-
-        def at(a: int, b: int) -> tuple[float, int, int]:
-            a, b = max(a, low), min(b, high)
-            own = shingles[a : max(b - SHINGLE + 1, a)]
-            return weighted_jaccard(self.shingles[item], counted(own)), a, b - a
-
-        # Most candidates share next to nothing with the item.
-        kinds, own = self.shingles[item][0], shingles[max(start, low) : max(min(start + self.n_words[item], high) - SHINGLE + 1, low)]
-        at_kind = np.minimum(np.searchsorted(kinds, own), len(kinds) - 1)
-        if (kinds[at_kind] == own).sum() * 4 < len(kinds):
-            return 0.0, start, 0
-        end = start + self.n_words[item]
-        found = at(start, end)
-        if found[0] < 1.0 and found[0] > self.least / 2:
-            found = max(found, *(at(start + i, end + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j))
-        return found
+    @staticmethod
+    def _joined(places: np.ndarray) -> list[list[int]]:
+        """(row, item, low, high) of ``places``, those of a row and item that overlap made one."""
+        if not len(places):
+            return []
+        places = places[np.lexsort(places.T[::-1])]
+        new = (np.diff(places[:, :2], axis=0) != 0).any(1) | (places[1:, 2] > places[:-1, 3])
+        first = np.flatnonzero(np.r_[True, new])
+        return np.c_[places[first, :3], np.maximum.reduceat(places[:, 3], first)].tolist()
+
+    def _verify(self, shingles: np.ndarray, item: int, low: int, high: int) -> tuple[float, int, int]:
+        """The best similarity of any run of the shingles from ``low`` to ``high``, its first word and
+        number of words.  (Zero if all are below ``least``.)
+
+        The best run begins and ends with a shingle of the item.  From each beginning the counts of
+        what is shared run on over the ends: an occurrence counts unless the run holds as many of its
+        kind before it as the item does.
+        """
+        kinds, times = self.shingles[item]
+        size = int(times.sum())
+        own = shingles[low:high]
+        kind = np.minimum(np.searchsorted(kinds, own), len(kinds) - 1)
+        at = np.flatnonzero(kinds[kind] == own)
+        # What is shared is at least this, and a run at most ``reach`` long.
+        need, reach = self.least * size - 1e-6, int(self.reach[item])
+        best = (0.0, low, 0)
+        if len(at) < need:
+            return best
+        order = np.argsort(kind[at], kind="stable")
+        k = kind[at][order]
+        rank = np.arange(len(k)) - np.searchsorted(k, k)
+        full = np.empty(len(at), np.int64)  # the occurrence that a run must not reach back to
+        full[order] = np.where(rank >= times[k], at[order][np.maximum(np.arange(len(k)) - times[k], 0)], -1)
+        ends = np.searchsorted(at, at + reach)
+        for i in np.flatnonzero(ends - np.arange(len(at)) >= need).tolist():
+            shared = np.cumsum(full[i : ends[i]] < at[i])
+            extent = at[i : ends[i]] - at[i] + 1
+            similarity = shared / (size + extent - shared)
+            j = int(similarity.argmax())
+            best = max(best, (float(similarity[j]), low + int(at[i]), int(extent[j]) + SHINGLE - 1))
+            if best[0] == 1.0:
+                break
+        return best
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
@@ -260,7 +281,7 @@ def mark_leaks(
     ``carry`` names the columns to keep (default: all).
 
     Texts are lower-cased; words are runs of letters and digits.  An item is found where the weighted
-    Jaccard similarity of its shingles and those of a place in the text is at least ``least``; each
+    Jaccard similarity of its shingles and those of a place in the text, of any extent, is at least ``least``; each
     item is reported once per document, at its best place.  Items of fewer than five words, empty and
     null ones have no shingle and are never found; repeated items are each found.  Null and empty
     texts have no leak.  An empty table of documents gives no rows, an empty benchmark no leaks.

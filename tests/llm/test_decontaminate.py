@@ -83,3 +83,47 @@ def test_fingerprints_are_majorities():
     for s in range(4):
         want = np.packbits(bits[s : s + 5].sum(0) > 2.5).view(np.uint64)[0]
         assert got[s] == want
+
+
+def _best_extent(item, have):
+    """The largest weighted Jaccard similarity of the item and any run of words, by brute force."""
+    own, n = brute.shingles(item), len(item)
+    runs = ((i, j) for i in range(len(have)) for j in range(i + 5, min(i + 2 * n, len(have)) + 1))
+    return max((brute.weighted_jaccard(own, brute.shingles(have[i:j])) for i, j in runs), default=0.0)
+
+
+def _found(item, have):
+    index = dc.ItemIndex([(1, " ".join(item))], 7, 0.8)
+    words = split_words(pa.array([" ".join(have)], pa.large_string()), PowerTable())
+    return index.leaks(words)[0]
+
+
+def _changed(rnd, item, kind):
+    n, copy = len(item), list(item)
+    if kind == "inserted":
+        at = rnd.randint(3, n - 3)
+        copy[at:at] = [f"new{k}" for k in range(4)]
+    elif kind == "deleted":
+        at = rnd.randint(3, n - 7)
+        del copy[at : at + 4]
+    elif kind == "first cut":
+        copy = copy[int(n * 0.15) :]
+    elif kind == "last cut":
+        copy = copy[: n - int(n * 0.15)]
+    return copy
+
+
+@pytest.mark.parametrize("kind", ["same", "inserted", "deleted", "first cut", "last cut"])
+def test_best_place_of_any_extent(kind):
+    rnd = random.Random(kind)
+    for trial in range(6):
+        item = [f"w{rnd.randrange(200)}" for _ in range(60)]
+        have = [f"x{k}" for k in range(rnd.randint(0, 30))] + _changed(rnd, item, kind) + [f"y{k}" for k in range(rnd.randint(0, 30))]
+        want = _best_extent(item, have)
+        index = dc.ItemIndex([(1, " ".join(item))], 7, 0.8)
+        shingles = dc.shingles_at(split_words(pa.array([" ".join(have)], pa.large_string()), PowerTable()).hashes)
+        got, start, n = index._verify(shingles, 0, 0, len(shingles))
+        assert want >= 0.8 and got == pytest.approx(want)
+        assert brute.weighted_jaccard(brute.shingles(item), brute.shingles(have[start : start + n])) == pytest.approx(want)
+        if kind in ("same", "inserted"):
+            assert _found(item, have)[0]["similarity"] == pytest.approx(want)
