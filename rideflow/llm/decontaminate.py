@@ -5,6 +5,10 @@ form a geometric series; an item belongs to the largest length that leaves room
 length, so that a copy of it holds a window that lies on the grid and equals one of the item's own
 windows word for word.  Each window has a 64-bit SimHash of its words.
 
+A changed copy need not hold such a window, but some run of words that it shares with the item is long
+(``clean_run``).  So the windows of all offsets in the item, of a length that fits such a run on the grid,
+are kept too and searched for equal fingerprints; this finds long items however the changes lie.
+
 Fingerprints are searched by a multi-index: 64 bits are cut into 4 blocks of 16; two fingerprints at
 most ``radius`` bits apart agree in some block up to ``radius // 4`` bits, so looking up each block
 among all values that near finds every fingerprint within the radius.  Each candidate is verified by
@@ -52,6 +56,21 @@ def window_length(n_words: int) -> int:
         length = longer
 
 
+def clean_run(n_words: int, least: float) -> int:
+    """Words of the longest run that any place at least ``least`` similar shares with an item of n words.
+
+    Where two runs meet in the place, at least 4 shingles of the item are lost and 4 are foreign (unless
+    the item repeats four words in a row).  With x lost and y foreign of m shingles, (m - x) / (m + y)
+    >= least bounds the number of such meetings, and the shingles left over are shared by that many runs
+    and one.
+    """
+    m = max(n_words - SHINGLE + 1, 0)
+    cost = SHINGLE - 1
+    most = int((1 - least) * m / (cost * (1 + least)) + 1e-9)
+    runs = (-(-(least * m + least * cost * k - 1e-9) // (k + 1)) for k in range(most + 1))
+    return min(n_words, int(min(runs)) + SHINGLE - 1)
+
+
 def word_bits(hashes: np.ndarray, longest: int) -> np.ndarray:
     """Running counts of set bits, a row per word and one before: (words + 1, 64).
 
@@ -129,6 +148,29 @@ class _LengthIndex:
         return np.concatenate(found_w or [np.zeros(0, int)]), np.concatenate(found_f or [np.zeros(0, int)])
 
 
+class _EqualIndex:
+    """Fingerprints of the items of one window length at all offsets, for equal ones."""
+
+    def __init__(self, fps: np.ndarray, items: np.ndarray):
+        order = np.lexsort((items, fps))
+        fps, items = fps[order], items[order]
+        new = np.r_[True, (np.diff(fps) != 0) | (np.diff(items) != 0)]
+        self.fps, self.items = fps[new], items[new]
+        self.marks = np.zeros(1 << 22, bool)
+        self.marks[self._mark(self.fps)] = True
+
+    @staticmethod
+    def _mark(fps: np.ndarray) -> np.ndarray:
+        return (mix64(fps) >> np.uint64(42)).astype(np.int64)
+
+    def equal(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All (window, item) pairs of equal fingerprints."""
+        some = np.flatnonzero(self.marks[self._mark(fps)])
+        first = np.searchsorted(self.fps, fps[some])
+        n = np.searchsorted(self.fps, fps[some], side="right") - first
+        return np.repeat(some, n), self.items[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
+
+
 class ItemIndex:
     """A block of benchmark items, ready to be searched for in documents."""
 
@@ -139,6 +181,7 @@ class ItemIndex:
         self.ids = [i for i, _ in items]
         self.shingles: list = []
         by_length: dict[int, list[tuple[np.ndarray, int, np.ndarray]]] = {}
+        clean: dict[int, list[tuple[np.ndarray, int]]] = {}
         for k in range(len(items)):
             own = words.hashes[words.first_word[k] : words.first_word[k + 1]]
             n = len(own)
@@ -151,6 +194,8 @@ class ItemIndex:
             offsets = np.arange(last + 1)
             offsets = offsets[(offsets < 2 * step) | (offsets > last - 2 * step)]
             by_length.setdefault(length, []).append((fingerprints(word_bits(own, length), length)[offsets], k, offsets))
+            part = window_length(clean_run(n, least))
+            clean.setdefault(part, []).append((fingerprints(word_bits(own, part), part), k))
         #: The most shingles that a place as similar as ``least`` has.
         self.reach = np.array([int(times.sum() / least + 1e-6) for _, times in self.shingles], np.int64)
         self.lengths = {
@@ -162,6 +207,10 @@ class ItemIndex:
             )
             for length, rows in by_length.items()
         }
+        self.clean = {
+            length: _EqualIndex(np.concatenate([f for f, _ in rows]), np.concatenate([np.full(len(f), k) for f, k in rows]))
+            for length, rows in clean.items()
+        }
 
     def leaks(self, words: Words) -> list[list[dict]]:
         """The leaks in each text: item, similarity and place, each item at its best place only."""
@@ -170,13 +219,19 @@ class ItemIndex:
             return out
         sums = word_bits(words.hashes, max(self.lengths))
         places = []
-        for length, index in self.lengths.items():
+        for length in self.lengths.keys() | self.clean.keys():
             fps = fingerprints(sums, length, stride_of(length))
             starts = np.arange(len(fps)) * stride_of(length)
             inside = words.row[starts] == words.row[starts + length - 1]
-            starts = starts[inside]
-            w, f = index.within(fps[inside], self.radius)
-            item, at, row = index.items[f], starts[w], words.row[starts[w]]
+            starts, fps = starts[inside], fps[inside]
+            w, item = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if length in self.lengths:
+                w, f = self.lengths[length].within(fps, self.radius)
+                item = self.lengths[length].items[f]
+            if length in self.clean:
+                found = self.clean[length].equal(fps)
+                w, item = np.r_[w, found[0]], np.r_[item, found[1]]
+            at, row = starts[w], words.row[starts[w]]
             # A place that holds some of the window lies between these shingles.
             low = np.maximum(at - self.reach[item], words.first_word[row])
             high = np.minimum(at + length + self.reach[item], words.first_word[row + 1] - SHINGLE + 1)

@@ -127,3 +127,22 @@ def test_best_place_of_any_extent(kind):
         assert brute.weighted_jaccard(brute.shingles(item), brute.shingles(have[start : start + n])) == pytest.approx(want)
         if kind in ("same", "inserted"):
             assert _found(item, have)[0]["similarity"] == pytest.approx(want)
+
+
+def test_changed_copies_of_long_items_are_found():
+    rnd = random.Random(9)
+    for n in (12, 36, 41, 80, 100, 200, 400, 900):
+        item = [f"w{k}" for k in range(n)]
+        copies = [_changed(rnd, item, kind) for kind in ("inserted", "deleted", "first cut", "last cut") if n > 30]
+        for run in (1, 2, n // 10, n // 12):  # one replaced run
+            at = rnd.randint(0, n - run)
+            copies.append(item[:at] + [f"r{k}" for k in range(run)] + item[at + run :])
+        for every in (25, 37, 45, 50, 70):  # spread changes, replaced and deleted
+            copies.append([w if k % every != every // 2 else "other" for k, w in enumerate(item)])
+            copies.append([w for k, w in enumerate(item) if k % every != every // 2])
+        for cut in (n // 3, n // 2):
+            copies.append(item[cut:] + item[:cut])
+        for copy in copies:
+            have = [f"x{k}" for k in range(rnd.randint(0, 30))] + copy + [f"y{k}" for k in range(rnd.randint(0, 30))]
+            if brute.weighted_jaccard(brute.shingles(item), brute.shingles(copy)) >= 0.8:
+                assert _found(item, have), (n, copy)
