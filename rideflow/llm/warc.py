@@ -34,7 +34,7 @@ _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-di
 _ID = "urn:x-page:"
 
 _BLOCK = 1 << 20
-_HEADER_LIMIT = 1 << 16
+_STEP = 1 << 16
 
 MANIFEST = "file string, n_records long, n_bytes long"
 RECORD = (
@@ -148,20 +148,23 @@ def _headers(text: bytes) -> dict[str, str]:
 
 
 def _starts_record(f: BinaryIO, at: int) -> bool:
-    """Whether the bytes at ``at`` are a gzip member that begins with WARC headers."""
+    """Whether the bytes at ``at`` are a gzip member that begins with WARC headers, of any length."""
     f.seek(at)
-    unpack, text = zlib.decompressobj(_GZIP), b""
+    unpack, text, seen = zlib.decompressobj(_GZIP), bytearray(), 0
     try:
-        while len(text) < _HEADER_LIMIT and _BLANK not in text and not unpack.eof:
-            block = f.read(4096)
+        while not unpack.eof:
+            block = unpack.unconsumed_tail or f.read(4096)
             if not block:
                 break
-            text += unpack.decompress(block, _HEADER_LIMIT)
+            text += unpack.decompress(block, _STEP)
             if not text.startswith(b"WARC/"[: len(text)]):
                 return False
+            if text.find(_BLANK, seen) >= 0:
+                break
+            seen = max(len(text) - len(_BLANK) + 1, 0)
     except zlib.error:
         return False
-    head, blank, _ = text.partition(_BLANK)
+    head, blank, _ = bytes(text).partition(_BLANK)
     return bool(blank) and head.startswith(b"WARC/") and {"warc-type", "content-length"} <= _headers(head).keys()
 
 

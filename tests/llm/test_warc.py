@@ -75,3 +75,15 @@ def test_listing_and_empty_tables(spark):
     assert warc.read_warc(warc.list_warc(spark, folder)).count() == 1
     empty = warc.write_warc(pages.limit(0), scratch_path(spark, "warc-empty"))
     assert empty.count() == 0 and warc.read_warc(empty.select("file", "n_bytes")).count() == 0
+
+
+def test_headers_of_any_length_are_read():
+    rnd = random.Random(3)
+    urls = ["http://x/" + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(200_000)), "http://x/" + "a" * 3_000_000, "http://y/"]
+    digest = hashlib.sha1(b"hello").hexdigest()
+    blob = b"".join(warc.encode_record(i, url, b"hello", digest, None, False, "1970-01-01T00:00:00Z", 4) for i, url in enumerate(urls))
+    for step in (50_000, len(blob)):
+        found = []
+        for start in range(0, len(blob), step):
+            found += [r for _, r in warc.records_in_range(io.BytesIO(blob), start, min(start + step, len(blob)))]
+        assert [r["target_uri"] for r in found] == urls
