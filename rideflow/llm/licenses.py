@@ -6,17 +6,19 @@ forms of them, on look-alikes and on a bounded sample of corpus lines, and the s
 probabilities is set on training rows it was not fitted on.  A family stands if its probability is
 high enough; it is confirmed if a template of the family is found in the paragraph.
 
-Only paragraphs with a stem such as "licen" have features; every template has one.  A paragraph
-without a stem is predicted as the empty paragraph is, "unknown" (checked after training), so that
-only paragraphs with a stem need be scored.  All of it is DataFrame functions and Spark ML.
+Features are the word n-grams of the templates and look-alikes, but those of function words alone.  A
+paragraph without any that has a coefficient is predicted as the empty paragraph is, "unknown" (checked
+after training), so that only paragraphs with a word of such an n-gram need be scored.  All of it is
+DataFrame functions and Spark ML.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,23 +40,33 @@ TEMPLATES = {
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+        "SPDX: Apache-2.0.",
     ),
     "bsd": (
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     ),
-    "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "cc-by": (
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Creative Commons Attribution 4.0 International.",
+    ),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Creative Commons Attribution-NonCommercial 4.0 International.",
+        "CC BY-NC 4.0.",
     ),
     "cc-by-sa": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Creative Commons Attribution-ShareAlike 4.0 International.",
+        "CC BY-SA 4.0.",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+        "Distributed under the terms of the GNU GPL v3.",
     ),
     "lgpl": (
         "This work is licensed under the GNU Lesser General Public License, version 3.",
@@ -88,7 +100,7 @@ LOOKALIKES = (
     "The domain of the function is open to the public.",
 )
 
-#: A paragraph that may be a licence holds one of these.
+#: Corpus lines with one of these are not taken as examples of "unknown".
 STEMS = ("licen", "copyright", "rights", "permission", "redistribut", "domain")
 
 _N = 3
@@ -116,9 +128,8 @@ def _runs(words: Column, n: int) -> Column:
 
 
 def ngrams(words: Column) -> Column:
-    """Runs of 1 to 3 words of a paragraph with a stem, else none."""
-    runs = F.array_distinct(F.concat(*[_runs(words, n) for n in range(1, _N + 1)]))
-    return F.when(has_stem(F.concat_ws(" ", words)), runs).otherwise(F.array().cast("array<string>"))
+    """Runs of 1 to 3 words."""
+    return F.array_distinct(F.concat(*[_runs(words, n) for n in range(1, _N + 1)]))
 
 
 def shingles(words: Column) -> Column:
@@ -131,9 +142,15 @@ def _templates(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*rows)).alias("t")).select("t.*")
 
 
+def _threes(text: str) -> list[str]:
+    words = re.findall("[a-z0-9]+", text.lower())
+    return [" ".join(words[i : i + _N]) for i in range(len(words) - _N + 1)]
+
+
 def training_rows(spark: SparkSession, corpus_lines: DataFrame, max_corpus_rows: int) -> DataFrame:
     """(family, words): templates whole, with each word left out, and cut to four fifths or more;
-    look-alikes; and at most ``max_corpus_rows`` corpus lines without a stem, by a hash of the line."""
+    look-alikes; and of at most ``max_corpus_rows`` corpus lines without a stem, by a hash of the line, those
+    without three words of a template in a row."""
     base = _templates(spark).select("family", words_of(F.col("text")).alias("words"))
     n = F.size("words")
     whole = base.select("family", F.explode(F.array_repeat("words", 12)).alias("words"))
@@ -143,7 +160,7 @@ def training_rows(spark: SparkSession, corpus_lines: DataFrame, max_corpus_rows:
     )
     cuts = base.select(
         "family", F.explode(F.transform(F.sequence(F.ceil(n * 0.8).cast("int"), n), lambda k: F.slice("words", 1, k))).alias("words")
-    ).filter(has_stem(F.concat_ws(" ", "words")))
+    )
     odd = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in LOOKALIKES])).alias("line"))
     odd = odd.select(F.lit(UNKNOWN).alias("family"), F.explode(F.array_repeat(words_of(F.col("line")), 8)).alias("words"))
     plain = (
@@ -152,6 +169,10 @@ def training_rows(spark: SparkSession, corpus_lines: DataFrame, max_corpus_rows:
         .limit(max_corpus_rows)
         .select(F.lit(UNKNOWN).alias("family"), words_of(F.col("line")).alias("words"))
     )
+    # Written first, so that runs are cut from words that stand, not split from the line for each run.
+    own = sorted({run for ts in TEMPLATES.values() for t in ts for run in _threes(t)})
+    shared = F.arrays_overlap(_runs(F.col("words"), _N), F.array(*[F.lit(x) for x in own]))
+    plain = materialize(plain, label="license-plain").filter(~shared)
     return whole.unionByName(holes).unionByName(cuts).unionByName(odd).unionByName(plain)
 
 
@@ -163,6 +184,18 @@ class Classifier:
     softness: float
     least: float
 
+    def may_have_features(self, words: Column) -> Column:
+        """False only where no n-gram of ``words`` has a coefficient other than zero."""
+        weights = self.model.coefficientMatrix.toArray()
+        terms = [t.split(" ") for t, w in zip(self.vectors.vocabulary, weights.T) if w.any()]
+        common = _function_words()
+        # All words of an n-gram stand in a paragraph that holds it, so one of them is enough to look for.
+        keys: set[str] = set()
+        for term in sorted(terms, key=lambda t: (len(t), t)):
+            if not keys & set(term):
+                keys.add(max(term, key=lambda w: (w not in common, len(w), w)))
+        return F.exists(words, lambda w: w.isin(sorted(keys))) if keys else F.lit(False)
+
     def classify(self, rows: DataFrame) -> DataFrame:
         """``rows`` (words, ...) with family and probability; below ``least`` the family is unknown."""
         raw = self.logits(rows)
@@ -185,6 +218,12 @@ def _mass(softness: float) -> Column:
     return F.aggregate(odds, F.lit(0.0), lambda s, x: s + x)
 
 
+def _function_words() -> set[str]:
+    """English stop words, as words_of splits them, and single letters and digits."""
+    stops = {part for w in StopWordsRemover.loadDefaultStopWords("english") for part in re.findall("[a-z0-9]+", w)}
+    return stops | set("abcdefghijklmnopqrstuvwxyz0123456789")
+
+
 def train(spark: SparkSession, corpus_lines: DataFrame, *, max_corpus_rows: int = 500, least: float = 0.6) -> Classifier:
     """Fit on two thirds of the training rows, set the softness on the rest."""
     families = sorted([*TEMPLATES, UNKNOWN])
@@ -192,10 +231,13 @@ def train(spark: SparkSession, corpus_lines: DataFrame, *, max_corpus_rows: int
     rows = training_rows(spark, corpus_lines, max_corpus_rows).withColumnRenamed("family", "truth").withColumn("label", label)
     # A few hundred short rows: one partition, so that each step of the fit is one task.
     rows = materialize(rows.withColumn("terms", ngrams(F.col("words"))).coalesce(1), label="license-training")
-    terms = rows.select(F.explode("terms").alias("term")).distinct().orderBy("term")
-    # Terms of the templates and look-alikes only: corpus rows have none.
+    # Terms of the templates and look-alikes only, a constant of this module.
+    known = _templates(spark).select(words_of(F.col("text")).alias("words"))
+    odd = spark.range(1).select(F.explode(F.array(*[words_of(F.lit(t)) for t in LOOKALIKES])).alias("words"))
+    terms = known.unionByName(odd).select(F.explode(ngrams(F.col("words"))).alias("term")).distinct().orderBy("term")
+    common = _function_words()
     vectors = CountVectorizerModel.from_vocabulary(
-        [r.term for r in terms.collect()], inputCol="terms", outputCol="features", minTF=1.0, binary=True
+        [r.term for r in terms.collect() if not set(r.term.split(" ")) <= common], inputCol="terms", outputCol="features", minTF=1.0, binary=True
     )
     rest = F.pmod(F.xxhash64("words", "truth"), F.lit(3)) == 0
     learner = LogisticRegression(
@@ -219,12 +261,9 @@ def train(spark: SparkSession, corpus_lines: DataFrame, *, max_corpus_rows: int
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of lines with a stem, of documents with one."""
-    return (
-        docs.filter(has_stem(F.col("text")))
-        .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .filter(has_stem(F.col("line")))
-    )
+    """(doc_id, line_no, words) of all lines."""
+    lines = F.transform(F.split("text", "\n"), words_of)
+    return docs.select("doc_id", F.posexplode(lines).alias("line_no", "words"))
 
 
 def _likeness(template: Column, words: Column) -> Column:
@@ -246,7 +285,7 @@ def scan(docs: DataFrame, classifier: Classifier | None = None, *, confirm: floa
     if classifier is None:
         first_lines = docs.select(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1).alias("line")).filter("line <> ''")
         classifier = train(spark, first_lines)
-    lines = lines_of(docs).withColumn("words", words_of(F.col("line"))).drop("line")
+    lines = lines_of(docs).filter(classifier.may_have_features(F.col("words")))
     found = classifier.classify(lines).filter(F.col("family") != UNKNOWN)
     # All templates of a family beside the paragraph: the table of templates is a constant of this module.
     known = _templates(spark).select(F.col("family").alias("of"), words_of(F.col("text")).alias("words"))
