@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.llm import chat, decontaminate, licenses, mixing, nn_descent, order_minhash, suffix_dedup, toxicity, url_reputation, warc
+from rideflow.llm import (
+    bpe_chunks,
+    chat,
+    decontaminate,
+    licenses,
+    mask_search,
+    mixing,
+    nn_descent,
+    order_minhash,
+    spelling,
+    suffix_dedup,
+    toxicity,
+    url_reputation,
+    warc,
+)
 from rideflow.session import scratch_path
 from rideflow.sources import table
 
@@ -215,3 +229,52 @@ def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nn_descent.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op11_bpe_round_trip")
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer_json = file.read()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_chunks.encode_documents(docs, tokenizer_json, outputs=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+_SEARCH_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), sized AS (
+  SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM words WHERE len(terms) > 0
+), total AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), held AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM sized)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY row, term
+), weighted AS (
+  SELECT h.term, CAST(floor(1000 * ln((2.0 * any_value(t.docs) + 2.0) / (2.0 * count(*) + 1.0))) AS BIGINT) AS w
+  FROM held h CROSS JOIN total t GROUP BY h.term
+), scored AS (
+  SELECT i.item_id, s.row, any_value(s.doc_id) AS doc_id,
+         CAST(sum(w.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (10 + (90 * s.n * t.docs) // t.terms)))) AS BIGINT) AS score
+  FROM held h JOIN weighted w ON h.term = w.term JOIN sized s ON h.row = s.row JOIN wanted i ON h.term = i.term CROSS JOIN total t
+  GROUP BY i.item_id, s.row
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op12_rank_documents", _SEARCH_SQL)
+def op12_rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))

@@ -143,3 +143,39 @@ def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator
     for a, b in zip([0, *cuts], [*cuts, len(sizes)]):
         if b > a:
             yield batch.slice(a, b - a)
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+#: ASCII bytes that are neither letters nor digits.
+_ASCII_GAPS = ~_ALNUM_BYTES
+
+
+def lowered_pieces(texts: pa.Array, most_bytes: int) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """``texts`` (no nulls) with only A-Z lower-cased, in pieces of about ``most_bytes`` end to end.
+
+    Yields the row of each piece and the pieces.  A longer text is cut before ASCII characters that are
+    neither letters nor digits, so that no run of letters and digits is parted.
+    """
+    data, at = text_bytes(texts)
+    rows, borders = [], [0]
+    for row, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+        while b - a > most_bytes:
+            cut = a + most_bytes
+            while cut < b and not _ASCII_GAPS[data[cut : min(cut + 4096, b)]].any():
+                cut += 4096
+            if cut >= b:
+                break
+            a = cut + int(np.argmax(_ASCII_GAPS[data[cut : cut + 4096]]))
+            rows.append(row)
+            borders.append(a)
+        rows.append(row)
+        borders.append(b)
+    rows, borders = np.array(rows, np.int64), np.array(borders, np.int64)
+    first = 0
+    while first < len(rows):
+        last = max(int(np.searchsorted(borders, borders[first] + most_bytes, "right")) - 1, first + 1)
+        low = _LOWER[data[borders[first] : borders[last]]]
+        offsets = borders[first : last + 1] - borders[first]
+        yield rows[first:last], pa.Array.from_buffers(pa.large_binary(), last - first, [None, pa.py_buffer(offsets), pa.py_buffer(low)])
+        first = last

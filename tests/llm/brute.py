@@ -141,3 +141,76 @@ def auc(score, label):
         ranks[same] = ranks[same].mean()
     pos = label.sum()
     return (ranks[label == 1].sum() - pos * (pos + 1) / 2) / (pos * (len(label) - pos)) if 0 < pos < len(label) else math.nan
+
+
+def encoded(docs, file):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
+    found = {}
+    for doc_id, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        back = tokenizer.decode(ids, skip_special_tokens=False)
+        found[doc_id] = (len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), back)))
+    return found
+
+
+def ranked(docs, items, k=10):
+    """{item_id: [(doc_id, score), ...]}; docs and items are (id, text)."""
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    terms = [(d, Counter(re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").translate(low)))) for d, t in docs]
+    terms = [(d, c) for d, c in terms if c]
+    n_docs, n_terms = len(terms), sum(c.total() for _, c in terms)
+    df = Counter(t for _, c in terms for t in c)
+    wanted = defaultdict(set)
+    for item, text in items:
+        wanted[item] |= set(re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").translate(low)))
+    found = {}
+    for item, words in wanted.items():
+        scores = []
+        for d, c in terms:
+            m = 10 + (90 * c.total() * n_docs) // n_terms
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in words if t in c)
+            if score > 0:
+                scores.append((-score, d is None, d, score))
+        if scores:
+            found[item] = [(d, s) for _, _, d, s in sorted(scores, key=lambda x: x[:2] + (x[2] or 0,))[:k]]
+    return found
+
+
+def spelling(docs):
+    """{word: (form, root, n, n_near, form_n)}."""
+    import zlib
+
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(low)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    by_gap = defaultdict(set)
+    for w in counts:
+        by_gap[w, None].add(w)
+        for i in range(len(w)):
+            by_gap[w[:i] + w[i + 1 :], i].add(w)  # one code point replaced
+            by_gap[w[:i] + w[i + 1 :], None].add(w)  # or deleted
+    near = defaultdict(set)
+    for (text, gap), some in by_gap.items():
+        for w in some:
+            near[w] |= {x for x in some if x != w and (gap is not None or text in (w, x))}
+    form = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= 2 * n else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n, len(near[w]), counts.get(form[w])) for w, n in counts.items()}

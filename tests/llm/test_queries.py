@@ -26,7 +26,7 @@ def _rows(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -80,3 +80,13 @@ def test_near_duplicates(spark, duck):
 def test_chat_turns(spark):
     rows = _rows(spark, "op10_chat_turns")
     assert sum(r.n_right for r in rows) > 0.85 * sum(r.n_lines for r in rows)
+
+
+def test_bpe_round_trip(spark, duck):
+    want = brute.encoded(duck.execute("SELECT doc_id, text FROM documents").fetchall(), "word_bpe_49k.json")
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in _rows(spark, "op11_bpe_round_trip")} == want
+
+
+def test_spelling_variants(spark, duck):
+    want = brute.spelling(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+    assert {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in _rows(spark, "op13_spelling_variants")} == want
