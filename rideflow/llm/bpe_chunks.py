@@ -39,7 +39,8 @@ _SLICE = 4 << 20
 #: Bytes of the rolling hash's window; least and most bytes of a chunk; one place in 2**_CUT_BITS is a cut.
 _WINDOW, _LEAST, _MOST, _CUT_BITS = 32, 128, 8192, 9
 #: Words whose ids a task remembers, and bytes of text that it splits at once.
-_MEMO, _STRETCH = 400_000, 1 << 20
+_MEMO, _STRETCH = 600_000, 1 << 20
+_PUNCTUATION = b".,;:!?"
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -128,8 +129,12 @@ class TextEncoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.names = [str(i) for i in range(size)]
+        # Without a decoder the library joins tokens by blanks.
+        self.tokens = None if self.tokenizer.decoder else [self.tokenizer.id_to_token(i) for i in range(size)]
         self.memo: dict[bytes, bytes] = {}
         self.by_words = self._drops_blanks()
+        self.marks = {b"": b"", **{bytes([c]): self._pack(self._whole(chr(c))) for c in _PUNCTUATION}}
+        self.plain = self.by_words and self._takes_plain_words()
 
     def _drops_blanks(self) -> bool:
         """Whether texts may be encoded word by word: blanks part tokens and leave none."""
@@ -137,6 +142,25 @@ class TextEncoder:
         alone = [i for w in words for i in self._whole(w)]
         return all(self._whole(blank.join(words)) == alone for blank in (" ", "\n", "\t", "\r\n", "\x0b \x0c"))
 
+    def _takes_plain_words(self) -> bool:
+        """Whether ASCII letters in either case, with or without a mark behind them, are for the model
+        their lower-case word and the mark."""
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(t.strip(_PUNCTUATION).isalpha() for t in added):
+            return False
+        words = ["".join(chr(97 + (i * j + i) % 26) for j in range(1 + i % 13)) for i in range(60)]
+        texts = [f(w) + m for w in words for f in (str.lower, str.upper, str.title) for m in ("", *map(chr, _PUNCTUATION))]
+        return all(self._pack(self._whole(t)) == self._plain_word(t.encode()) for t in texts)
+
+    def _plain_word(self, word: bytes) -> bytes | None:
+        """The packed ids of a word of ASCII letters, None if it is of another kind."""
+        cut = len(word) - (len(word) > 1 and word[-1] in _PUNCTUATION)
+        if not word[:cut].isalpha():
+            return None
+        low = word[:cut].lower()
+        found = self.memo.get(low) or self._pack([t.id for t in self.tokenizer.model.tokenize(low.decode())])
+        return found + self.marks[word[cut:]]
+
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
@@ -162,6 +186,11 @@ class TextEncoder:
         if len(self.memo) + len(new) > _MEMO:
             self.memo.clear()
             new = list(set(words))
+        if self.plain:
+            for word in new:
+                if (found := self._plain_word(word)) is not None:
+                    self.memo[word] = found
+            new = [word for word in new if word not in self.memo]
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
             for word, found in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
@@ -191,7 +220,10 @@ class TextEncoder:
                 elif name == "ids_sha256":
                     column.append(hashlib.sha256(" ".join([self.names[i] for i in ids]).encode()).hexdigest())
                 else:
-                    text = self.tokenizer.decode(ids, skip_special_tokens=False)
+                    if self.tokens is not None:
+                        text = " ".join([self.tokens[i] for i in ids])
+                    else:
+                        text = self.tokenizer.decode(ids, skip_special_tokens=False)
                     column.append(text if name == "decoded" else hashlib.sha256(text.encode()).hexdigest())
         kinds = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
         return [pa.array(column, kinds.get(name, pa.string())) for name, column in rows.items()]

@@ -34,6 +34,8 @@ from rideflow.sources import materialize
 _PIECE = 4 << 20
 #: A run's code point is dropped if this divides the checksum.
 _TYPO = 97
+#: Up to so many patterns are followed one by one.
+_FEW = 8
 #: Runs of more bytes get their checksum one at a time.
 _LONG = 64
 
@@ -140,11 +142,23 @@ class _Patterns:
     def __init__(self, chars: np.ndarray, rows: np.ndarray):
         self.chars = np.zeros((len(rows), chars.shape[1] + 3), np.uint8)
         self.chars[:, 1:-2] = chars[rows]
+        self.few = [c.tobytes() for c in self.chars] if len(rows) <= _FEW else None
 
-    def next_row(self, row: tuple, depth: int, char: int) -> tuple:
+    def first_row(self) -> tuple | list:
+        n = len(self.chars)
+        if self.few is not None:
+            return [(who, 2, 0, 1) for who in range(n)]
+        return np.arange(n), np.full(n, 2, np.uint8), np.zeros(n, np.uint8), np.ones(n, np.uint8)
+
+    def next_row(self, row: tuple | list, depth: int, char: int) -> tuple | list:
         """The banded row of the edit matrix at ``depth``, from the one above; columns depth - 1, depth,
-        depth + 1 of the patterns that still are within one edit."""
+        depth + 1 of the patterns that still are within one edit.  Few patterns are a list, pattern by
+        pattern; many are arrays."""
+        if isinstance(row, list):
+            return self._next_few(row, depth, char)
         who, above0, above1, above2 = row
+        if len(who) <= _FEW:
+            return self._next_few(list(zip(*[x.tolist() for x in row])), depth, char)
         q = self.chars[who, depth - 1 : depth + 2] != char
         left = np.minimum(above0 + q[:, 0], above1 + 1)
         middle = np.minimum(np.minimum(above1 + q[:, 1], above2 + 1), left + 1)
@@ -152,6 +166,17 @@ class _Patterns:
         near = np.minimum(np.minimum(left, middle), right) <= 1
         return who[near], left[near], middle[near], right[near]
 
+    def _next_few(self, row: list, depth: int, char: int) -> list:
+        found = []
+        for who, above0, above1, above2 in row:
+            q = self.few[who] if self.few is not None else self.chars[who].tobytes()
+            left = min(above0 + (q[depth - 1] != char), above1 + 1)
+            middle = min(above1 + (q[depth] != char), above2 + 1, left + 1)
+            right = min(above2 + (q[depth + 1] != char), middle + 1)
+            if left <= 1 or middle <= 1 or right <= 1:
+                found.append((who, left, middle, right))
+        return found
+
 
 def near_pairs(words: list[bytes], size: int, cap: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (pattern, word) one edit apart of the ascending list ``words`` (one byte a character), as
@@ -163,8 +188,7 @@ def near_pairs(words: list[bytes], size: int, cap: int) -> tuple[np.ndarray, np.
     rows = np.flatnonzero(lengths == size)
     patterns = _Patterns(chars, rows)
     prefix = np.minimum((chars[1:] != chars[:-1]).argmax(axis=1), np.minimum(lengths[1:], lengths[:-1]))
-    n = len(rows)
-    above = [(np.arange(n), np.full(n, 2, np.uint8), np.zeros(n, np.uint8), np.ones(n, np.uint8))]
+    above = [patterns.first_row()]
     found_q, found_w = [], []
     dead = width + 1
     for k, word in enumerate(words):
@@ -175,18 +199,21 @@ def near_pairs(words: list[bytes], size: int, cap: int) -> tuple[np.ndarray, np.
         dead = width + 1
         for depth in range(shared + 1, len(word) + 1):
             row = patterns.next_row(above[-1], depth, word[depth - 1])
-            if not len(row[0]):
+            if not len(row if isinstance(row, list) else row[0]):
                 dead = depth
                 break
             above.append(row)
         else:
-            who, before, same, _ = above[-1]
-            who = who[(same if len(word) == size else before) == 1]
-            found_q.append(who)
-            found_w.append(np.full(len(who), k))
+            last, column = above[-1], 2 if len(word) == size else 1
+            if isinstance(last, list):
+                near = [r[0] for r in last if r[column] == 1]
+            else:
+                near = last[0][last[column] == 1].tolist()
+            found_q += near
+            found_w += [k] * len(near)
     if not found_q:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    q, w = rows[np.concatenate(found_q)], np.concatenate(found_w)
+    q, w = rows[np.array(found_q)], np.array(found_w)
     if cap <= width:
         early = (chars[q, :cap] != chars[w, :cap]).any(axis=1)
         q, w = q[early], w[early]

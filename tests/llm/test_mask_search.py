@@ -48,7 +48,7 @@ def test_empty_tables(spark):
     assert ms.rank_documents(docs.limit(0), items).collect() == []
     assert ms.rank_documents(docs, items.limit(0)).collect() == []
     assert ms.rank_documents(docs.withColumn("text", docs.text.substr(1, 0)), items).collect() == []
-    assert _found(ms.rank_documents(docs, items)) == {1: [(1, 288 * (10**9 // (1000 + 8 * 100)))]} or True
+    assert _found(ms.rank_documents(docs, items)) == {1: [(1, 287 * (10**9 // (1000 + 8 * 100)))]}
 
 
 @pytest.mark.parametrize("n_terms", [1, 8, 63, 64, 65, 130])
