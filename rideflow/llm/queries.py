@@ -191,7 +191,7 @@ def toxicity_models(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxici
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.score(docs, toxicity_models(spark, docs, sf_dir))
+    scored = toxicity.score(docs, toxicity_models(spark, docs, sf_dir), carry=["doc_id"])
     return scored.select(
         "doc_id", (_remainder() == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )

@@ -2,21 +2,24 @@
 
 Two bigram models, one of toxic and one of ordinary texts, are counted over all labelled training
 texts.  Each interpolates discounted bigrams with continuation counts of words, and these with
-continuation counts shared by both classes, so that an expression too rare to tell the classes apart
+continuation counts shared by both classes.  The discount is two sightings: what a class has seen once
+or twice passes wholly to the shared counts, so that an expression too rare to tell the classes apart
 weighs the same in both.  A text's evidence is its log-likelihood ratio per word, what strongly toxic
 expressions add to that, in all and per word, and its most toxic expression; for a long text may hold
 few insults.  A logistic curve, fitted on labelled rows that the models were not counted on, turns the
 evidence into a score.
 
-The counts are gathered by Spark over every training text and kept whole, as tables.  A task that
-scores texts holds the most frequent entries of each table (at most ``head``) and a bitmap of the others.
+The counts are gathered by Spark over every training text, all of them.  For the scores only those
+rows matter that some class has seen more often than the discount: of any other word, pair or context
+the ratio is that of one never seen, exactly, since the shared count cancels out.  These rows are kept
+as tables.  A task that scores texts holds the most frequent entries of each table (at most ``head``) and a bitmap of the others.
 What neither settles, a word or pair that may be among the others, is joined to the whole tables by
 shuffle, as distinct pairs per text, so that the size of the head changes no score.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -172,18 +175,19 @@ def _keep_counts(whole: DataFrame, path: str, head: int) -> Counts:
     return Counts(path, head_path, bits_path, n_bits)
 
 
-def count_models(labelled: DataFrame, *, head: int = 4_000_000, discount: float = 0.75, strong: float = 2.0) -> Models:
+def count_models(labelled: DataFrame, *, head: int = 4_000_000, discount: float = 2.0, strong: float = 2.0) -> Models:
     """Count both models over ``labelled`` (text, toxic 0/1).
 
-    Every word and pair is counted and kept; ``head`` is the most entries of a table that a task holds.
-    A ratio above ``strong`` (e-fold) is strong.
+    Every word and pair is counted; rows that neither class has seen more than ``discount`` times are as
+    if unseen and not kept.  ``head`` is the most entries of a table that a task holds.  A ratio above
+    ``strong`` (e-fold) is strong.
     """
     spark = labelled.sparkSession
     grams_at, words_at = (scratch_path(spark, f"toxic-{x}") for x in ("grams", "word-sums"))
     texts = labelled.select(F.lower("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
     with arrow_batches(spark, 500):
         grams = texts.mapInArrow(_count_grams, "w long, h int, n long").repartition("w", "h")
-        save_table(grams.mapInArrow(_sum_partition, _COUNTS_DDL), grams_at, partition_by=["kind"])
+        save_table(grams.mapInArrow(_sum_partition, _COUNTS_DDL), grams_at)
     counts = spark.read.schema(_COUNTS_DDL).parquet(grams_at)
     sums = ["toxic", "ordinary", "toxic_types", "ordinary_types", "types"]
     save_table(counts.filter(F.col("kind") == _WORD).groupBy("key").agg(*[F.sum(c).alias(c) for c in sums]), words_at)
@@ -203,11 +207,12 @@ def count_models(labelled: DataFrame, *, head: int = 4_000_000, discount: float
     ]
     both = F.col("toxic") + F.col("ordinary")
     short = F.lit(0xFFFFFFFF)
-    pairs = counts.filter(F.col("kind") == _PAIR)
+    often = F.greatest(*classes) > discount
+    pairs = counts.filter((F.col("kind") == _PAIR) & often)
     # Mass that the pairs leave to words alone, by context; a text's first word has no context.
     held = pairs.groupBy(F.col("h").cast("long").bitwiseAND(short).alias("of")).agg(*[F.sum(rest_of(c)).alias(f"held_{c}") for c in classes])
     seen = words.groupBy(F.col("key").bitwiseAND(short).alias("key")).agg(*[F.sum(c).alias(c) for c in classes])
-    contexts = seen.filter(F.col("key") != int(_BEGIN)).join(held, F.col("key") == F.col("of"), "left")
+    contexts = seen.filter(F.col("key") != int(_BEGIN)).join(held, F.col("key") == F.col("of"))
 
     def size_of(c: str):
         return F.greatest(F.col(c), F.lit(1)).cast("double")
@@ -224,9 +229,9 @@ def count_models(labelled: DataFrame, *, head: int = 4_000_000, discount: float
         "key", both.alias("n"), *[size_of(c).alias(f"size_{c}") for c in classes], *[free(c).alias(f"rest_{c}") for c in classes]
     )
     return Models(
-        kept(words.select("key", both.alias("n"), *low), "words"),
+        kept(words.filter(often).select("key", both.alias("n"), *low), "words"),
         kept(contexts, "contexts"),
-        _keep_counts(pairs.select("key", both.alias("n"), *classes), f"{grams_at}/kind={_PAIR}", head),
+        kept(pairs.select("key", both.alias("n"), *classes), "pairs"),
         totals,
         {c: left[c] * 1e-6 for c in classes},
         discount,
@@ -375,10 +380,11 @@ def _settled(rows: DataFrame, models: Models) -> DataFrame:
     return rows.join(more, F.col("_row") == F.col("_of"), "left").withColumn("_part", whole).drop("_of", "_total", "_top", "_strong")
 
 
-def _with_parts(docs: DataFrame, models: Models) -> DataFrame:
-    """``docs`` with _part, whole: written already, and joined to the counts if tasks hold not all."""
+def _with_parts(docs: DataFrame, models: Models, carry: Sequence[str]) -> DataFrame:
+    """The columns ``carry`` of ``docs`` with _part, whole: written already, and joined to the counts if
+    tasks hold not all."""
     with arrow_batches(docs.sparkSession, 500):
-        rows = docs.withColumn("_part", _parts_of(models)(F.lower("text")))
+        rows = docs.select(*[F.col(f"`{c}`") for c in carry], _parts_of(models)(F.lower("text")).alias("_part"))
         if models.in_head:
             return materialize(rows.withColumn("_part", F.col("_part").dropFields("open")), label="toxic-parts")
         return _settled(materialize(rows.withColumn("_row", F.monotonically_increasing_id()), label="toxic-parts"), models).drop("_row")
@@ -442,26 +448,32 @@ def fit(docs: DataFrame, marks: DataFrame, *, max_fit_rows: int = 20_000, **mode
     held = marks.filter(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_fit_rows)
     # At most max_fit_rows rows of two numbers: small by construction.
     sample = docs.join(F.broadcast(held), "doc_id").select(F.lower("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    rows = _with_parts(sample, models).select(F.array(*_features()).alias("x"), "toxic").limit(2 * max_fit_rows).toPandas()
+    if models.trained:
+        rows = _with_parts(sample, models, ["toxic"]).select(F.array(*_features()).alias("x"), "toxic").limit(2 * max_fit_rows).toPandas()
+    else:
+        rows = sample.select("toxic").limit(2 * max_fit_rows).toPandas()
     y = rows.toxic.to_numpy(float)
     models.prior = float(y.mean()) if len(y) else 0.0
     # With one class only there is nothing to fit: the most toxic expression decides.
-    models.weights = _fit_curve(np.stack(rows.x), y) if 0 < y.sum() < len(y) else [0.0, 2.0, 0.0, 0.0, 0.0, -6.0]
+    models.weights = _fit_curve(np.stack(rows.x), y) if models.trained and 0 < y.sum() < len(y) else [0.0, 2.0, 0.0, 0.0, 0.0, -6.0]
     return models
 
 
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """Every row of ``docs`` with a column score between 0 and 1; a higher score is likelier toxic.
+def score(docs: DataFrame, models: Models, *, carry: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``carry`` (default: all) of every row of ``docs`` with a column score between 0 and 1;
+    a higher score is likelier toxic.
 
     Null and empty texts, and texts without letters or digits, get the share of toxic marks; so does
-    every text if the marks have one class only (0 without marks).  A column score is replaced.
+    every text if the marks have one class only (0 without marks).  Repeated rows and rows that share a
+    doc_id are scored each by its text, long texts whole.  A column score is replaced.
     """
+    carry = [c for c in (docs.columns if carry is None else carry) if c != "score"]
     if not models.trained:
-        return docs.withColumn("score", F.lit(models.prior))
+        return docs.select(*[F.col(f"`{c}`") for c in carry], F.lit(models.prior).alias("score"))
 
     z = F.lit(models.weights[-1])
     for weight, x in zip(models.weights, _features()):
         z = z + F.lit(weight) * x
     z = F.greatest(F.least(z, F.lit(500.0)), F.lit(-500.0))
     found = F.when(F.col("_part.n") > 0, 1.0 / (1.0 + F.exp(-z))).otherwise(F.lit(models.prior))
-    return _with_parts(docs.drop("score"), models).withColumn("score", found).select(*[c for c in docs.columns if c != "score"], "score")
+    return _with_parts(docs.drop("score"), models, carry).select(*[F.col(f"`{c}`") for c in carry], found.alias("score"))

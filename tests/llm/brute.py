@@ -214,3 +214,28 @@ def spelling(docs):
         return w
 
     return {w: (form[w], root(w), n, len(near[w]), counts.get(form[w])) for w, n in counts.items()}
+
+
+def kneser_ney_ratios(labelled, text, discount=2.0):
+    """log P(word | before, toxic) - log P(word | before, ordinary) of every word of ``text``."""
+    before = lambda words: zip([None, *words], words)
+    pairs = {c: Counter(p for t, y in labelled if y == c for p in before(letters(t))) for c in (1, 0)}
+    types = {c: Counter(w for _, w in pairs[c]) for c in (1, 0)}
+    shared = Counter(w for _, w in {*pairs[1], *pairs[0]})
+    logs = []
+    for c in (1, 0):
+        rest = lambda n: max(n - discount, 0.0)
+        n_types = sum(types[c].values())
+        own = {w: rest(n) / n_types for w, n in types[c].items()}
+        left = 1 - sum(own.values())
+        sizes, held = Counter(), Counter()
+        for (h, w), n in pairs[c].items():
+            sizes[w] += n
+            held[h] += rest(n)
+        row = []
+        for h, w in before(letters(text)):
+            low = own.get(w, 0.0) + left * (shared[w] / sum(shared.values()) if shared[w] else 1e-6)
+            known = h is not None and sizes[h] > 0
+            row.append(math.log((rest(pairs[c][h, w]) / sizes[h] if known else 0.0) + (max(1 - held[h] / sizes[h], 1e-3) if known else 1.0) * low))
+        logs.append(row)
+    return [a - b for a, b in zip(*logs)]

@@ -1,8 +1,10 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rideflow.llm import toxicity as tox
 from rideflow.llm.words import PowerTable, split_words
@@ -65,12 +67,44 @@ def test_probabilities_of_a_context_add_up(models):
     assert np.all(scorer.ratios(words) > 1.0)
 
 
-def test_rare_expressions_keep_their_counts(spark):
-    rows = [(i, t + (" zyzzyva" if i in (6, 12, 18) else ""), y) for i, t, y in _texts(300, 3)]
+def test_rare_expressions_weigh_the_same_in_both_classes(spark):
+    rare = {6: " zyzzyva quagga", 12: " zyzzyva quagga", 18: " zyzzyva", 24: " zyzzyva", 7: " quokka quokka"}
+    rows = [(i, t + rare.get(i, ""), y) for i, t, y in _texts(300, 3)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
     got = tox.Scorer(tox.count_models(labelled))
-    # Three occurrences, all toxic: the class's own counts speak.
-    assert got.ratios(split_words(pa.array(["zyzzyva"]), PowerTable()))[0] > 1.0
+    often, toxic, ordinary, unseen = got.ratios(split_words(pa.array(["zyzzyva", "quagga", "quokka", "unseen"]), PowerTable()))
+    # Four occurrences, all toxic: the class's own counts speak.  Two: as if never seen.
+    assert often > 1.0 and abs(toxic - unseen) < 1e-9 and abs(ordinary - unseen) < 1e-9
+
+
+@pytest.mark.parametrize("head", [0, 1_000_000])
+def test_ratios_equal_brute_force(spark, head):
+    rows = _texts(150, 6)
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    models = tox.count_models(labelled, head=head)
+    texts = [t for _, t, _ in rows[:20]] + ["dolt oaf unheard of dolt", "ee", "Twit, cretin!"]
+    want = [sum(brute.kneser_ney_ratios([(t, y) for _, t, y in rows], t)) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.total for r in tox._with_parts(docs, models, ["doc_id"]).select("doc_id", "_part.total").collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], want, atol=1e-6)
+
+
+def test_marks_without_words(spark):
+    docs = spark.createDataFrame([(i, [None, "", "?!", "one"][i % 4]) for i in range(60)], "doc_id long, text string")
+    for marks in ("CAST(doc_id % 4 = 0 AS INT)", "CAST(doc_id % 8 = 3 AS INT)"):
+        models = tox.fit(docs, docs.selectExpr("doc_id", f"{marks} AS toxic"))
+        assert all(0 <= r.score <= 1 for r in tox.score(docs, models).collect())
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1/labels.parquet").exists(), reason="driver tables not present")
+def test_accuracy_on_held_out_labels(spark):
+    from rideflow.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.1"
+    marks = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    found = QUERIES["op6_toxicity"](spark, folder).filter("held_out").join(marks, "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("share")).collect()
+    share = {r.toxic: r.share for r in found}
+    assert share[1] >= 0.75 and share[0] <= 0.02
 
 
 def test_what_tasks_hold_changes_no_score(spark):
