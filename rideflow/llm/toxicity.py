@@ -4,9 +4,9 @@ Two bigram models, one of toxic and one of ordinary texts, are counted over all
 texts.  Each interpolates discounted bigrams with continuation counts of words, and these with
 continuation counts shared by both classes.  The discount is two sightings: what a class has seen once
 or twice passes wholly to the shared counts, so that an expression too rare to tell the classes apart
-weighs the same in both.  A text's evidence is its log-likelihood ratio per word, what strongly toxic
-expressions add to that, in all and per word, and its most toxic expression; for a long text may hold
-few insults.  A logistic curve, fitted on labelled rows that the models were not counted on, turns the
+weighs the same in both.  A text's evidence is its log-likelihood ratio per word, what strongly and very
+strongly toxic expressions add to that, its length, and its most toxic expression; for a long text may
+hold few insults.  A logistic curve, fitted on labelled rows that the models were not counted on, turns the
 evidence into a score.
 
 The counts are gathered by Spark over every training text, all of them.  For the scores only those
@@ -44,7 +44,7 @@ _COUNTS = pa.schema(
 )
 _COUNTS_DDL = "kind byte, key long, h int, toxic long, ordinary long, toxic_types long, ordinary_types long, types long"
 _WORD, _PAIR = 1, 2
-#: Mean ratio, largest ratio, log of the strong ratios' sum, that sum per word, log of the length.
+#: Mean ratio, largest ratio, logs of the sums of strong and of very strong ratios, log of the length.
 N_FEATURES = 5
 
 
@@ -132,7 +132,7 @@ class Models:
     #: What a word that no text holds gets from the shared distribution, by class.
     unseen: dict[str, float]
     discount: float
-    strong: float
+    strong: tuple[float, float]
     prior: float
     weights: list[float] = field(default_factory=list)
 
@@ -175,12 +175,12 @@ def _keep_counts(whole: DataFrame, path: str, head: int) -> Counts:
     return Counts(path, head_path, bits_path, n_bits)
 
 
-def count_models(labelled: DataFrame, *, head: int = 4_000_000, discount: float = 2.0, strong: float = 2.0) -> Models:
+def count_models(labelled: DataFrame, *, head: int = 4_000_000, discount: float = 2.0, strong: tuple[float, float] = (1.5, 2.5)) -> Models:
     """Count both models over ``labelled`` (text, toxic 0/1).
 
     Every word and pair is counted; rows that neither class has seen more than ``discount`` times are as
     if unseen and not kept.  ``head`` is the most entries of a table that a task holds.  A ratio above
-    ``strong`` (e-fold) is strong.
+    the first of ``strong`` (e-fold) is strong, above the second very strong.
     """
     spark = labelled.sparkSession
     grams_at, words_at = (scratch_path(spark, f"toxic-{x}") for x in ("grams", "word-sums"))
@@ -280,7 +280,7 @@ class _Held:
 
 
 _OPEN = pa.struct([("key", pa.int64()), ("w", pa.int64()), ("h", pa.int64()), ("n", pa.int64())])
-_PART_DDL = "struct<total:double,top:double,strong:double,n:bigint,open:array<struct<key:bigint,w:bigint,h:bigint,n:bigint>>>"
+_PART_DDL = "struct<total:double,top:double,strong:double,stronger:double,n:bigint,open:array<struct<key:bigint,w:bigint,h:bigint,n:bigint>>>"
 
 
 class Scorer:
@@ -314,9 +314,9 @@ class Scorer:
         return logs[0] - logs[1], open_w | open_h | open_p
 
     def parts(self, words: Words) -> pa.StructArray:
-        """Per text: sum and largest of the settled ratios, sum of the strong ones, number of words, and
-        the distinct pairs that are open."""
-        total, top, strong = np.zeros(words.n_texts), np.full(words.n_texts, -np.inf), np.zeros(words.n_texts)
+        """Per text: sum and largest of the settled ratios, sums of the strong and very strong ones, number
+        of words, and the distinct pairs that are open."""
+        total, top, strong = np.zeros(words.n_texts), np.full(words.n_texts, -np.inf), np.zeros((2, words.n_texts))
         n = np.diff(words.first_word)
         some = np.flatnonzero(n)
         w, h, key = self._keys(words)
@@ -326,7 +326,8 @@ class Scorer:
             settled = np.where(unsettled, 0.0, ratios)
             total[some] = np.add.reduceat(settled, first)
             top[some] = np.maximum.reduceat(np.where(unsettled, -np.inf, ratios), first)
-            strong[some] = np.add.reduceat(np.where(settled > self.models.strong, settled, 0.0), first)
+            for k, least in enumerate(self.models.strong):
+                strong[k, some] = np.add.reduceat(np.where(settled > least, settled, 0.0), first)
         at = np.flatnonzero(unsettled)
         at = at[np.lexsort((key[at], words.row[at]))]
         new = np.r_[True, (np.diff(key[at]) != 0) | (np.diff(words.row[at]) != 0)] if len(at) else np.zeros(0, bool)
@@ -336,8 +337,8 @@ class Scorer:
         cuts = np.searchsorted(words.row[at], np.arange(words.n_texts + 1)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(cuts), items)
         return pa.StructArray.from_arrays(
-            [pa.array(total), pa.array(top), pa.array(strong), pa.array(n.astype(np.int64)), lists],
-            names=["total", "top", "strong", "n", "open"],
+            [pa.array(total), pa.array(top), pa.array(strong[0]), pa.array(strong[1]), pa.array(n.astype(np.int64)), lists],
+            names=["total", "top", "strong", "stronger", "n", "open"],
         )
 
 
@@ -367,17 +368,19 @@ def _settled(rows: DataFrame, models: Models) -> DataFrame:
         return F.log(kept + F.coalesce(f"rest_{c}", F.lit(1.0)) * F.coalesce(f"low_{c}", F.lit(models.unseen[c])))
 
     found = found.select("_row", F.col("n").alias("times"), (log_of("toxic") - log_of("ordinary")).alias("ratio"))
-    strong = F.when(F.col("ratio") > models.strong, F.col("ratio")).otherwise(0.0)
+    strong = [F.when(F.col("ratio") > least, F.col("ratio")).otherwise(0.0) for least in models.strong]
     more = found.groupBy(F.col("_row").alias("_of")).agg(
-        F.sum(F.col("times") * F.col("ratio")).alias("_total"), F.max("ratio").alias("_top"), F.sum(F.col("times") * strong).alias("_strong")
+        F.sum(F.col("times") * F.col("ratio")).alias("_total"),
+        F.max("ratio").alias("_top"),
+        *[F.sum(F.col("times") * x).alias(c) for x, c in zip(strong, ("_strong", "_stronger"))],
     )
     whole = F.struct(
         (F.col("_part.total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
         F.greatest("_part.top", "_top").alias("top"),
-        (F.col("_part.strong") + F.coalesce("_strong", F.lit(0.0))).alias("strong"),
+        *[(F.col(f"_part.{c}") + F.coalesce(f"_{c}", F.lit(0.0))).alias(c) for c in ("strong", "stronger")],
         F.col("_part.n").alias("n"),
     )
-    return rows.join(more, F.col("_row") == F.col("_of"), "left").withColumn("_part", whole).drop("_of", "_total", "_top", "_strong")
+    return rows.join(more, F.col("_row") == F.col("_of"), "left").withColumn("_part", whole).drop("_of", "_total", "_top", "_strong", "_stronger")
 
 
 def _with_parts(docs: DataFrame, models: Models, carry: Sequence[str]) -> DataFrame:
@@ -393,7 +396,7 @@ def _with_parts(docs: DataFrame, models: Models, carry: Sequence[str]) -> DataFr
 def _features() -> list:
     """Of a row with _part, N_FEATURES numbers (zeros without words)."""
     n = F.greatest("_part.n", F.lit(1))
-    own = [F.col("_part.total") / n, F.col("_part.top"), F.log1p("_part.strong"), F.col("_part.strong") / n, F.log1p("_part.n")]
+    own = [F.col("_part.total") / n, F.col("_part.top"), F.log1p("_part.strong"), F.log1p("_part.stronger"), F.log1p("_part.n")]
     return [F.when(F.col("_part.n") > 0, x).otherwise(0.0) for x in own]
 
 
