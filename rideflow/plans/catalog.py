@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rideflow.functions.columns import clamp, doubled_unix_date, name_contains, scale_if
 from rideflow.functions.udfs import ceil_int, ceil_udf, cos_float, cos_udf
 from rideflow.operators import aggregates as agg
-from rideflow.operators import charts, filters, joins, nested, projections, sampling, windows
+from rideflow.operators import charts, filters, joins, nested, projections, quantiles, sampling, temporal, windows
 from rideflow.operators.rides import PrepareConfig, RideColumns, ZoneColumns, prepare_rides
 from rideflow.plans import ml
 from rideflow.plans.job import RideConfig, RideJob
@@ -1133,6 +1133,153 @@ def _utc(fn: Query) -> Query:
     return run
 
 
+# --- along the time axis: as-of and interval joins, frames, sessions, quantiles ------
+
+
+@query(
+    "as_of_clicks",
+    """SELECT p.event_id, p.user_id, p.ts, c.event_id AS click_id, c.ts AS click_ts
+       FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+       ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts >= c.ts""",
+)
+def as_of_clicks(spark, sf_dir):
+    """The user's latest click at or before each purchase."""
+    events = table(spark, sf_dir, "events")
+    bought = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    clicks = events.filter("event_type = 'click'")
+    return temporal.as_of_join(
+        bought, clicks, ["user_id"], "ts", "ts", {"click_id": "event_id", "click_ts": "ts"}, right_order=["event_id"]
+    )
+
+
+@query(
+    "as_of_order_price",
+    """SELECT e.o_orderkey AS order_key, e.o_orderdate, p.o_orderkey AS big_key, p.o_totalprice AS big_price
+       FROM orders e ASOF LEFT JOIN (
+         SELECT o_orderpriority, o_orderdate, arg_max(o_totalprice, o_orderkey) AS o_totalprice, max(o_orderkey) AS o_orderkey
+         FROM orders WHERE o_totalprice > 400000 GROUP BY o_orderpriority, o_orderdate) p
+       ON e.o_orderpriority = p.o_orderpriority AND e.o_orderdate >= p.o_orderdate""",
+)
+def as_of_order_price(spark, sf_dir):
+    """The latest large order of the same priority: five keys, each of a fifth of all rows."""
+    orders = table(spark, sf_dir, "orders")
+    every = orders.select(F.col("o_orderkey").alias("order_key"), "o_orderdate", "o_orderpriority")
+    large = orders.filter("o_totalprice > 400000")
+    joined = temporal.as_of_join(
+        every,
+        large,
+        ["o_orderpriority"],
+        "o_orderdate",
+        "o_orderdate",
+        {"big_key": "o_orderkey", "big_price": "o_totalprice"},
+        right_order=["o_orderkey"],
+    )
+    return joined.drop("o_orderpriority")
+
+
+@query(
+    "events_after_errors",
+    """SELECT e.event_id AS error_id, e.user_id, x.event_id, x.ts FROM events e JOIN events x
+       ON x.user_id = e.user_id AND x.ts BETWEEN e.ts AND e.ts + INTERVAL 12 HOUR WHERE e.event_type = 'error'""",
+)
+def events_after_errors(spark, sf_dir):
+    """What each user did in the twelve hours after an error: points in intervals."""
+    events = table(spark, sf_dir, "events")
+    errors = events.filter("event_type = 'error'").select(
+        F.col("event_id").alias("error_id"), F.col("user_id").alias("of_user"), F.col("ts").alias("since"), F.expr("ts + INTERVAL 12 HOURS").alias("until")
+    )
+    found = temporal.interval_join(errors, events, ("since", "until"), ("ts", "ts"), {"of_user": "user_id"})
+    return found.select("error_id", "user_id", "event_id", "ts")
+
+
+@query(
+    "overlapping_orders",
+    """WITH spans AS (SELECT o_orderkey, o_custkey, least(o_orderdate, min(l_shipdate)) AS since, greatest(o_orderdate, max(l_shipdate)) AS until
+         FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, o_orderdate)
+       SELECT a.o_orderkey AS first_key, b.o_orderkey AS second_key, a.o_custkey FROM spans a JOIN spans b
+       ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND a.since <= b.until AND b.since <= a.until""",
+)
+def overlapping_orders(spark, sf_dir):
+    """Pairs of a customer's orders of which one was open while the other was: intervals with intervals."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    shipped = lines.groupBy("l_orderkey").agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    spans = orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "o_orderkey", "o_custkey", F.least("o_orderdate", "first_ship").alias("since"), F.greatest("o_orderdate", "last_ship").alias("until")
+    )
+    spans = materialize(spans, label="order-spans")
+    other = spans.withColumnsRenamed({c: f"other_{c}" for c in spans.columns})
+    found = temporal.interval_join(spans, other, ("since", "until"), ("other_since", "other_until"), {"o_custkey": "other_o_custkey"})
+    found = found.filter("o_orderkey < other_o_orderkey")
+    return found.select(F.col("o_orderkey").alias("first_key"), F.col("other_o_orderkey").alias("second_key"), "o_custkey")
+
+
+@query(
+    "day_before_per_user",
+    """SELECT event_id, user_id, ts, CAST(sum(CAST(value AS DECIMAL(12,2))) OVER w AS DECIMAL(22,2)) AS day_value, count(*) OVER w AS day_events, max(value) OVER w AS day_max
+       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)""",
+)
+def day_before_per_user(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    sums = {"day_value": F.sum(F.col("value").cast("decimal(12,2)")), "day_events": F.count(F.lit(1)), "day_max": F.max("value")}
+    return temporal.frame_aggregates(events, sums, "user_id", "ts", temporal.DAY).drop("value")
+
+
+@query(
+    "week_before_per_flag",
+    """SELECT l_orderkey, l_linenumber, l_returnflag, l_shipdate,
+       CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) OVER w AS DECIMAL(22,2)) AS week_quantity, count(*) OVER w AS week_lines
+       FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)""",
+)
+def week_before_per_flag(spark, sf_dir):
+    """Three keys, each of a third of all rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity")
+    sums = {"week_quantity": F.sum(F.col("l_quantity").cast("decimal(12,2)")), "week_lines": F.count(F.lit(1))}
+    return temporal.frame_aggregates(lines, sums, "l_returnflag", "l_shipdate", 6 * temporal.DAY).drop("l_quantity")
+
+
+_SESSION_SQL = """WITH s AS (SELECT *, coalesce(CAST(ts - lag(ts) OVER w > INTERVAL 6 HOUR AS BIGINT), 1) AS opens
+  FROM events WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id)),
+numbered AS (SELECT *, CAST(sum(opens) OVER (PARTITION BY {key} ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session FROM s)"""
+
+
+@query(
+    "user_sessions",
+    _SESSION_SQL.format(key="user_id")
+    + " SELECT user_id, session, min(ts) AS start, max(ts) AS \"end\", count(*) AS n FROM numbered GROUP BY user_id, session",
+)
+def user_sessions(spark, sf_dir):
+    return temporal.session_lengths(table(spark, sf_dir, "events"), "user_id", "ts", 6 * temporal.HOUR)
+
+
+@query(
+    "session_of_event",
+    _SESSION_SQL.format(key="event_type").replace("6 HOUR", "20 MINUTE") + " SELECT event_id, event_type, session FROM numbered",
+)
+def session_of_event(spark, sf_dir):
+    """Five keys, each of a fifth of all rows."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    return temporal.sessions(events, "event_type", "ts", temporal.HOUR // 3, order=["event_id"]).drop("ts")
+
+
+@query(
+    "price_quantiles",
+    """SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS median_price, quantile_disc(l_extendedprice, 0.99) AS high_price
+       FROM lineitem GROUP BY l_returnflag""",
+)
+def price_quantiles(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return quantiles.exact_quantiles(lines, "l_returnflag", "l_extendedprice", {"median_price": 0.5, "high_price": 0.99})
+
+
+@query(
+    "ship_date_quantiles",
+    """SELECT l_suppkey, quantile_disc(l_shipdate, 0.25) AS early, quantile_disc(l_shipdate, 0.75) AS late
+       FROM lineitem GROUP BY l_suppkey""",
+)
+def ship_date_quantiles(spark, sf_dir):
+    return quantiles.exact_quantiles(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate", {"early": 0.25, "late": 0.75})
+
+
 def queries() -> dict[str, Query]:
     return {name: _utc(fn) for name, fn in QUERIES.items()}
 
