@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rideflow.session import scratch_path
@@ -115,3 +115,29 @@ def hash_split(
     partitioning, on any engine that has ``md5``; every row is in exactly one part."""
     in_test = F.md5(_key_text(df.columns if keys is None else keys)) < F.lit(md5_threshold(test_fraction))
     return df.filter(~in_test), df.filter(in_test)
+
+
+def stratified_sample(
+    df: DataFrame, strata: str | Sequence[str], k: int, key: str | Sequence[str], weight: Column | str | None = None
+) -> DataFrame:
+    """Exactly ``k`` rows of each stratum (all, if it has fewer), the same on any cluster and engine.
+
+    Rows are ordered by the md5 of ``key`` and the first ``k`` stay; Spark keeps at most ``k`` a stratum
+    in each task before the shuffle, so a stratum of a third of all rows moves no more than others.
+    With ``weight``, rows are ordered by -ln(u) / weight, u being the md5 as a number between 0 and 1:
+    each next row is drawn with a chance in proportion to its weight among those left.  Rows whose
+    weight is null or not positive are never drawn.  Rows of equal keys are drawn by their other columns.
+    """
+    key_cols = [key] if isinstance(key, str) else list(key)
+    strata_cols = [strata] if isinstance(strata, str) else list(strata)
+    text = F.md5(F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key_cols]))
+    order = text
+    if weight is not None:
+        w = (F.col(weight) if isinstance(weight, str) else weight).cast("double")
+        # 52 bits of the digest, off both ends.
+        u = (F.conv(F.substring(text, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+        df = df.filter(w > 0)
+        order = -F.log(u) / w
+    ties = [F.col(f"`{c}`") for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")]
+    window = Window.partitionBy(*strata_cols).orderBy(order, *ties)
+    return df.withColumn("_nth", F.row_number().over(window)).filter(F.col("_nth") <= k).drop("_nth")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rideflow.functions.columns import clamp, doubled_unix_date, name_contains, scale_if
 from rideflow.functions.udfs import ceil_int, ceil_udf, cos_float, cos_udf
 from rideflow.operators import aggregates as agg
-from rideflow.operators import charts, filters, joins, nested, projections, quantiles, sampling, temporal, windows
+from rideflow.operators import charts, filters, joins, multisets, nested, projections, quantiles, sampling, temporal, windows
 from rideflow.operators.rides import PrepareConfig, RideColumns, ZoneColumns, prepare_rides
 from rideflow.plans import ml
 from rideflow.plans.job import RideConfig, RideJob
@@ -1280,6 +1280,91 @@ def ship_date_quantiles(spark, sf_dir):
     return quantiles.exact_quantiles(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate", {"early": 0.25, "late": 0.75})
 
 
+# --- tables as multisets, lattices of groups, samples of exact size --------------------
+
+_LINES_OF = "SELECT l_suppkey, l_quantity, l_tax FROM lineitem WHERE l_returnflag = '{}'"
+
+
+def _lines_of(spark, sf_dir, flag):
+    return table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == flag).select("l_suppkey", "l_quantity", "l_tax")
+
+
+@query("lines_except_all", f"{_LINES_OF.format('A')} EXCEPT ALL {_LINES_OF.format('R')}")
+def lines_except_all(spark, sf_dir):
+    return multisets.except_all(_lines_of(spark, sf_dir, "A"), _lines_of(spark, sf_dir, "R"))
+
+
+@query("lines_intersect_all", f"{_LINES_OF.format('A')} INTERSECT ALL {_LINES_OF.format('R')}")
+def lines_intersect_all(spark, sf_dir):
+    return multisets.intersect_all(_lines_of(spark, sf_dir, "A"), _lines_of(spark, sf_dir, "R"))
+
+
+@query(
+    "order_changes",
+    """WITH b AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 <> 1),
+       a AS (SELECT o_orderkey, CASE WHEN o_totalprice > 300000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+             FROM orders WHERE o_orderkey % 10 <> 2)
+       SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+         CASE WHEN b.o_orderkey IS NULL THEN 'added' WHEN a.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change,
+         CAST(b.o_orderkey IS NOT NULL AS BIGINT) AS n_removed, CAST(a.o_orderkey IS NOT NULL AS BIGINT) AS n_added
+       FROM b FULL JOIN a ON a.o_orderkey = b.o_orderkey
+       WHERE b.o_orderkey IS NULL OR a.o_orderkey IS NULL OR a.o_orderstatus <> b.o_orderstatus""",
+)
+def order_changes(spark, sf_dir):
+    """What differs between two states of the orders, by key."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    status = F.when(F.col("o_totalprice") > 300000, "X").otherwise(F.col("o_orderstatus"))
+    after = orders.filter("o_orderkey % 10 <> 2").withColumn("o_orderstatus", status)
+    return multisets.table_changes(orders.filter("o_orderkey % 10 <> 1"), after, "o_orderkey")
+
+
+@query(
+    "flag_cube",
+    """SELECT l_returnflag, l_linestatus, l_linenumber, CAST(grouping(l_returnflag, l_linestatus, l_linenumber) AS INTEGER) AS grouping,
+       count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS quantity, count(DISTINCT l_suppkey) AS suppliers
+       FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)""",
+)
+def flag_cube(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    dims = ["l_returnflag", "l_linestatus", "l_linenumber"]
+    sums = {"quantity": F.col("l_quantity").cast("decimal(12,2)")}
+    return multisets.grouping_lattice(lines, dims, sums, "l_suppkey", distinct_out="suppliers")
+
+
+@query(
+    "order_rollup",
+    """SELECT o_orderpriority, o_orderstatus, CAST(grouping(o_orderpriority, o_orderstatus) AS INTEGER) AS grouping,
+       count(*) AS n, count(DISTINCT o_custkey) AS customers
+       FROM orders GROUP BY ROLLUP (o_orderpriority, o_orderstatus)""",
+)
+def order_rollup(spark, sf_dir):
+    dims = ["o_orderpriority", "o_orderstatus"]
+    return multisets.grouping_lattice(
+        table(spark, sf_dir, "orders"), dims, {}, "o_custkey", sets=[dims, dims[:1], []], distinct_out="customers"
+    )
+
+
+@query(
+    "sample_per_priority",
+    """SELECT o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority
+       ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS nth FROM orders) WHERE nth <= 25""",
+)
+def sample_per_priority(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return sampling.stratified_sample(orders, "o_orderpriority", 25, "o_orderkey")
+
+
+@query(
+    "weighted_sample_per_status",
+    """SELECT o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY
+       -ln((CAST(CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0) / o_totalprice) AS nth
+       FROM orders WHERE o_totalprice > 0) WHERE nth <= 40""",
+)
+def weighted_sample_per_status(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return sampling.stratified_sample(orders, "o_orderstatus", 40, "o_orderkey", "o_totalprice").drop("o_totalprice")
+
+
 def queries() -> dict[str, Query]:
     return {name: _utc(fn) for name, fn in QUERIES.items()}
 
