@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rideflow.llm.decontaminate import remove_contaminated
 from rideflow.llm.mixing import mix_sources
@@ -41,17 +40,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of each class stays; of rows that share an id, that of the
-    smallest text.  Documents without an id, and those without words, are in no class and stay."""
-    classes = materialize(near_duplicates(docs.select("doc_id", "text")), label="pipeline-classes")
-    kept = docs.join(classes.filter("doc_id <> class_id").select("doc_id").distinct(), "doc_id", "left_anti")
-    twice = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    """The document of smallest doc_id of each class stays.  Rows that share an id are documents of their
+    own: unlike texts all stay, of like ones one does.  Documents without words are in no class and stay."""
+    keyed = _packed(docs).withColumn("key", F.col("doc_id"))
+    twice = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
     twice = materialize(twice, label="pipeline-repeated")
     if not twice.isEmpty():
-        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-        one = kept.join(twice, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
-        kept = kept.join(twice, "doc_id", "left_anti").unionByName(one)
-    return kept.select(*docs.columns)
+        # Keys beyond all ids, so that in a class a document of an id of its own comes first.
+        beyond = docs.agg(F.max("doc_id").alias("most")).first().most + 1
+        again = keyed.join(twice, "doc_id", "left_semi").withColumn("key", F.lit(beyond) + F.monotonically_increasing_id())
+        keyed = keyed.join(twice, "doc_id", "left_anti").unionByName(materialize(again, label="pipeline-again"))
+    classes = materialize(near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text")), label="pipeline-classes")
+    gone = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone"))
+    kept = keyed.join(gone, F.col("key") == F.col("gone"), "left_anti")
+    return _unpacked(kept, docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
