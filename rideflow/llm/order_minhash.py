@@ -12,6 +12,7 @@ L / (m + n - L), the Jaccard similarity of labelled shingles as far as they can
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -179,7 +180,7 @@ def _verify(least: float, with_rest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PowerTable()
         for batch in batches:
-            for part in text_slices(batch, "text_b", _SLICE):
+            for part in (p for some in text_slices(batch, "text_b", _SLICE) for p in text_slices(some, "text_a", _SLICE)):
                 (xs, marked_x), (ys, marked_y) = (_sequences(part.column(c), table) for c in ("text_a", "text_b"))
                 found = np.array([similar(x, y, least) for x, y in zip(xs, ys)], bool)
                 if not with_rest:
@@ -213,25 +214,56 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float, with_rest: bool
         return materialize(both.mapInArrow(_verify(least, with_rest), _COMPARED if with_rest else _LINKS), label="near-links")
 
 
-def _reach(compared: DataFrame) -> DataFrame:
-    """(led, node, shared, own): what a text shares with its leader, and how many of its other labelled
-    shingles some other text of the same leader has too.
+def _common(compared: DataFrame) -> DataFrame:
+    """(a, b, shingle, n): labelled shingles of b that its leader a has not, but n > 1 texts of the leader."""
+    rest = compared.select("a", "b", F.explode("rest").alias("shingle"))
+    common = materialize(rest.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), label="near-common")
+    return materialize(rest.join(common, ["a", "shingle"]), label="near-common")
+
+
+def _reach(compared: DataFrame, common: DataFrame) -> DataFrame:
+    """(led, node, shared, alone, own): what a text shares with its leader, and how many of its other
+    labelled shingles no other, or some other, text of the same leader has.
 
     Two texts of a leader share at most the smaller ``shared`` plus the smaller ``own``: a shingle they
     share is the leader's or not.  So copies that were changed in different places are told apart
     without comparing them.
     """
-    rest = compared.select("a", "b", F.explode("rest").alias("shingle"))
-    common = materialize(
-        rest.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "shingle"), label="near-common"
-    )
-    own = rest.join(common, ["a", "shingle"], "left_semi").groupBy("a", "b").agg(F.count(F.lit(1)).cast("int").alias("own"))
+    own = common.groupBy("a", "b").agg(F.count(F.lit(1)).cast("int").alias("own"))
+    own_or_none = F.coalesce("own", F.lit(0))
     return materialize(
-        compared.select("a", "b", "shared").join(own, ["a", "b"], "left").select(
-            F.col("a").alias("led"), F.col("b").alias("node"), "shared", F.coalesce("own", F.lit(0)).alias("own")
+        compared.select("a", "b", "shared", F.size("rest").alias("others")).join(own, ["a", "b"], "left").select(
+            F.col("a").alias("led"), F.col("b").alias("node"), "shared", (F.col("others") - own_or_none).alias("alone"),
+            own_or_none.alias("own"),
         ),
         label="near-reach",
+    )
+
+
+def _rare_buckets(common: DataFrame, reach: DataFrame, least: float) -> DataFrame:
+    """(bucket, node, shared, own): texts of a leader that have a rare shingle in common.
+
+    A text of m shingles shares at least ceil(least * m) with a similar one; what its leader does not
+    give of them, k, must come from its other shingles.  If k > 0, the two texts have one in common that
+    is not among the k - 1 most frequent of either; of a text near its leader (k <= 0) every other
+    shingle counts.  So texts that share a passage, but are mostly their own, meet nowhere.  Buckets of
+    the same texts are one; buckets in which all texts are near the leader are left out.
+    """
+    lacking = F.ceil((F.col("shared") + F.col("alone") + F.col("own")) * least - 1e-9) - F.col("shared")
+    needs = reach.withColumn("k", lacking.cast("int"))
+    place = F.row_number().over(Window.partitionBy("a", "node").orderBy("n", "shingle"))
+    placed = common.withColumnRenamed("b", "node").withColumn("place", place)
+    rare = placed.join(needs.withColumnRenamed("led", "a"), ["a", "node"]).filter(
+        F.col("place") <= F.col("own") - F.greatest("k", F.lit(1)) + 1
     )
+    rare = materialize(rare.select("a", "shingle", "node", "shared", "own", (F.col("k") > 0).alias("far")), label="near-rare")
+    groups = rare.groupBy("a", "shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.max("far").alias("far"),
+        F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("two"),
+    )
+    groups = groups.filter("far AND n > 1").groupBy("a", "n", "one", "two").agg(F.min("shingle").alias("shingle"))
+    groups = materialize(groups.select("a", "shingle"), label="near-groups")
+    return rare.join(groups, ["a", "shingle"]).select(F.xxhash64("a", "shingle").alias("bucket"), "node", "shared", "own")
 
 
 def near_duplicates(
@@ -240,11 +272,15 @@ def near_duplicates(
     """One row per row of ``docs`` (doc_id, text): doc_id and class_id, the smallest doc_id of its class.
 
     Texts are in a class if they are equal or a chain of pairs of aligned similarity ``least`` or more
-    connects them.  Equal texts are joined first, so copies are compared once.  A bucket's texts are
-    compared with its most central one, its leader; then, as long as the bucket holds texts of several
-    classes, with the next four, sixteen, ...  Every pair of a bucket is compared, or already in one
-    class, or cannot be similar, by the sizes of the two or by what both share with the leader: so
-    neither a group of similar texts nor one of changed copies gives all its pairs.
+    connects them.  Equal texts are joined first, so copies are compared once.  A bucket is parted by
+    size, so that texts which may be similar are together in a part, and each text of a part is compared
+    with the most central one, its leader.  Texts with less than ``least`` of their shingles in the
+    leader then meet others of it only where they share rare shingles (:func:`_rare_buckets`), texts
+    with more in the part itself.  As long as such a bucket holds texts of several classes, its texts are
+    compared with the next four, 32, ... of it.  Every pair of a bucket is compared, or already in one
+    class, or cannot be similar, by the sizes of the two, by what both share with the leader or by their
+    rare shingles: so neither a group of similar texts, nor one of changed copies, nor one of texts that
+    share a passage gives all its pairs.
 
     Words are runs of non-blank characters; a text of fewer than five is one shingle.  Null and empty
     texts and texts of blanks have nothing to compare: each row is a class of its own.  A null doc_id
@@ -280,7 +316,12 @@ def near_duplicates(
     members = entries.join(shared, "bucket")
     rank = members.groupBy("node").agg(F.sum("n").alias("weight"))
     rank = materialize(rank, label="near-rank")
-    rest = materialize(members.select("bucket", "node", "size").join(rank, "node"), label="near-members")
+    # Similar texts lie in the same band of sizes or in neighbouring ones, so in one of the two parts.
+    band = F.floor(F.log(F.col("size")) / (-math.log(least) + 1e-6))
+    parts = members.select("node", "size", F.explode(F.array(band, band + 1)).alias("part"), "bucket")
+    parts = materialize(parts.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "size").join(rank, "node"), label="near-members")
+    several = parts.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    rest = materialize(parts.join(several.select("bucket"), "bucket", "left_semi"), label="near-members")
     needed = texts.join(rank.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
     needed = materialize(needed, label="near-texts")
 
@@ -289,23 +330,28 @@ def near_duplicates(
     def leading(rows: DataFrame, n: int) -> DataFrame:
         best = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
         kept = {"node": "a", "class": "class_a", "size": "size_a", "weight": "weight_a", "shared": "shared_a", "own": "own_a"}
-        return materialize(best.select("bucket", *[F.col(c).alias(k) for c, k in kept.items() if c in best.columns]), label="near-leaders")
+        return materialize(best.select("bucket", *[F.col(c).alias(k) for c, k in kept.items()]), label="near-leaders")
 
     def fits(most_shared: Column) -> Column:
         total = F.col("size") + F.col("size_a")
         return most_shared * (1 + least) >= total * least - 1e-9
 
     # The first leader of each bucket meets all of it.
-    lead = leading(rest.withColumn("class", F.col("node")), 1)
-    smaller = F.least("size", "size_a")
-    pairs = rest.join(lead.select("bucket", "a", "size_a"), "bucket").filter((F.col("node") != F.col("a")) & fits(smaller))
-    compared = _compared(materialize(pairs.select("a", F.col("node").alias("b")).distinct(), label="near-pairs"), needed, least, True)
+    first = F.max(F.struct("weight", F.bitwise_not("node").alias("not_node"))).alias("first")
+    lead = rest.groupBy("bucket").agg(first).select("bucket", F.bitwise_not("first.not_node").alias("led"))
+    rest = rest.join(materialize(lead, label="near-leaders"), "bucket").filter("node <> led")
+    rest = materialize(rest, label="near-members")
+    compared = _compared(
+        materialize(rest.select(F.col("led").alias("a"), F.col("node").alias("b")).distinct(), label="near-pairs"), needed, least, True
+    )
     links = compared.filter("similar").select("a", "b")
-    reach = _reach(compared)
-    # A text too short or long for its leader was not compared with it; what it shares stays null.
-    rest = rest.join(lead.select("bucket", F.col("a").alias("led")), "bucket").filter(F.col("node") != F.col("led"))
-    rest = rest.join(reach, ["led", "node"], "left")
-    rest = materialize(rest.select("bucket", "node", "size", "weight", "shared", "own", "led"), label="near-members")
+    common = _common(compared)
+    reach = _reach(compared, common)
+    near = rest.join(reach, ["led", "node"]).filter(F.col("shared") >= F.ceil(F.col("size") * least - 1e-9))
+    rare = _rare_buckets(common, reach, least).join(rest.select("node", "size", "weight").distinct(), "node")
+    columns = ["bucket", "node", "size", "weight", "shared", "own"]
+    rest = materialize(near.select(columns).unionByName(rare.select(columns)), label="near-members")
+    smaller = F.least("size", "size_a")
     leaders = 4
     while True:
         found = materialize(components(links), label="near-classes")
@@ -317,8 +363,7 @@ def near_duplicates(
             break
         lead = leading(rest, leaders)
         after = (F.col("weight") < F.col("weight_a")) | ((F.col("weight") == F.col("weight_a")) & (F.col("node") > F.col("a")))
-        known = F.col("shared").isNotNull() & F.col("shared_a").isNotNull()
-        reachable = F.when(known, F.least(smaller, F.least("shared", "shared_a") + F.least("own", "own_a"))).otherwise(smaller)
+        reachable = F.least(smaller, F.least("shared", "shared_a") + F.least("own", "own_a"))
         pairs = rest.join(lead, "bucket").filter((F.col("class") != F.col("class_a")) & fits(reachable) & after)
         pairs = materialize(pairs.select("a", F.col("node").alias("b")).distinct(), label="near-pairs")
         if not pairs.isEmpty():
