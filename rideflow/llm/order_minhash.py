@@ -174,8 +174,8 @@ def _sequences(texts: pa.Array, table: PowerTable) -> tuple[list[np.ndarray], li
 
 
 def _verify(least: float, with_rest: bool):
-    """Pairs that are similar; ``with_rest``: all pairs, how many labelled shingles they share, and
-    those that b has besides."""
+    """Pairs that are similar; ``with_rest``: all pairs, how many labelled shingles each has and both
+    share, those that b has besides and, if a has ``least`` of b's, those of a that b lacks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PowerTable()
@@ -187,21 +187,28 @@ def _verify(least: float, with_rest: bool):
                     yield part.select(["a", "b"]).filter(pa.array(found))
                     continue
                 rest = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(marked_x, marked_y)]
-                sizes = np.array([len(r) for r in rest])
-                flat = pa.array(np.concatenate(rest).view(np.int64) if len(rest) else np.zeros(0, np.int64))
-                shared = np.array([len(y) for y in ys]) - sizes
+                size_a, size_b = (np.array([len(v) for v in m], np.int32) for m in (marked_x, marked_y))
+                shared = size_b - np.array([len(r) for r in rest], np.int32)
+                near = shared >= size_b * least - 1e-9
+                lost = [np.setdiff1d(x, y, assume_unique=True) if c else x[:0] for x, y, c in zip(marked_x, marked_y, near)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("a"), part.column("b"), pa.array(found), pa.array(shared.astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), flat)],
-                    names=["a", "b", "similar", "shared", "rest"],
+                    [part.column("a"), part.column("b"), pa.array(found), pa.array(size_a), pa.array(size_b), pa.array(shared),
+                     pa.array(near), _lists(rest), _lists(lost)],
+                    names=["a", "b", "similar", "size_a", "size_b", "shared", "near", "rest", "lost"],
                 )
 
     return run
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.array(flat))
+
+
 # ---- the join ---------------------------------------------------------------------------------
 
-_LINKS, _COMPARED = "a long, b long", "a long, b long, similar boolean, shared int, rest array<long>"
+_LINKS = "a long, b long"
+_COMPARED = f"{_LINKS}, similar boolean, size_a int, size_b int, shared int, near boolean, rest array<long>, lost array<long>"
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, least: float, with_rest: bool = False) -> DataFrame:
@@ -215,55 +222,91 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float, with_rest: bool
 
 
 def _common(compared: DataFrame) -> DataFrame:
-    """(a, b, shingle, n): labelled shingles of b that its leader a has not, but n > 1 texts of the leader."""
-    rest = compared.select("a", "b", F.explode("rest").alias("shingle"))
-    common = materialize(rest.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), label="near-common")
-    return materialize(rest.join(common, ["a", "shingle"]), label="near-common")
+    """(a, b, shingle, other, n): labelled shingles in which b and its leader a differ, n > 1 texts of the
+    leader like b.  ``other``: b has it, else a has."""
+    differ = compared.select("a", "b", F.explode("rest").alias("shingle"), F.lit(True).alias("other")).unionByName(
+        compared.select("a", "b", F.explode("lost").alias("shingle"), F.lit(False).alias("other"))
+    )
+    common = materialize(differ.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), label="near-common")
+    return materialize(differ.join(common, ["a", "shingle"]), label="near-common")
 
 
-def _reach(compared: DataFrame, common: DataFrame) -> DataFrame:
-    """(led, node, shared, alone, own): what a text shares with its leader, and how many of its other
-    labelled shingles no other, or some other, text of the same leader has.
+def _reach(compared: DataFrame, common: DataFrame, least: float) -> DataFrame:
+    """(led, node, size, size_led, shared, near, differ, close, own, held) of every text and leader.
+
+    ``near``: the leader has ``least`` of its shingles.  ``differ``: the labelled shingles that one of the
+    two has alone; ``close``: so few that the two are similar but for the order.  ``own`` and ``held``: its
+    shingles besides the leader's, and those in which it differs, that are common among the leader's texts.
 
     Two texts of a leader share at most the smaller ``shared`` plus the smaller ``own``: a shingle they
-    share is the leader's or not.  So copies that were changed in different places are told apart
-    without comparing them.
+    share is the leader's or not.
     """
-    own = common.groupBy("a", "b").agg(F.count(F.lit(1)).cast("int").alias("own"))
-    own_or_none = F.coalesce("own", F.lit(0))
+    sums = common.groupBy("a", "b").agg(F.count_if("other").cast("int").alias("own"), F.count(F.lit(1)).cast("int").alias("held"))
+    differ = F.col("size_a") + F.col("size_b") - 2 * F.col("shared")
     return materialize(
-        compared.select("a", "b", "shared", F.size("rest").alias("others")).join(own, ["a", "b"], "left").select(
-            F.col("a").alias("led"), F.col("b").alias("node"), "shared", (F.col("others") - own_or_none).alias("alone"),
-            own_or_none.alias("own"),
+        compared.drop("rest", "lost", "similar").join(sums, ["a", "b"], "left").select(
+            F.col("a").alias("led"), F.col("b").alias("node"), F.col("size_b").alias("size"), F.col("size_a").alias("size_led"),
+            "shared", "near", differ.alias("differ"),
+            (differ <= (F.col("size_a") + F.col("size_b")) * ((1 - least) / (1 + least)) + 1e-9).alias("close"),
+            F.coalesce("own", F.lit(0)).alias("own"), F.coalesce("held", F.lit(0)).alias("held"),
         ),
         label="near-reach",
     )
 
 
 def _rare_buckets(common: DataFrame, reach: DataFrame, least: float) -> DataFrame:
-    """(bucket, node, shared, own): texts of a leader that have a rare shingle in common.
+    """(bucket, node, shared, own, kind): texts of a leader that have something rare in common.
+
+    If two sets must have k elements in common, they have one that is not among the k - 1 most frequent
+    of either.  Three kinds of pairs use that:
+
+    * one text is not near the leader: it shares at least ceil(least * size) shingles with a similar one,
+      and what the leader does not give of them must come from its others;
+    * both are near it but not close: let D be the shingles in which a text differs from the leader.  Those
+      of x and y outside both D are shared, so similar texts have |Dx| + |Dy| - 2 |Dx and Dy| of at most
+      (1 - least) / (1 + least) of both sizes, while |Dy| alone is more than that of y and the leader;
+    * one is near, the other close: likewise, and |Dx and Dy| is also at least |Dx| less that bound.
 
-    A text of m shingles shares at least ceil(least * m) with a similar one; what its leader does not
-    give of them, k, must come from its other shingles.  If k > 0, the two texts have one in common that
-    is not among the k - 1 most frequent of either; of a text near its leader (k <= 0) every other
-    shingle counts.  So texts that share a passage, but are mostly their own, meet nowhere.  Buckets of
-    the same texts are one; buckets in which all texts are near the leader are left out.
+    So texts that share a passage but are mostly their own, and copies changed in different places, meet
+    nowhere.  Buckets of the same texts are one, and those without a pair of their kind are left out.  In
+    one of the last kind, texts of kind 1 need not meet each other.
     """
-    lacking = F.ceil((F.col("shared") + F.col("alone") + F.col("own")) * least - 1e-9) - F.col("shared")
-    needs = reach.withColumn("k", lacking.cast("int"))
-    place = F.row_number().over(Window.partitionBy("a", "node").orderBy("n", "shingle"))
-    placed = common.withColumnRenamed("b", "node").withColumn("place", place)
-    rare = placed.join(needs.withColumnRenamed("led", "a"), ["a", "node"]).filter(
-        F.col("place") <= F.col("own") - F.greatest("k", F.lit(1)) + 1
+    bound = (1 - least) / (1 + least)
+    lacking = F.ceil(F.col("size") * least - 1e-9) - F.col("shared")
+    half = F.ceil((F.col("differ") + (F.col("size_led") - F.col("size")) * bound) / 2 - 1e-9)
+    whole = F.ceil(F.col("differ") - F.col("size") * (bound * (1 + 1 / least)) - 1e-9)
+
+    placed = common.select(F.col("a").alias("led"), F.col("b").alias("node"), "shingle", "n", "other")
+    by_n = Window.partitionBy("led", "node").orderBy("n", "shingle")
+    placed = placed.withColumn("all_place", F.row_number().over(by_n)).withColumn(
+        "place", F.sum(F.col("other").cast("int")).over(by_n.rowsBetween(Window.unboundedPreceding, 0))
     )
-    rare = materialize(rare.select("a", "shingle", "node", "shared", "own", (F.col("k") > 0).alias("far")), label="near-rare")
-    groups = rare.groupBy("a", "shingle").agg(
-        F.count(F.lit(1)).alias("n"), F.max("far").alias("far"),
+    placed = placed.join(reach, ["led", "node"])
+
+    def within(place: str, most: str, k: Column) -> Column:
+        return F.col(place) <= F.col(most) - F.greatest(k, F.lit(1)) + 1
+
+    kinds = F.array(
+        F.when(F.col("other") & within("place", "own", lacking), F.struct(F.lit(0).alias("family"), (~F.col("near")).alias("side"))),
+        F.when(F.expr("near AND NOT close") & within("all_place", "held", half), F.struct(F.lit(1).alias("family"), F.lit(True).alias("side"))),
+        F.when(
+            F.col("near") & within("all_place", "held", F.when(F.col("close"), half).otherwise(whole)),
+            F.struct(F.lit(2).alias("family"), (~F.col("close")).alias("side")),
+        ),
+    )
+    rare = placed.select("led", "shingle", "node", "shared", "own", F.explode(F.array_compact(kinds)).alias("in"))
+    rare = materialize(rare.select("led", "shingle", "node", "shared", "own", "in.family", "in.side"), label="near-rare")
+    groups = rare.groupBy("family", "led", "shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.max("side").alias("any"), F.min("side").alias("all"),
         F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("two"),
     )
-    groups = groups.filter("far AND n > 1").groupBy("a", "n", "one", "two").agg(F.min("shingle").alias("shingle"))
-    groups = materialize(groups.select("a", "shingle"), label="near-groups")
-    return rare.join(groups, ["a", "shingle"]).select(F.xxhash64("a", "shingle").alias("bucket"), "node", "shared", "own")
+    groups = groups.filter("n > 1 AND any AND (family < 2 OR NOT all)")
+    groups = groups.groupBy("family", "led", "n", "one", "two").agg(F.min("shingle").alias("shingle"))
+    groups = materialize(groups.select("family", "led", "shingle"), label="near-groups")
+    return rare.join(groups, ["family", "led", "shingle"]).select(
+        F.xxhash64("family", "led", "shingle").alias("bucket"), "node", "shared", "own",
+        F.expr("int(family = 2 AND side)").alias("kind"),
+    )
 
 
 def near_duplicates(
@@ -274,9 +317,9 @@ def near_duplicates(
     Texts are in a class if they are equal or a chain of pairs of aligned similarity ``least`` or more
     connects them.  Equal texts are joined first, so copies are compared once.  A bucket is parted by
     size, so that texts which may be similar are together in a part, and each text of a part is compared
-    with the most central one, its leader.  Texts with less than ``least`` of their shingles in the
-    leader then meet others of it only where they share rare shingles (:func:`_rare_buckets`), texts
-    with more in the part itself.  As long as such a bucket holds texts of several classes, its texts are
+    with the most central one, its leader.  Texts that are not close to the leader then meet others of it
+    only where both have or lack the same rare shingles (:func:`_rare_buckets`); those that are close, but
+    for their order, meet in the part itself.  As long as such a bucket holds texts of several classes, its texts are
     compared with the next four, 32, ... of it.  Every pair of a bucket is compared, or already in one
     class, or cannot be similar, by the sizes of the two, by what both share with the leader or by their
     rare shingles: so neither a group of similar texts, nor one of changed copies, nor one of texts that
@@ -329,7 +372,7 @@ def near_duplicates(
 
     def leading(rows: DataFrame, n: int) -> DataFrame:
         best = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-        kept = {"node": "a", "class": "class_a", "size": "size_a", "weight": "weight_a", "shared": "shared_a", "own": "own_a"}
+        kept = {"node": "a", "class": "class_a", "size": "size_a", "weight": "weight_a", "shared": "shared_a", "own": "own_a", "kind": "kind_a"}
         return materialize(best.select("bucket", *[F.col(c).alias(k) for c, k in kept.items()]), label="near-leaders")
 
     def fits(most_shared: Column) -> Column:
@@ -346,11 +389,11 @@ def near_duplicates(
     )
     links = compared.filter("similar").select("a", "b")
     common = _common(compared)
-    reach = _reach(compared, common)
-    near = rest.join(reach, ["led", "node"]).filter(F.col("shared") >= F.ceil(F.col("size") * least - 1e-9))
+    reach = _reach(compared, common, least)
+    close = rest.join(reach.filter("near AND close").drop("size"), ["led", "node"]).withColumn("kind", F.lit(0))
     rare = _rare_buckets(common, reach, least).join(rest.select("node", "size", "weight").distinct(), "node")
-    columns = ["bucket", "node", "size", "weight", "shared", "own"]
-    rest = materialize(near.select(columns).unionByName(rare.select(columns)), label="near-members")
+    columns = ["bucket", "node", "size", "weight", "shared", "own", "kind"]
+    rest = materialize(close.select(columns).unionByName(rare.select(columns)), label="near-members")
     smaller = F.least("size", "size_a")
     leaders = 4
     while True:
@@ -364,7 +407,9 @@ def near_duplicates(
         lead = leading(rest, leaders)
         after = (F.col("weight") < F.col("weight_a")) | ((F.col("weight") == F.col("weight_a")) & (F.col("node") > F.col("a")))
         reachable = F.least(smaller, F.least("shared", "shared_a") + F.least("own", "own_a"))
-        pairs = rest.join(lead, "bucket").filter((F.col("class") != F.col("class_a")) & fits(reachable) & after)
+        pairs = rest.join(lead, "bucket").filter(
+            (F.col("class") != F.col("class_a")) & fits(reachable) & after & (F.col("kind") + F.col("kind_a") < 2)
+        )
         pairs = materialize(pairs.select("a", F.col("node").alias("b")).distinct(), label="near-pairs")
         if not pairs.isEmpty():
             links = links.unionByName(_compared(pairs, needed, least))

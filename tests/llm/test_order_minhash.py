@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -59,6 +60,41 @@ def test_classes_equal_brute_force(spark):
     assert got == brute.near_duplicate_classes(docs)
 
 
+def _changed_copies(seed):
+    """Copies of two sources around the threshold: changed in own or common places, cut, moved, extended."""
+    rnd = random.Random(seed)
+    def word():
+        return "".join(rnd.choice("abcdefgh") for _ in range(5))
+    sources = [[word() for _ in range(rnd.randint(60, 90))]]
+    sources.append(sources[0][:45] + [word() for _ in range(30)])  # shares a passage with the first
+    variants = [word() for _ in range(4)]
+    docs = list(sources)
+    for i in range(90):
+        copy = list(sources[i % 2])
+        for _ in range(rnd.randint(0, 3)):
+            kind = rnd.randrange(5)
+            at = rnd.randrange(len(copy) - 8)
+            if kind == 0:
+                copy[at] = word()
+            elif kind == 1:  # few places and few values, so that changes are shared
+                copy[rnd.choice([7, 8, 30])] = rnd.choice(variants)
+            elif kind == 2:
+                del copy[at : at + rnd.randint(1, 6)]
+            elif kind == 3:
+                copy = copy[at:] + copy[:at]
+            else:
+                copy += variants[: rnd.randint(1, 4)] + [word()]
+        docs.append(copy)
+    return [(i, " ".join(d)) for i, d in enumerate(docs)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_changed_copies_equal_brute_force(spark, seed):
+    docs = _changed_copies(seed)
+    got = om.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), n_hashes=48, n_least=1)
+    assert {r.doc_id: r.class_id for r in got.collect()} == brute.near_duplicate_classes(docs)
+
+
 def test_nulls_empties_and_repeated_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, ""), (None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f"), (7, "q " * 20_000)]
     got = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
