@@ -309,6 +309,19 @@ def _rare_buckets(common: DataFrame, reach: DataFrame, least: float) -> DataFram
     )
 
 
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (node, label), joined by further links: components of the links between labels."""
+    for end in ("a", "b"):
+        of = found.select(F.col("node").alias(end), "label")
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    joined = materialize(components(links), label="near-joined")
+    grown = found.join(joined.select(F.col("node").alias("label"), F.col("label").alias("less")), "label", "left").select(
+        "node", F.coalesce("less", "label").alias("label")
+    )
+    alone = joined.join(found, "node", "left_anti").select("node", "label")
+    return materialize(grown.unionByName(alone), label="near-classes")
+
+
 def near_duplicates(
     docs: DataFrame, *, least: float = 0.8, n_hashes: int = 16, n_least: int = 3
 ) -> DataFrame:
@@ -320,7 +333,7 @@ def near_duplicates(
     with the most central one, its leader.  Texts that are not close to the leader then meet others of it
     only where both have or lack the same rare shingles (:func:`_rare_buckets`); those that are close, but
     for their order, meet in the part itself.  As long as such a bucket holds texts of several classes, its texts are
-    compared with the next four, 32, ... of it.  Every pair of a bucket is compared, or already in one
+    compared with the next 16, 256, ... of it.  Every pair of a bucket is compared, or already in one
     class, or cannot be similar, by the sizes of the two, by what both share with the leader or by their
     rare shingles: so neither a group of similar texts, nor one of changed copies, nor one of texts that
     share a passage gives all its pairs.
@@ -347,7 +360,10 @@ def near_duplicates(
         sketches.groupBy("same").agg(F.min("node").alias("first"), F.min_by("keys", "node").alias("keys"), F.min("size").alias("size")),
         label="near-kept",
     )
-    copies = sketches.select("same", "node").join(kept.select("same", "first"), "same").select("node", "first").filter("node <> first")
+    copies = materialize(sketches.select("same", "node").join(kept.select("same", "first"), "same").select("node", "first"), label="near-copies")
+    # Unlike texts of one doc_id are linked, too.
+    twice = copies.groupBy("node").agg(F.min("first").alias("a"), F.max("first").alias("b")).filter("a <> b").select("node", "a")
+    bridges = copies.join(twice, "node").select("a", F.col("first").alias("b")).filter("a <> b")
 
     entries = kept.select(F.col("first").alias("node"), "size", F.explode("keys").alias("bucket"))
     shared = materialize(
@@ -387,7 +403,7 @@ def near_duplicates(
     compared = _compared(
         materialize(rest.select(F.col("led").alias("a"), F.col("node").alias("b")).distinct(), label="near-pairs"), needed, least, True
     )
-    links = compared.filter("similar").select("a", "b")
+    found = materialize(components(compared.filter("similar").select("a", "b").unionByName(bridges)), label="near-classes")
     common = _common(compared)
     reach = _reach(compared, common, least)
     close = rest.join(reach.filter("near AND close").drop("size"), ["led", "node"]).withColumn("kind", F.lit(0))
@@ -395,9 +411,8 @@ def near_duplicates(
     columns = ["bucket", "node", "size", "weight", "shared", "own", "kind"]
     rest = materialize(close.select(columns).unionByName(rare.select(columns)), label="near-members")
     smaller = F.least("size", "size_a")
-    leaders = 4
+    leaders = 16
     while True:
-        found = materialize(components(links), label="near-classes")
         rest = rest.drop("class").join(found.withColumnRenamed("label", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
         rest = materialize(rest, label="near-members")
         open_ = rest.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
@@ -412,13 +427,15 @@ def near_duplicates(
         )
         pairs = materialize(pairs.select("a", F.col("node").alias("b")).distinct(), label="near-pairs")
         if not pairs.isEmpty():
-            links = links.unionByName(_compared(pairs, needed, least))
+            links = _compared(pairs, needed, least)
+            if not links.isEmpty():
+                found = _merged(found, links)
         led = lead.select("bucket", F.col("a").alias("node"))
         rest = rest.join(led, ["bucket", "node"], "left_anti")
-        leaders *= 8
-    # Copies hang on the text they equal.
-    whole = copies.select(F.col("node").alias("a"), F.col("first").alias("b")).unionByName(links)
-    classes = materialize(components(whole), label="near-classes")
+        leaders *= 16
+    # Copies are of the class of the text they equal; as that is the first of them, labels stay smallest.
+    of = found.withColumnRenamed("node", "first")
+    classes = copies.join(of, "first", "left").select("node", F.coalesce("label", "first").alias("label")).distinct()
     return ids.join(classes, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.coalesce("label", F.col("doc_id").cast("long")).alias("class_id")
     )

@@ -96,10 +96,10 @@ def test_changed_copies_equal_brute_force(spark, seed):
 
 
 def test_nulls_empties_and_repeated_rows(spark):
-    rows = [(1, None), (2, ""), (3, " \n"), (4, ""), (None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f"), (7, "q " * 20_000)]
+    rows = [(1, None), (2, ""), (3, " \n"), (4, ""), (None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f"), (9, "z y x w v u"), (11, "z y x w v u"), (7, "q " * 20_000)]
     got = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
-        [(1, 1), (2, 2), (3, 3), (4, 4), (None, None), (5, 5), (5, 5), (9, 5), (7, 7)], key=str
+        [(1, 1), (2, 2), (3, 3), (4, 4), (None, None), (5, 5), (5, 5), (9, 5), (9, 5), (11, 5), (7, 7)], key=str
     )
     assert om.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
