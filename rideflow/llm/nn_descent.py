@@ -5,13 +5,16 @@ point of the graph.  The first graph comes from a few orders of the nodes along
 cut into short blocks.  Each round then joins every node with its neighbours and the nodes it is a
 neighbour of, compares the vectors met there, and gives each its nearest; rounds end when few lists
 change.  A query starts from the nearest of a bounded sample of nodes, and from its own if it is in
-the index, and walks along links to ever nearer nodes.
+the index, and walks along links to ever nearer nodes, a few nodes at a time, so that what it meets
+depends on the beam and on the links of a node and not on the size of the index.
 
-The graph works on half-precision copies of the vectors; scores are computed from the originals.
+The graph works on half-precision copies of the vectors, scaled by one power of two for all so that
+none overflows; scores are computed from the originals.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,6 +63,12 @@ def distinct_nodes(rows: DataFrame, k: int) -> DataFrame:
     ).select("node", F.col("key").alias("vector"), "members")
 
 
+def _scale(nodes: DataFrame) -> float:
+    """The power of two that brings the largest component to between 128 and 256."""
+    most = nodes.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0]
+    return 2.0 ** (8 - math.frexp(most)[1]) if most else 1.0
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
@@ -128,12 +137,12 @@ def _merge_lists(k: int):
 # ---- the first graph --------------------------------------------------------------------------
 
 
-def _order_keys(n_orders: int, n_bits: int, seed: int):
+def _order_keys(n_orders: int, n_bits: int, scale: float, seed: int):
     """For each order: signs against some hyperplanes, then the place along a line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("vector")).astype(np.float64)
+            x = _matrix(batch.column("vector")).astype(np.float64) * scale
             rng = np.random.default_rng(seed)
             half = [v.tobytes() for v in x.astype(np.float16)]
             for t in range(n_orders):
@@ -239,8 +248,11 @@ def _aged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("node", "ids", "dists")] + [pa.array(old, pa.binary())], names=batch.schema.names)
 
 
+_EDGES = "owner long, member long, dist float, fresh boolean, turned boolean"
+
+
 def neighbour_graph(
-    nodes: DataFrame, *, k: int = 20, n_orders: int = 4, max_rounds: int = 8, settled: float = 0.01, seed: int = 7
+    nodes: DataFrame, *, k: int = 40, n_orders: int = 4, max_rounds: int = 8, settled: float = 0.01, seed: int = 7
 ) -> DataFrame:
     """Lists (node, ids, dists, fresh) of about the k nearest nodes of every node.
 
@@ -252,7 +264,7 @@ def neighbour_graph(
     bits = max((n // (2 * _BLOCK)).bit_length(), 0)
     with arrow_batches(spark, 4000):
         keyed = nodes.select("node", "vector").mapInArrow(
-            _order_keys(n_orders, bits, seed), "turn int, code long, along double, node long, half binary"
+            _order_keys(n_orders, bits, _scale(nodes), seed), "turn int, code long, along double, node long, half binary"
         )
         keyed = materialize(keyed, label="nn-orders")
         halves = keyed.filter("turn = 0").select(F.col("node").alias("at"), "half")
@@ -261,7 +273,7 @@ def neighbour_graph(
         graph = materialize(lists, label="nn-graph")
     for _ in range(max_rounds):
         with arrow_batches(spark, 500):
-            links = graph.mapInArrow(_edges, "owner long, member long, dist float, fresh boolean, turned boolean")
+            links = graph.mapInArrow(_edges, _EDGES)
             nearest = Window.partitionBy("owner", "turned").orderBy("dist", "member")
             links = links.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= k)
             links = links.groupBy("owner", "member").agg(F.max("fresh").alias("fresh"))
@@ -295,23 +307,29 @@ def _score(x: str, y: str) -> Column:
     return F.sqrt(F.aggregate(square, F.lit(0.0), lambda s, v: s + v))
 
 
-def _pack_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        node, other, _, _ = _flat(batch)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[node, other]), pa.array(np.r_[other, node])], names=["from", "to"])
+def search_links(graph: DataFrame, *, degree: int = 40) -> DataFrame:
+    """(from, to): every node's list and the ``degree`` nearest of the nodes whose lists hold it.
+
+    A node that is in very many lists thus keeps few links.  What loses the link back to it is still
+    met through the lists that hold it; in no list are only nodes that are far from all others.
+    """
+    nearest = Window.partitionBy("owner", "turned").orderBy("dist", "member")
+    links = graph.mapInArrow(_edges, _EDGES).withColumn("nth", F.row_number().over(nearest))
+    return links.filter(~F.col("turned") | (F.col("nth") <= degree)).select(F.col("owner").alias("from"), F.col("member").alias("to")).distinct()
 
 
-def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, beam: int = 320, entries: int = 512) -> DataFrame:
+def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, beam: int = 200, width: int = 16, entries: int = 512) -> DataFrame:
     """(query, node, score) of the ``beam`` nearest nodes found for each of ``queries`` (query, vector, own).
 
     Starts at the ``beam`` nearest of at most ``entries`` nodes (a sample by hash) and at ``own`` if it
-    is not null; each round follows all links of the beam's unvisited nodes, both ways, and keeps the
-    nearest.  It ends when every node of every beam was visited.
+    is not null; each round follows the links of the ``width`` nearest unvisited nodes of the beam and
+    keeps the nearest.  It ends when every node of every beam was visited.
     """
-    links = materialize(graph.mapInArrow(_pack_ids, "from long, to long").distinct(), label="nn-links")
+    links = materialize(search_links(graph), label="nn-links")
     queries = materialize(queries, label="nn-queries")
     # The walk measures in single precision; what it ends with is measured on the originals.
-    single = F.transform("vector", lambda x: x.cast("float"))
+    scale = _scale(nodes)
+    single = F.transform("vector", lambda x: (x * F.lit(scale)).cast("float"))
     places = materialize(nodes.select("node", single.alias("there")), label="nn-places")
     asked = materialize(queries.select("query", single.alias("here")), label="nn-asked")
     size = asked.agg(F.sum(4 * F.size("here"))).first()[0] or 0
@@ -324,10 +342,14 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, bea
         return pairs.join(places, "node").join(asked, "query").select("query", "node", _score("here", "there").alias("score"))
 
     nearest = Window.partitionBy("query").orderBy("score", "node")
+    ahead_first = Window.partitionBy("query").orderBy("visited", "score", "node")
 
     def best(rows: DataFrame) -> DataFrame:
+        """The beam, with the nodes that are next to be visited."""
         one = rows.groupBy("query", "node").agg(F.min("score").alias("score"), F.max("visited").alias("visited"))
-        return materialize(one.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= beam).drop("nth"), label="nn-beam")
+        kept = one.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= beam).drop("nth")
+        turn = F.row_number().over(ahead_first)
+        return materialize(kept.withColumn("next", ~F.col("visited") & (turn <= width)), label="nn-beam")
 
     # At most ``entries`` ids, a constant of the plan: every query meets all of them.
     sample = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(entries).collect()
@@ -336,7 +358,7 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, bea
     own = queries.filter(F.col("own").isNotNull()).select("query", F.col("own").alias("node"))
     reached = best(scored(starts.unionByName(own)).withColumn("visited", F.lit(False)))
     while True:
-        ahead = reached.filter("NOT visited").select("query", F.col("node").alias("from"))
+        ahead = reached.filter("next").select("query", F.col("node").alias("from"))
         if ahead.isEmpty():
             exact = reached.select("query", "node").join(nodes.select("node", F.col("vector").alias("there")), "node")
             exact = exact.join(queries.select("query", F.col("vector").alias("here")), "query")
@@ -344,10 +366,11 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, *, bea
         met = ahead.join(links, "from").select("query", F.col("to").alias("node")).distinct()
         met = met.join(reached.select("query", "node"), ["query", "node"], "left_anti")
         new = scored(met).withColumn("visited", F.lit(False))
-        reached = best(reached.withColumn("visited", F.lit(True)).unionByName(new))
+        seen = reached.select("query", "node", "score", (F.col("visited") | F.col("next")).alias("visited"))
+        reached = best(seen.unionByName(new))
 
 
-def nearest_neighbours(vectors: DataFrame, is_query: Column, *, k: int = 10, beam: int = 320, **graph) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, is_query: Column, *, k: int = 10, beam: int = 200, **graph) -> DataFrame:
     """The ``k`` nearest rows found for each row of ``vectors`` (vec_id, embedding) that ``is_query``
     holds for: query_id, rank from 1, vec_id, score (Euclidean, in double precision on the originals).
 

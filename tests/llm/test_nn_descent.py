@@ -46,6 +46,31 @@ def test_one_vector_in_very_many_rows(spark):
     assert [v for v, _ in got[1000]] == [v for v, _ in want[1000]]
 
 
+def test_vectors_beyond_half_precision(spark):
+    for size in (1e6, 1e25, 1e-12):
+        rnd = random.Random(8)
+        rows = [(i, [_float(size * rnd.gauss(0, 1)) for _ in range(8)]) for i in range(400)]
+        got = _run(spark, rows, every=20)
+        want = brute.nearest(dict(rows), [i for i, _ in rows if i % 20 == 0], 10)
+        assert sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want) >= 0.95 * 10 * len(want)
+
+
+def test_links_of_a_search_are_bounded(spark):
+    rnd = random.Random(9)
+    # One node in the middle of a shell: it is in nearly every list.
+    rows = [(0, [0.01] * 16)]
+    for i in range(1, 600):
+        x = [rnd.gauss(0, 1) for _ in range(16)]
+        rows.append((i, [_float(c / math.hypot(*x)) for c in x]))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    nodes = nn.materialize(nn.distinct_nodes(nn.usable_vectors(frame), 10))
+    graph = nn.materialize(nn.neighbour_graph(nodes, k=10))
+    held = graph.mapInArrow(nn._edges, nn._EDGES).filter("turned AND owner = 0").count()
+    links = [r["from"] for r in nn.search_links(graph, degree=10).collect()]
+    assert held > 60 and set(links) == set(range(600))
+    assert max(links.count(n) for n in range(600)) <= 20
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]),
