@@ -31,6 +31,7 @@ from rideflow.session import scratch_path
 from rideflow.sources.sinks import materialize, save_model, save_table
 from rideflow.sources.tables import TABLE_SCHEMAS, TableSpec, load_tables, read_table, table
 from rideflow.streaming.events import file_stream, stream_filtered
+from rideflow.streaming.first_n import stream_first_n
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1121,6 +1122,18 @@ def stream_filtered_events(spark, sf_dir):
     return stream_filtered(events, table(spark, sf_dir, "customer"), EVENT_PREPARE)
 
 
+@query(
+    "stream_first_events",
+    """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) AS nth
+       FROM (SELECT DISTINCT * FROM events WHERE ts IS NOT NULL)) WHERE nth <= 3
+       AND ts < (SELECT date_trunc('day', max(ts) - INTERVAL 1 HOUR) FROM events)""",
+)
+def stream_first_events(spark, sf_dir):
+    # The days that the watermark has closed; the last day stays in the state.
+    events = file_stream(spark, f"{sf_dir}/events.parque[t]", TABLE_SCHEMAS["events"])
+    return stream_first_n(events, "user_id", "ts", 3, tie="event_id")
+
+
 def _utc(fn: Query) -> Query:
     """Run ``fn`` with the session zone pinned to UTC, as the library assumes."""
 
