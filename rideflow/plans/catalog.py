@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rideflow.functions.columns import clamp, doubled_unix_date, name_contains, scale_if
 from rideflow.functions.udfs import ceil_int, ceil_udf, cos_float, cos_udf
 from rideflow.operators import aggregates as agg
-from rideflow.operators import charts, filters, joins, multisets, nested, projections, quantiles, sampling, temporal, windows
+from rideflow.operators import charts, filters, joins, multisets, nested, projections, quantiles, sampling, sketches, temporal, windows
 from rideflow.operators.rides import PrepareConfig, RideColumns, ZoneColumns, prepare_rides
 from rideflow.plans import ml
 from rideflow.plans.job import RideConfig, RideJob
@@ -1378,6 +1378,28 @@ def weighted_sample_per_status(spark, sf_dir):
     return sampling.stratified_sample(orders, "o_orderstatus", 40, "o_orderkey", "o_totalprice").drop("o_totalprice")
 
 
+@query(
+    "sketched_years",
+    """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, TRUE AS distinct_near, TRUE AS median_near
+       FROM lineitem GROUP BY 1""",
+)
+def sketched_years(spark, sf_dir):
+    # States per month, stored, then merged per year; held against the exact count and the median's rank.
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_extendedprice", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")
+    )
+    months = materialize(sketches.sketch_states(lines, ["year", "month"], "l_orderkey", "l_extendedprice"), label="months")
+    years = materialize(sketches.read_states(sketches.merge_states(months, ["year"]), {"median": 0.5}), label="years")
+    below = (F.col("l_extendedprice").cast("double") <= F.col("median")).cast("int")
+    exact = lines.join(years.select("year", "median"), "year").groupBy("year").agg(
+        F.count_distinct("l_orderkey").alias("orders"), F.avg(below).alias("share")
+    )
+    near = F.abs(F.col("n_distinct") - F.col("orders")) <= 0.03 * F.col("orders")
+    return years.join(exact, "year").select(
+        "year", "n", near.alias("distinct_near"), (F.abs(F.col("share") - 0.5) <= 0.02).alias("median_near")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: _utc(fn) for name, fn in QUERIES.items()}
 
