@@ -63,3 +63,45 @@ def test_restart_goes_on_with_open_days_and_drops_late_rows(spark):
 def test_clashing_column(spark):
     with pytest.raises(ValueError):
         first_n_per_day(spark.createDataFrame([], "ts timestamp, nth int"), "nth", "ts", 1)
+
+
+def test_keys_of_a_bucket_share_calls_and_state(spark, monkeypatch):
+    from rideflow.streaming import first_n
+
+    calls = scratch_path(spark, "first-n-calls").removeprefix("file:")
+    keep = first_n._keep_first
+
+    def counted(n):
+        run = keep(n)
+
+        def wrapped(key, frames, state):
+            import os
+
+            os.makedirs(calls, exist_ok=True)
+            open(f"{calls}/{key}-{state.hasTimedOut}", "w").close()
+            yield from run(key, frames, state)
+
+        return wrapped
+
+    monkeypatch.setattr(first_n, "_keep_first", counted)
+    root = scratch_path(spark, "first-n-test")
+    rows = [(i, _at(1, 9, i % 60), f"k{i % 150}", 1.0) for i in range(600)] + [(600, _at(1, 9), None, 1.0), (601, _at(1, 8), None, 1.0), (602, _at(3, 1), "k1", 1.0)]
+    _drop_in(spark, root, rows)
+    stream = file_stream(spark, f"{root}/in", spark.createDataFrame([], ROWS).schema)
+    first = first_n.first_n_per_day(stream, "zone", "ts", 2, tie="id", buckets=2)
+    first.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/check").trigger(availableNow=True).start().awaitTermination()
+    want = []
+    for key in {r[2] for r in rows}:
+        own = sorted((r for r in rows[:-1] if r[2] == key), key=lambda r: (r[1], r[0]))[:2]
+        want += [(*r, i) for i, r in enumerate(own, 1)]
+    assert _rows(spark.read.schema(first.schema).parquet(f"{root}/out")) == sorted(want, key=repr)
+    import os
+
+    assert len(os.listdir(calls)) <= 5  # two buckets of a day: rows and end; a bucket of the open day
+
+
+def test_zeros_of_either_sign_are_one_key(spark):
+    root = scratch_path(spark, "first-n-test")
+    _drop_in(spark, root, [(1, _at(1, 9), "a", -0.0), (2, _at(1, 8), "a", 0.0), (3, _at(1, 10), "a", float("nan")), (4, _at(3, 1), "a", 1.0)])
+    found = stream_first_n(file_stream(spark, f"{root}/in", spark.createDataFrame([], ROWS).schema), "fare", "ts", 2, tie="id")
+    assert sorted((r.id, r.nth) for r in found.collect()) == [(1, 2), (2, 1), (3, 1)]
