@@ -143,3 +143,27 @@ def test_quantiles(spark, kind):
     got = {r.k: (r.low, r.q50, r.q99, r.top) for r in quantiles.exact_quantiles(df, "k", "v", {"low": 0, "q50": 0.5, "q99": "0.99", "top": 1}).collect()}
     assert got == {k: tuple(_quantile([v for x, v in rows if x == k], q) for q in (0, 0.5, 0.99, 1)) for k in {k for k, _ in rows}}
     assert quantiles.exact_quantiles(df.limit(0), "k", "v", {"q50": 0.5}).collect() == []
+
+
+@pytest.mark.parametrize("max_sorted", [0, 30, 10**6])
+def test_quantiles_sorted_and_by_passes(spark, max_sorted):
+    rnd = random.Random(max_sorted)
+    rows = [(rnd.choice(["hot"] * 8 + ["a", None]), None if rnd.random() < 0.1 else rnd.choice([rnd.randint(0, 10**12), rnd.randint(0, 5)])) for _ in range(900)]
+    rows += [("empty", None), ("one", 7)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(3)
+    found = quantiles.exact_quantiles(df, "k", "v", {"low": 0, "q25": 0.25, "top": 1}, max_sorted=max_sorted)
+    got = {r.k: (r.low, r.q25, r.top) for r in found.collect()}
+    assert got == {k: tuple(_quantile([v for x, v in rows if x == k], q) for q in (0, 0.25, 1)) for k in {k for k, _ in rows}}
+
+
+def test_quantiles_of_many_small_groups_take_no_pass(spark, monkeypatch):
+    labels = []
+    keep = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df, *a, label, **k: labels.append(label) or keep(df, *a, label=label, **k))
+    df = spark.range(4000).selectExpr("id % 40 AS k", "date_add(DATE'2000-01-01', int(id * 7919 % 5000)) AS v")
+    got = {r.k: r.q for r in quantiles.exact_quantiles(df, "k", "v", {"q": 0.25}).collect()}
+    values = {}
+    for r in df.collect():
+        values.setdefault(r.k, []).append(r.v)
+    assert got == {k: _quantile(v, 0.25) for k, v in values.items()}
+    assert labels.count("quantile-state") == 1
