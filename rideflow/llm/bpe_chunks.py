@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import string
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -40,7 +42,10 @@ _SLICE = 4 << 20
 _WINDOW, _LEAST, _MOST, _CUT_BITS = 32, 128, 8192, 9
 #: Words whose ids a task remembers, and bytes of text that it splits at once.
 _MEMO, _STRETCH = 600_000, 1 << 20
-_PUNCTUATION = b".,;:!?"
+#: Marks that may stand behind a word, alone or in runs; an apostrophe may belong to the word.
+_PUNCTUATION = string.punctuation.replace("'", "").encode()
+#: Ids whose names and tokens are put end to end at once.
+_AT_ONCE = 1 << 20
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -127,13 +132,14 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.names = [str(i) for i in range(size)]
+        self.kind = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
+        self.names = pa.array([b"%d " % i for i in range(size)], pa.large_binary())
         # Without a decoder the library joins tokens by blanks.
-        self.tokens = None if self.tokenizer.decoder else [self.tokenizer.id_to_token(i) for i in range(size)]
+        tokens = ((self.tokenizer.id_to_token(i) or "").encode() + b" " for i in range(size))
+        self.tokens = None if self.tokenizer.decoder else pa.array(tokens, pa.large_binary())
         self.memo: dict[bytes, bytes] = {}
         self.by_words = self._drops_blanks()
-        self.marks = {b"": b"", **{bytes([c]): self._pack(self._whole(chr(c))) for c in _PUNCTUATION}}
+        self.marks: dict[bytes, bytes] = {}
         self.plain = self.by_words and self._takes_plain_words()
 
     def _drops_blanks(self) -> bool:
@@ -143,29 +149,39 @@ class TextEncoder:
         return all(self._whole(blank.join(words)) == alone for blank in (" ", "\n", "\t", "\r\n", "\x0b \x0c"))
 
     def _takes_plain_words(self) -> bool:
-        """Whether ASCII letters in either case, with or without a mark behind them, are for the model
-        their lower-case word and the mark."""
-        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        if any(t.strip(_PUNCTUATION).isalpha() for t in added):
+        """Whether ASCII letters in either case, with or without marks behind them, are for the model
+        their lower-case word and the run of marks."""
+        marks = _PUNCTUATION.decode()
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(not t.rstrip(marks) or (t.isascii() and t.rstrip(marks).isalpha()) for t in added):
             return False
         words = ["".join(chr(97 + (i * j + i) % 26) for j in range(1 + i % 13)) for i in range(60)]
-        texts = [f(w) + m for w in words for f in (str.lower, str.upper, str.title) for m in ("", *map(chr, _PUNCTUATION))]
-        return all(self._pack(self._whole(t)) == self._plain_word(t.encode()) for t in texts)
+        texts = [f(w) + m for w in words for f in (str.lower, str.upper, str.title) for m in ("", *marks)]
+        texts += [words[(i + j) % 60] + m + n * k for i, m in enumerate(marks) for j, n in enumerate(marks) for k in (1, 3)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return all(self._pack(f.ids) == self._plain_word(t.encode()) for t, f in zip(texts, found))
 
     def _plain_word(self, word: bytes) -> bytes | None:
         """The packed ids of a word of ASCII letters, None if it is of another kind."""
-        cut = len(word) - (len(word) > 1 and word[-1] in _PUNCTUATION)
-        if not word[:cut].isalpha():
+        head = word.rstrip(_PUNCTUATION)
+        if not head.isalpha():
             return None
-        low = word[:cut].lower()
+        low = head.lower()
         found = self.memo.get(low) or self._pack([t.id for t in self.tokenizer.model.tokenize(low.decode())])
-        return found + self.marks[word[cut:]]
+        if len(head) == len(word):
+            return found
+        tail = word[len(head) :]
+        if (marks := self.marks.get(tail)) is None:
+            if len(self.marks) >= _MEMO // 8:
+                self.marks.clear()
+            marks = self.marks[tail] = self._pack(self._whole(tail.decode()))
+        return found + marks
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _pack(self, ids: Sequence[int]) -> bytes:
-        return np.asarray(ids, self.kind).tobytes()
+        return array(self.kind.char, ids).tobytes()
 
     def encode(self, raw: bytes) -> bytes:
         """The ids of a whole text, packed."""
@@ -209,24 +225,39 @@ class TextEncoder:
 
     def results(self, packed: Sequence[bytes], outputs: Sequence[str]) -> list[pa.Array]:
         """A column for each of ``outputs`` from the ids of some texts."""
-        rows = {name: [] for name in outputs}
-        for ids in packed:
-            ids = np.frombuffer(ids, self.kind).tolist()
-            for name, column in rows.items():
-                if name == "ids":
-                    column.append(ids)
-                elif name == "n_tokens":
-                    column.append(len(ids))
-                elif name == "ids_sha256":
-                    column.append(hashlib.sha256(" ".join([self.names[i] for i in ids]).encode()).hexdigest())
+        counts = np.array([len(ids) for ids in packed], np.int64) // self.kind.itemsize
+        columns = []
+        for name in outputs:
+            if name == "ids":
+                column = pa.array([np.frombuffer(ids, self.kind) for ids in packed], pa.list_(pa.int32()))
+            elif name == "n_tokens":
+                column = pa.array(counts)
+            else:
+                if name == "ids_sha256":
+                    texts = self._spelled(packed, counts, self.names)
+                elif self.tokens is not None:
+                    texts = self._spelled(packed, counts, self.tokens)
                 else:
-                    if self.tokens is not None:
-                        text = " ".join([self.tokens[i] for i in ids])
-                    else:
-                        text = self.tokenizer.decode(ids, skip_special_tokens=False)
-                    column.append(text if name == "decoded" else hashlib.sha256(text.encode()).hexdigest())
-        kinds = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
-        return [pa.array(column, kinds.get(name, pa.string())) for name, column in rows.items()]
+                    lists = (np.frombuffer(ids, self.kind).tolist() for ids in packed)
+                    texts = (self.tokenizer.decode(ids, skip_special_tokens=False).encode() for ids in lists)
+                if name == "decoded":
+                    column = pa.array([bytes(t).decode() for t in texts], pa.string())
+                else:
+                    column = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
+            columns.append(column)
+        return columns
+
+    def _spelled(self, packed: Sequence[bytes], counts: np.ndarray, spellings: pa.Array) -> Iterator[memoryview]:
+        """Of each text the ``spellings`` of its ids, joined by blanks; they end in one."""
+        group = (np.cumsum(counts) - counts) // _AT_ONCE
+        cuts = np.flatnonzero(np.diff(group)) + 1
+        for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(packed)]):
+            ids = np.frombuffer(b"".join(packed[first:last]), self.kind)
+            _, offsets, values = spellings.take(pa.array(ids)).buffers()
+            at = np.frombuffer(offsets, np.int64)[np.concatenate([[0], np.cumsum(counts[first:last])])].tolist()
+            spelled = memoryview(values) if values is not None else memoryview(b"")
+            for a, b in zip(at[:-1], at[1:]):
+                yield spelled[a : max(b - 1, a)]
 
 
 def _text_chunks(texts: pa.Array) -> Iterator[tuple[int, bytes, list[int]]]:

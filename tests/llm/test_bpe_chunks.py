@@ -99,3 +99,19 @@ def test_long_text_is_encoded_in_stretches(monkeypatch):
     for _, text in _docs(9, 20):
         want = encoder._pack(encoder._whole(text or ""))
         assert encoder.encode((text or "").encode()) == want
+
+
+def test_marks_behind_words_and_spelled_ids(monkeypatch):
+    monkeypatch.setattr(bc, "_AT_ONCE", 3)
+    encoder = bc.TextEncoder(_json("word_bpe_49k.json"))
+    words = [w + m for w in ("word", "Été", "DON", "x") for m in ("", "$$$", ".%%%", "...!?", "_-_", "<|", "'s", "***'", "<|endoftext|>")]
+    for word in words:
+        assert encoder.encode(word.encode()) == encoder._pack(encoder._whole(word))
+    assert encoder._plain_word(b"word.%%%") and encoder._plain_word(b"word's") is None and encoder._plain_word(b"$$$") is None
+    texts = ["", "one two", *words, "", "a b c d e f g"]
+    ids = [encoder._whole(t) for t in texts]
+    numbers, spelled, digests, lists = encoder.results([encoder._pack(i) for i in ids], ["n_tokens", "decoded", "ids_sha256", "ids"])
+    assert numbers.to_pylist() == [len(i) for i in ids] and lists.to_pylist() == ids
+    assert spelled.to_pylist() == [encoder.tokenizer.decode(i, skip_special_tokens=False) for i in ids]
+    assert digests.to_pylist() == [hashlib.sha256(" ".join(map(str, i)).encode()).hexdigest() for i in ids]
+    assert [c.to_pylist() for c in encoder.results([], ["n_tokens", "decoded"])] == [[], []]
