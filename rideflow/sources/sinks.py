@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,23 @@ def save_table(
         raise ValueError("give a path or a table name")
 
 
+#: Shuffle files go when the job that wrote them has ended, not when the driver's JVM collects garbage.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def materialize(
     df: DataFrame,
     spark: SparkSession | None = None,
@@ -47,11 +65,13 @@ def materialize(
 
     This cuts the lineage: later jobs (training, every evaluation) read the
     files instead of re-running scans, joins and windows, and a lost executor
-    only costs re-reading files from the shared folder.
+    only costs re-reading files from the shared folder.  The shuffles behind
+    the files are of no more use and give their disk back at once.
     """
     spark = spark or df.sparkSession
     path = scratch_path(spark, label)
-    save_table(df, path, partition_by=partition_by)
+    with _shuffles_dropped(spark):
+        save_table(df, path, partition_by=partition_by)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 

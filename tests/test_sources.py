@@ -63,3 +63,25 @@ def test_save_as_table(spark, tmp_path):
     assert spark.table("rideflow_saved").count() == 1
     save_table(df.union(df), str(tmp_path / "t"), name="rideflow_saved")
     assert spark.table("rideflow_saved").count() == 2
+
+
+def test_materialize_gives_the_disk_of_shuffles_back(spark):
+    import glob
+    import tempfile
+    import time
+
+    from rideflow.sources import materialize
+
+    root = spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffles():
+        return set(glob.glob(f"{root}/blockmgr-*/*/shuffle_*.data"))
+
+    before, was = shuffles(), spark.conf.get(setting, None)
+    kept = materialize(spark.range(1000).repartition(4, "id"), label="test")
+    end = time.time() + 10
+    while (left := shuffles() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left and kept.count() == 1000
+    assert spark.conf.get(setting, None) == was
