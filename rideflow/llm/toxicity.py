@@ -423,18 +423,18 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> list[float]:
     return [*map(float, slope), float(b[-1] - slope @ mean)]
 
 
-def _marked_rows(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that may have a mark, by a bitmap of the marks' ids; all that have one are
-    among them, so that few texts are moved in vain.  The bitmaps are broadcast: there are 16 bits for
-    each mark, up to a fixed bound beyond which more rows pass."""
+def with_mark(docs: DataFrame, marks: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` with a column mark (boolean): true where ``marks`` may hold the row's ``key``, by a bitmap
+    of their keys; all that it holds have one, so that few texts are moved in vain.  The bitmaps are
+    broadcast: there are 16 bits for each key, up to a fixed bound beyond which more rows have a mark."""
     n = min(max(-(-16 * marks.count() // _BITMAP_BITS), 1), _MOST_BITMAPS)
-    slot = F.pmod(F.xxhash64("doc_id", F.lit("mark")), F.lit(n * _BITMAP_BITS))
+    slot = F.pmod(F.xxhash64(key, F.lit("mark")), F.lit(n * _BITMAP_BITS))
     part, place = F.floor(slot / _BITMAP_BITS).cast("long"), slot % _BITMAP_BITS
-    maps = marks.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    maps = marks.groupBy(part.alias("_bits_of")).agg(F.bitmap_construct_agg(place).alias("_bits"))
     maps = materialize(maps, label="toxic-bitmaps")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.call_function("getbit", byte, (place % 8).cast("int")) == 1
-    return docs.join(F.broadcast(maps), part == F.col("part")).filter(bit).select(*docs.columns)
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.coalesce(F.call_function("getbit", byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return docs.join(F.broadcast(maps), part == F.col("_bits_of"), "left").select(*docs.columns, bit.alias("mark"))
 
 
 def fit(docs: DataFrame, marks: DataFrame, *, max_fit_rows: int = 20_000, **model) -> Models:
@@ -447,7 +447,7 @@ def fit(docs: DataFrame, marks: DataFrame, *, max_fit_rows: int = 20_000, **mode
     marks = marks.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     docs = docs.select("doc_id", "text")
     counted = materialize(marks.filter(fold != 0), label="toxic-marks")
-    models = count_models(_marked_rows(docs.filter(fold != 0), counted).join(counted, "doc_id"), **model)
+    models = count_models(with_mark(docs.filter(fold != 0), counted).filter("mark").drop("mark").join(counted, "doc_id"), **model)
     held = marks.filter(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_fit_rows)
     # At most max_fit_rows rows of two numbers: small by construction.
     sample = docs.join(F.broadcast(held), "doc_id").select(F.lower("text").alias("text"), F.col("toxic").cast("int").alias("toxic"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -77,6 +80,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_made: ContextVar[list[str] | None] = ContextVar("scratch_made", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location below the checkpoint folder."""
-    return f"{checkpoint_root(spark)}/rideflow/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/rideflow/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_made() -> Iterator[list[str]]:
+    """The locations that :func:`scratch_path` gives out inside; those of a block within count for both."""
+    made, outer = [], _made.get()
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        if outer is not None:
+            outer += made

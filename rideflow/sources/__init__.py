@@ -1,6 +1,6 @@
 """Sources and sinks."""
 
-from rideflow.sources.sinks import materialize, save_model, save_table
+from rideflow.sources.sinks import free_scratch, materialize, save_model, save_table
 from rideflow.sources.tables import (
     TABLE_SCHEMAS,
     TRIP_SCHEMA,
@@ -18,6 +18,7 @@ __all__ = [
     "ZONE_SCHEMA",
     "TableSpec",
     "extract",
+    "free_scratch",
     "load_tables",
     "materialize",
     "read_table",

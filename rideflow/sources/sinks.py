@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflow.session import scratch_path
+from rideflow.session import _context, scratch_path
 
 
 def save_table(
@@ -75,6 +75,23 @@ def materialize(
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def free_scratch(spark: SparkSession, paths: Iterable[str], frame: DataFrame) -> list[str]:
+    """Delete those scratch locations whose files ``frame`` does not read; the others come back.
+
+    Only Spark's own scans are seen: a frame whose Python functions open scratch files when it runs
+    must be written first.
+    """
+    names = {name for f in frame.inputFiles() for name in f.split("/")}
+    kept = [p for p in paths if p.rsplit("/", 1)[1] in names]
+    sc = _context(spark)
+    if sc is None:  # Spark Connect has no file system to ask
+        return list(paths)
+    for p in set(paths) - set(kept):
+        at = sc._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+    return kept
+
+
 def save_model(model, path: str) -> str:
     """Persist a fitted ``PipelineModel``."""
     model.write().overwrite().save(path)

@@ -1,6 +1,7 @@
 """The pipeline over small tables: each stage's decisions, and tables of every odd kind."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +87,32 @@ def test_run_gives_the_last_stage(spark, made):
     assert cp.run(spark, made[0]).filter("position IS NOT NULL").count() > 100
 
 
+def _scratch(spark):
+    from rideflow.session import checkpoint_root
+
+    root = Path(checkpoint_root(spark).removeprefix("file:")) / "rideflow"
+    return {p.name for p in root.iterdir()} if root.exists() else set()
+
+
+def test_run_leaves_no_scratch_but_its_result(spark, made):
+    before = _scratch(spark)
+    mixed = cp.run(spark, made[0])
+    assert {n.rsplit("-", 1)[0] for n in _scratch(spark) - before} == {"mixing"}
+    assert mixed.count() > 100
+
+
+def test_scratch_of_a_stage_goes_but_what_its_result_reads(spark, made):
+    docs, before = spark.read.parquet(f"{made[0]}/documents.parquet"), _scratch(spark)
+    left = cp.drop_toxic(spark, docs, made[0])
+    assert {n.rsplit("-", 1)[0] for n in _scratch(spark) - before} == {"toxic-parts"}
+    # Not written in between: what the input reads stays.
+    cut = cp.cut_repeats(spark, left, made[0])
+    assert left.count() == cut.count() > 400
+    mixed = cp.mix(spark, docs, made[0])
+    assert not {n for n in _scratch(spark) - before if n.startswith(("toxic", "suffix"))}
+    assert mixed.count() == docs.count()
+
+
 @pytest.mark.parametrize("rows", [0, 1, 2])
 def test_odd_tables_pass_every_stage(spark, made, tmp_path, rows):
     odd = [

@@ -120,3 +120,11 @@ def test_what_tasks_hold_changes_no_score(spark):
     for other in found[:2]:
         assert [x[:2] for x in other] == [x[:2] for x in found[2]]
         assert np.allclose([x[2] for x in other], [x[2] for x in found[2]], atol=1e-6)
+
+
+def test_marks_miss_no_key_and_leave_every_row(spark):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in [*range(500), 3, 3, None]], "doc_id long, text string")
+    for marks in ([], [3], [*range(0, 500, 7)]):
+        got = tox.with_mark(docs, spark.createDataFrame([(i,) for i in marks], "doc_id long")).collect()
+        assert sorted((r.text for r in got)) == sorted(r.text for r in docs.collect())
+        assert set(marks) <= {r.doc_id for r in got if r.mark} and sum(r.mark for r in got) < len(marks) * 2 + 60
