@@ -221,14 +221,37 @@ def _compared(pairs: DataFrame, texts: DataFrame, least: float, with_rest: bool
         return materialize(both.mapInArrow(_verify(least, with_rest), _COMPARED if with_rest else _LINKS), label="near-links")
 
 
-def _common(compared: DataFrame) -> DataFrame:
-    """(a, b, shingle, other, n): labelled shingles in which b and its leader a differ, n > 1 texts of the
-    leader like b.  ``other``: b has it, else a has."""
-    differ = compared.select("a", "b", F.explode("rest").alias("shingle"), F.lit(True).alias("other")).unionByName(
-        compared.select("a", "b", F.explode("lost").alias("shingle"), F.lit(False).alias("other"))
+def _unsettled(compared: DataFrame, found: DataFrame) -> DataFrame:
+    """``compared`` with the class of b, of those leaders whose texts are not all in one class yet."""
+    of = found.select(F.col("node").alias("b"), F.col("label").alias("class"))
+    classes = materialize(
+        compared.select("a", "b").join(of, "b", "left").select("a", "b", F.coalesce("class", "b").alias("class")), label="near-classed"
     )
-    common = materialize(differ.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), label="near-common")
-    return materialize(differ.join(common, ["a", "shingle"]), label="near-common")
+    several = classes.groupBy("a").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    return materialize(compared.join(classes.join(several.select("a"), "a", "left_semi"), ["a", "b"]), label="near-unsettled")
+
+
+def _common(unsettled: DataFrame) -> DataFrame:
+    """(a, b, shingle, weight, other, n): labelled shingles in which b and its leader a differ, n texts of
+    the leader like b, and not all of one class.  ``other``: b has it, else a has.
+
+    Shingles of the same texts are one, ``weight`` says how many: all of a passage, or around a changed
+    word.  What only texts of one class have or lack is left out: only texts of two classes are still to
+    meet, and whatever both have or lack is had or lacked by two classes.  So a group of changed copies
+    that are similar to their leader gives no rows, however many shingles they change alike.
+    """
+    differ = unsettled.select("a", "b", "class", F.explode("rest").alias("shingle"), F.lit(True).alias("other")).unionByName(
+        unsettled.select("a", "b", "class", F.explode("lost").alias("shingle"), F.lit(False).alias("other"))
+    )
+    texts = differ.groupBy("a", "shingle", "other").agg(
+        F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"),
+        F.bit_xor(F.xxhash64("b")).alias("one"), F.bit_xor(F.xxhash64(F.lit(7), "b")).alias("two"),
+    )
+    common = texts.filter("low <> high").groupBy("a", "other", "n", "one", "two").agg(
+        F.min("shingle").alias("shingle"), F.count(F.lit(1)).alias("weight")
+    )
+    common = materialize(common.select("a", "shingle", "n", "weight"), label="near-common")
+    return materialize(differ.drop("class").join(common, ["a", "shingle"]), label="near-common")
 
 
 def _reach(compared: DataFrame, common: DataFrame, least: float) -> DataFrame:
@@ -236,15 +259,17 @@ def _reach(compared: DataFrame, common: DataFrame, least: float) -> DataFrame:
 
     ``near``: the leader has ``least`` of its shingles.  ``differ``: the labelled shingles that one of the
     two has alone; ``close``: so few that the two are similar but for the order.  ``own`` and ``held``: its
-    shingles besides the leader's, and those in which it differs, that are common among the leader's texts.
+    shingles besides the leader's, and those in which it differs, that texts of other classes differ in, too.
 
-    Two texts of a leader share at most the smaller ``shared`` plus the smaller ``own``: a shingle they
-    share is the leader's or not.
+    Two texts of a leader and of two classes share at most the smaller ``shared`` plus the smaller ``own``:
+    a shingle they share is the leader's or not.
     """
-    sums = common.groupBy("a", "b").agg(F.count_if("other").cast("int").alias("own"), F.count(F.lit(1)).cast("int").alias("held"))
+    sums = common.groupBy("a", "b").agg(
+        F.sum(F.when(F.col("other"), F.col("weight")).otherwise(0)).cast("int").alias("own"), F.sum("weight").cast("int").alias("held")
+    )
     differ = F.col("size_a") + F.col("size_b") - 2 * F.col("shared")
     return materialize(
-        compared.drop("rest", "lost", "similar").join(sums, ["a", "b"], "left").select(
+        compared.drop("rest", "lost", "similar", "class").join(sums, ["a", "b"], "left").select(
             F.col("a").alias("led"), F.col("b").alias("node"), F.col("size_b").alias("size"), F.col("size_a").alias("size_led"),
             "shared", "near", differ.alias("differ"),
             (differ <= (F.col("size_a") + F.col("size_b")) * ((1 - least) / (1 + least)) + 1e-9).alias("close"),
@@ -276,10 +301,11 @@ def _rare_buckets(common: DataFrame, reach: DataFrame, least: float) -> DataFram
     half = F.ceil((F.col("differ") + (F.col("size_led") - F.col("size")) * bound) / 2 - 1e-9)
     whole = F.ceil(F.col("differ") - F.col("size") * (bound * (1 + 1 / least)) - 1e-9)
 
-    placed = common.select(F.col("a").alias("led"), F.col("b").alias("node"), "shingle", "n", "other")
-    by_n = Window.partitionBy("led", "node").orderBy("n", "shingle")
-    placed = placed.withColumn("all_place", F.row_number().over(by_n)).withColumn(
-        "place", F.sum(F.col("other").cast("int")).over(by_n.rowsBetween(Window.unboundedPreceding, 0))
+    placed = common.select(F.col("a").alias("led"), F.col("b").alias("node"), "shingle", "weight", "n", "other")
+    by_n = Window.partitionBy("led", "node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, 0)
+    # The place of the first of the shingles that are one.
+    placed = placed.withColumn("all_place", F.sum("weight").over(by_n) - F.col("weight") + 1).withColumn(
+        "place", F.sum(F.when(F.col("other"), F.col("weight")).otherwise(0)).over(by_n) - F.col("weight") + 1
     )
     placed = placed.join(reach, ["led", "node"])
 
@@ -404,8 +430,9 @@ def near_duplicates(
         materialize(rest.select(F.col("led").alias("a"), F.col("node").alias("b")).distinct(), label="near-pairs"), needed, least, True
     )
     found = materialize(components(compared.filter("similar").select("a", "b").unionByName(bridges)), label="near-classes")
-    common = _common(compared)
-    reach = _reach(compared, common, least)
+    unsettled = _unsettled(compared, found)
+    common = _common(unsettled)
+    reach = _reach(unsettled, common, least)
     close = rest.join(reach.filter("near AND close").drop("size"), ["led", "node"]).withColumn("kind", F.lit(0))
     rare = _rare_buckets(common, reach, least).join(rest.select("node", "size", "weight").distinct(), "node")
     columns = ["bucket", "node", "size", "weight", "shared", "own", "kind"]

@@ -95,6 +95,32 @@ def test_changed_copies_equal_brute_force(spark, seed):
     assert {r.doc_id: r.class_id for r in got.collect()} == brute.near_duplicate_classes(docs)
 
 
+def test_changes_of_one_class_are_not_joined_and_like_shingles_are_one(spark, monkeypatch):
+    rnd = random.Random(4)
+    def words(n):
+        return ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    source, other, passage, tails = words(120), words(120), words(40), [words(2) for _ in range(4)]
+    docs = [source] + [source[:k] + words(1) + source[k + 1 :] + tails[i % 4] for i, k in enumerate(range(10, 110, 2))]
+    near = len(docs)
+    docs += [other] + [words(50 + i) + passage + words(50 + i) for i in range(20)]
+    docs = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    joined = []
+
+    def counted(df, *args, real=om.materialize, **more):
+        out = real(df, *args, **more)
+        if more.get("label") == "near-common" and "b" in out.columns:
+            joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(om, "materialize", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for part, most in ((frame.filter(F.col("doc_id") < near), 0), (frame, 100)):
+        joined.clear()
+        got = {r.doc_id: r.class_id for r in om.near_duplicates(part, n_hashes=48, n_least=1).collect()}
+        assert got == brute.near_duplicate_classes(docs[: len(got)])
+        assert len(joined) == 1 and joined[0] <= most
+
+
 def test_nulls_empties_and_repeated_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, ""), (None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f"), (9, "z y x w v u"), (11, "z y x w v u"), (7, "q " * 20_000)]
     got = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
