@@ -44,7 +44,10 @@ _GRAM = 26
 _SLICE = 1 << 21
 #: Texts hashed at once: what numpy passes over again and again is to stay in the cache.
 _HASHED = 1 << 18
-_CHUNK = 1 << 21
+#: Bytes of pieces compared at once: the arrays of their suffixes take some eighty times as much.
+_CHUNK = 1 << 19
+#: Pieces of a partition, on average: a task holds its pieces.
+_PIECES = 1 << 18
 _ANCHOR_BITS = 48
 _ANCHOR_MASK = np.uint64((1 << _ANCHOR_BITS) - 1)
 #: Bits of the bitmap: 16 for each anchor, at most 2**31 (256 MB).
@@ -232,9 +235,13 @@ def place_of(anchor: np.ndarray, bits: int) -> np.ndarray:
 _PIECE = "shard long, hot boolean, doc long, row long, first int, count int, piece binary"
 
 
-def _known(shard: np.ndarray, pieces: pa.Array, doc: np.ndarray) -> np.ndarray:
+def _codes(pieces: pa.Array) -> np.ndarray:
+    """Numbers, equal for equal pieces."""
+    return pieces.dictionary_encode().indices.to_numpy()
+
+
+def _known(shard: np.ndarray, code: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Which pieces equal one of the same shard and a smaller document: all their strings are found."""
-    code = np.asarray(pieces.dictionary_encode().indices)
     order = np.lexsort((doc, code, shard))
     new = np.r_[True, (np.diff(shard[order]) != 0) | (np.diff(code[order]) != 0)] if len(order) else order.astype(bool)
     least = doc[order][new][np.cumsum(new) - 1] if len(order) else doc
@@ -258,7 +265,7 @@ def _cut_pieces(path: str, bits: int, hot_path: str):
                 doc, key = np.asarray(part.column("doc"))[row], np.asarray(part.column("row"))[row]
                 hot = shared.is_hot(anchor)
                 pieces = pa.array(texts, pa.binary())
-                known = _known(anchor.view(np.int64), pieces, doc)
+                known = _known(anchor.view(np.int64), _codes(pieces), doc)
                 spread = np.where(hot, mix64(doc.view(np.uint64)) % np.uint64(_HOT_SHARDS), 0).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor.view(np.int64) * _HOT_SHARDS + spread), pa.array(hot), pa.array(doc), pa.array(key),
@@ -409,24 +416,31 @@ def _compare_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         parts.append(batch.filter(pa.compute.invert(known)))
     if not sum(p.num_rows for p in parts):
         return
-    rows = pa.Table.from_batches(parts).combine_chunks()
-    pieces = rows.column("piece").combine_chunks()
+    kinds = parts[0].schema
+    # Column by column, so that only one is there twice.
+    columns = [[p.column(c) for p in parts] for c in kinds.names]
+    parts.clear()
+    for k, column in enumerate(columns):
+        columns[k] = pa.concat_arrays(column)
+        column.clear()
+    rows = pa.RecordBatch.from_arrays(columns, schema=kinds)
     shard, doc = rows.column("shard").to_numpy(), rows.column("doc").to_numpy()
-    anchor, hot = shard // _HOT_SHARDS, rows.column("hot").to_numpy()
+    anchor, hot = shard // _HOT_SHARDS, rows.column("hot").to_numpy(zero_copy_only=False)
+    code = _codes(rows.column("piece"))
     # All shards of a hot anchor that are here are compared at once.
-    known = _known(anchor, pieces, doc)
+    known = _known(anchor, code, doc)
     yield pa.RecordBatch.from_arrays(
-        [rows.column(c).combine_chunks().filter(pa.array(known)) for c in names[:4]] + [pa.nulls(int(known.sum()), pa.binary())], names=names
+        [rows.column(c).filter(pa.array(known)) for c in names[:4]] + [pa.nulls(int(known.sum()), pa.binary())], names=names
     )
     left = np.flatnonzero(~known)
     left = left[np.argsort(anchor[left], kind="stable")]
-    code = np.asarray(pieces.dictionary_encode().indices)[left]
+    code = code[left]
     # An anchor with a single piece has nothing to be compared with, unless it has other shards.
     new = np.r_[True, np.diff(anchor[left]) != 0]
     first = np.flatnonzero(new)
     several = np.minimum.reduceat(code, first) != np.maximum.reduceat(code, first)
     left = left[(several | hot[left][first])[np.cumsum(new) - 1]]
-    size = np.cumsum(np.asarray(pa.compute.binary_length(pieces), np.int64)[left])
+    size = np.cumsum(np.asarray(pa.compute.binary_length(rows.column("piece")), np.int64)[left])
     # Chunks end where an anchor does.
     chunk = size // _CHUNK
     starts = np.r_[True, np.diff(anchor[left]) != 0] if len(left) else np.zeros(0, bool)
@@ -480,7 +494,8 @@ def repeated_strings(texts: DataFrame) -> DataFrame:
     save_table(shared.filter(F.col("n") >= hot).select("anchor").coalesce(1), hot_at)
 
     with arrow_batches(spark, 1000):
-        pieces = texts.mapInArrow(_cut_pieces(map_at, bits, hot_at), _PIECE).repartition("shard")
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total.pieces // _PIECES))
+        pieces = texts.mapInArrow(_cut_pieces(map_at, bits, hot_at), _PIECE).repartition(parts, "shard")
         compared = materialize(pieces.mapInArrow(_compare_shards, _FOUND), label="suffix-compared")
     runs = compared.filter(F.col("piece").isNotNull()).repartition("piece")
     merged = runs.mapInArrow(_merge_runs, _FOUND).select("row", "first", "count")

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rideflow.llm import suffix_dedup as sd
@@ -62,6 +64,25 @@ def test_removal_equals_brute_force(spark, monkeypatch, hot):
     assert rows == want and sum(v[1] for v in want.values()) > 5000
 
 
+def test_a_partition_is_compared_in_bounded_memory():
+    rnd = random.Random(6)
+    n = 12_000  # anchors, each of three pieces: 2.6 MB
+    rows = []
+    for i in range(n):
+        piece = rnd.randbytes(72)
+        rows += [(i * 64, False, doc, 10 * i + doc, 0, 23, p) for doc, p in ((1, piece), (2, piece[:71] + bytes([piece[71] ^ 1])), (3, rnd.randbytes(72)))]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["shard", "hot", "doc", "row", "first", "count", "piece"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+    parts = [batch.slice(k, 1000) for k in range(0, len(rows), 1000)]
+    tracemalloc.start()
+    got = [tuple(r.values()) for out in sd._compare_shards(iter(parts)) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(got) == sorted((10 * i + 2, 0, 22, 2, None) for i in range(n))
+    assert peak < 100e6
+
+
 def test_whole_characters_leave_text(spark):
     shared = "é" * 60
     rows = [(1, shared), (2, "x" + shared), (3, "a" + shared[:30] + "b")]
